@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-POINT_KEY = ["imo", "signal", "signal_timestamp"]
+# Time comes first: sorting by it is decided on eight bytes, the ids only break ties.
+POINT_KEY = ["signal_timestamp", "signal", "imo"]
 
 
 def latest_wins(df: DataFrame, keys: list[str] = POINT_KEY, order: list[str] | None = None) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetframe import scale
 from fleetframe.functions import distance_us, slot_of, to_us
+from fleetframe.session import materialize
 
 # Greatest distance of two points of one gap (fixed values): the default and the finer variant.
 GAP_THRESHOLD = timedelta(minutes=15)
@@ -74,9 +75,7 @@ def gap_sessions(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> Dat
 
 def new_gaps(table: DataFrame, gaps: DataFrame) -> DataFrame:
     """Gaps whose key (imo, signal, gap_start) is not stored yet, one row per key."""
-    known = table.select(*GAP_KEY)
-    unseen = scale.unique_key_anti_join(gaps, known, GAP_KEY)
-    return unseen.dropDuplicates(GAP_KEY)
+    return scale.not_in_target(materialize(gaps.dropDuplicates(GAP_KEY)), table, GAP_KEY)
 
 
 def append_gaps(table: DataFrame, gaps: DataFrame) -> DataFrame:

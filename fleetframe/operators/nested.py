@@ -12,6 +12,14 @@ from fleetframe.functions import elements, falsy_json
 # Payload field that is not a signal (fixed value).
 TIMESTAMP_FIELD = "timestamp"
 
+# Points of one signal: ISO timestamp to number or null.
+POINTS = "map<string,double>"
+
+
+def _no_points() -> Column:
+    return F.create_map().cast(POINTS)
+
+
 
 def ships_of(payloads: DataFrame) -> DataFrame:
     """One row per ship object of a fleet payload: (imo, loaddate, ship), `ship` is JSON text."""
@@ -93,9 +101,9 @@ def signals_to_rows(payloads: DataFrame, definition: T.StructType = schemas.SIGN
     maps = objects.select(
         F.get_json_object("o", "$.imo").alias("imo"),
         "loaddate",
-        F.explode(F.from_json(F.get_json_object("o", "$.signals"), "map<string,string>")).alias("signal", "body"),
+        F.explode_outer(F.from_json(F.get_json_object("o", "$.signals"), "map<string,string>")).alias("signal", "body"),
     )
-    rows = maps.select("imo", "signal", F.from_json("body", definition).alias("d"), "loaddate")
+    rows = _exploded(maps, "signal").select("imo", "signal", F.from_json("body", definition).alias("d"), "loaddate")
     return void_to_string(flatten_once(rows.select("imo", "signal", "d.*", "loaddate")))
 
 
@@ -107,37 +115,40 @@ def catalog_columns(signals: DataFrame) -> DataFrame:
 def timeseries_to_long(payloads: DataFrame, densify: bool = False) -> DataFrame:
     """Time-series payloads (imo, loaddate, raw) to (imo, signal, signal_timestamp, signal_value, loaddate).
 
-    A payload is first split into one row per signal, so the full map of a ship is never one value.
     With `densify`, a signal that lacks a timestamp another signal of the same payload has gets a
     null there, that is, a gap. The timestamps travel with the row: nothing is shuffled.
     """
-    cells = "map<string,double>"
     objects = payloads.select("imo", "loaddate", F.explode(elements(F.col("raw"))).alias("o"))
-    parsed = objects.select(
-        "imo",
-        "loaddate",
-        F.map_filter(F.from_json("o", "map<string,string>"), lambda k, _: k != TIMESTAMP_FIELD).alias("signals"),
-    )
+    bodies = F.map_filter(F.from_json("o", "map<string,string>"), lambda name, _: name != TIMESTAMP_FIELD)
     if not densify:
-        rows = parsed.select("imo", "loaddate", F.explode("signals").alias("signal", "body"))
-        return _long_columns(
-            rows.select("imo", "loaddate", "signal", F.explode(F.from_json("body", cells)).alias("at", "signal_value"))
-        )
-    times = F.array_distinct(
-        F.flatten(F.transform(F.map_values("signals"), lambda body: F.map_keys(F.from_json(body, cells))))
+        rows = _exploded(objects.select("imo", "loaddate", F.explode_outer(bodies).alias("signal", "body")), "signal")
+        cells = F.explode_outer(F.from_json("body", POINTS)).alias("at", "signal_value")
+        return _long_columns(_exploded(rows.select("imo", "loaddate", "signal", cells), "at"))
+    # A signal without points (null) takes part: all timestamps of the payload are missing there.
+    points = F.transform_values(bodies, lambda _, body: F.coalesce(F.from_json(body, POINTS), _no_points()))
+    parsed = objects.select("imo", "loaddate", points.alias("signals"))
+    times = F.array_distinct(F.flatten(F.transform(F.map_values("signals"), lambda points: F.map_keys(points))))
+    # Its own projection, below the explode: once per payload, not once per signal.
+    timed = parsed.withColumn("times", times)
+    rows = _exploded(
+        timed.select("imo", "loaddate", "times", F.explode_outer("signals").alias("signal", "points")), "signal"
     )
-    rows = parsed.select("imo", "loaddate", times.alias("times"), F.explode("signals").alias("signal", "body"))
-    present = rows.select("imo", "loaddate", "signal", "times", F.from_json("body", cells).alias("m"))
-    missing = F.array_except("times", F.map_keys("m"))
-    nulls = F.transform(missing, lambda t: F.struct(t.alias("key"), F.lit(None).cast("double").alias("value")))
-    grid = present.select(
-        "imo", "loaddate", "signal", F.explode(F.concat(F.map_entries("m"), nulls)).alias("cell")
+    absent = F.transform(
+        F.array_except("times", F.map_keys("points")),
+        lambda at: F.struct(at.alias("key"), F.lit(None).cast("double").alias("value")),
     )
+    grid = rows.select("imo", "loaddate", "signal", F.explode(F.concat(F.map_entries("points"), absent)).alias("c"))
     return _long_columns(
-        grid.select("imo", "loaddate", "signal", F.col("cell.key").alias("at"), F.col("cell.value").alias("signal_value"))
+        grid.select("imo", "loaddate", "signal", F.col("c.key").alias("at"), F.col("c.value").alias("signal_value"))
     )
 
 
+def _exploded(df: DataFrame, key: str) -> DataFrame:
+    """Drop the empty rows of an outer explode. A plain explode would get an inferred filter that
+    parses the JSON a second time."""
+    return df.filter(F.col(key).isNotNull())
+
+
 def _long_columns(df: DataFrame) -> DataFrame:
     return df.select(
         "imo", "signal", F.to_timestamp("at").alias("signal_timestamp"), "signal_value", "loaddate"

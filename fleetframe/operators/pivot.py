@@ -61,7 +61,7 @@ def pivot_latest(latest: DataFrame, signals: list[str] | None = None) -> DataFra
     key = schemas.PIVOT_KEY
     signals = sorted(signals) if signals is not None else signal_list(latest)
     rows = latest.filter(F.col("signal").isin(signals)).select(*key, "loaddate", "signal", "signal_value")
-    newest = F.max("loaddate").over(Window.partitionBy(*key))
+    newest = F.max("loaddate").over(Window.partitionBy(*reversed(key)))
     placed = rows.repartition(*key).withColumn("loaddate", newest)
     return placed.groupBy(*key, "loaddate").pivot("signal", signals).agg(F.max("signal_value"))
 

@@ -14,8 +14,8 @@ TAGS = ["hist", "today", "new"]
 
 # A key of the summary. Unnamed signals (null friendly_name) of one ship and time share a key; use
 # SAFE_KEY to tell them apart.
-SUMMARY_KEY = ["imo", "signal_timestamp", "friendly_name"]
-SAFE_KEY = ["imo", "signal_timestamp", "signal"]
+SUMMARY_KEY = ["signal_timestamp", "imo", "friendly_name"]
+SAFE_KEY = ["signal_timestamp", "imo", "signal"]
 
 
 def tag_source(df: DataFrame, tag: str) -> DataFrame:
@@ -26,24 +26,24 @@ def precedence() -> Column:
     return F.array_position(F.array(*[F.lit(t) for t in TAGS]), F.col("tag"))
 
 
-def first_seen(hist: DataFrame, today: DataFrame, new: DataFrame, key: list[str] = SUMMARY_KEY,
-               order: list[str] | None = None) -> DataFrame:
+def tag_sources(hist: DataFrame, today: DataFrame, new: DataFrame) -> DataFrame:
+    return combine([tag_source(frame, tag) for frame, tag in zip((hist, today, new), TAGS)])
+
+
+def first_seen(tagged: DataFrame, key: list[str] = SUMMARY_KEY, order: list[str] | None = None) -> DataFrame:
     """First row per key in the order hist, today, new; `order` decides within one source."""
-    tagged = combine([tag_source(f, t) for f, t in zip((hist, today, new), TAGS)])
     ranking: list[Column | str] = [precedence().asc(), *(order or ["loaddate", "signal", "signal_value"])]
     return first_wins(tagged, key, ranking)
 
 
-def daily_summary(hist: DataFrame, today: DataFrame, new: DataFrame, key: list[str] = SUMMARY_KEY,
-                  order: list[str] | None = None) -> DataFrame:
+def daily_summary(tagged: DataFrame, key: list[str] = SUMMARY_KEY, order: list[str] | None = None) -> DataFrame:
     """Rows of today that history does not know. A changed value of a known key is ignored."""
-    return by_tag(first_seen(hist, today, new, key, order), "new", "today")
+    return by_tag(first_seen(tagged, key, order), "new", "today")
 
 
-def daily_delta(hist: DataFrame, today: DataFrame, new: DataFrame, key: list[str] = SUMMARY_KEY,
-                order: list[str] | None = None) -> DataFrame:
+def daily_delta(tagged: DataFrame, key: list[str] = SUMMARY_KEY, order: list[str] | None = None) -> DataFrame:
     """Only the rows that this run added."""
-    return by_tag(first_seen(hist, today, new, key, order), "new")
+    return by_tag(first_seen(tagged, key, order), "new")
 
 
 def summary_columns(df: DataFrame) -> DataFrame:

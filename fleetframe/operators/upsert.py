@@ -1,8 +1,9 @@
 """Keyed upserts and schema evolution on plain Parquet tables.
 
-The target is large, the source is one load. While the measured source is small, the target is
-filtered or joined by broadcast and never shuffled; a larger source uses a shuffle join. Keys are
-unique on both sides, so no key is hot.
+The target is large, the source is one load. The source is staged first (computed once, then
+checked, measured and joined from there). While it is small, the target is filtered or joined by
+broadcast and never shuffled; a larger source uses a shuffle join. Keys are unique on both sides, so
+no key is hot.
 """
 
 from __future__ import annotations
@@ -12,12 +13,18 @@ from pyspark.sql import functions as F
 
 from fleetframe import scale, schemas
 from fleetframe.scale import _col
+from fleetframe.session import materialize
 
 
 class DuplicateKeyError(ValueError):
     """A source key occurs more than once, so the row to take is undefined."""
 
 
+def stage(source: DataFrame) -> DataFrame:
+    """The load as a staging table."""
+    return materialize(source)
+
+
 def check_unique(source: DataFrame, keys: list[str]) -> None:
     """Fail if a (non-null) key repeats."""
     known = source.dropna(subset=keys)
@@ -27,11 +34,13 @@ def check_unique(source: DataFrame, keys: list[str]) -> None:
         raise DuplicateKeyError(f"source key occurs {example['count']} times: {example.asDict()}")
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True,
+                 limit: int = scale.BROADCAST_BYTES) -> DataFrame:
     """Matched rows take all columns of the source, unmatched source rows are added."""
+    source = stage(source)
     if check:
         check_unique(source, keys)
-    untouched = scale.unique_key_anti_join(target, source.select(*[_col(k) for k in keys]), keys)
+    untouched = scale.without_keys(target, source, keys, limit)
     return untouched.unionByName(source, allowMissingColumns=True)
 
 
@@ -46,26 +55,24 @@ def evolve(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def pivot_upsert(target: DataFrame, source: DataFrame, keys: list[str] = schemas.PIVOT_KEY,
-                 ignore_null: bool = False, check: bool = True) -> DataFrame:
+                 ignore_null: bool = False, check: bool = True, limit: int = scale.BROADCAST_BYTES) -> DataFrame:
     """Upsert wide rows: matched rows take every source column, null included; unmatched are added.
 
     Columns only the target has keep the target's value; columns only the source has are added.
     With `ignore_null`, a null in the source does not overwrite.
     """
+    source = stage(source)
     if check:
         check_unique(source, keys)
     wide = evolve(target, source)
     shared = [c for c in source.columns if c not in keys]
-    size = scale.measured_bytes(source)
-    if size is None or size > scale.BROADCAST_BYTES:
+    if not scale.fits_broadcast(source, limit):
         joined = _marked(wide, source, keys, "full_outer")
         return joined.select(*_chosen(wide.columns, shared, keys, ignore_null))
     updated = _marked(wide, F.broadcast(source), keys, "left").select(
         *_chosen(wide.columns, shared, keys, ignore_null)
     )
-    source_keys = source.select(*[_col(k) for k in keys])
-    touched = target.select(*[_col(k) for k in keys]).join(F.broadcast(source_keys), keys, "left_semi")
-    added = source.join(touched, keys, "left_anti")
+    added = scale.not_in_target(source, target, keys, limit)
     return updated.unionByName(added, allowMissingColumns=True)
 
 

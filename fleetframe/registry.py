@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fleetframe import oracle, views
 from fleetframe.functions import loaddate_of
 from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, summary, upsert
-from fleetframe.session import use_utc, work_path
+from fleetframe.session import materialize, use_utc, work_path
 from fleetframe.sources import landing, runs, tables
 from fleetframe.streaming import replay
 
@@ -407,8 +407,8 @@ def _(spark, sf_dir):
 
 
 LINE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey"]
-LINE_COLUMNS = [*LINE_KEYS, "l_quantity", "l_returnflag", "l_shipdate"]
-UNIQUE_LINES = f"""SELECT {', '.join(LINE_KEYS)}, max(l_quantity) AS l_quantity, max(l_returnflag) AS l_returnflag,
+LINE_COLUMNS = [*LINE_KEYS, "l_quantity", "l_extendedprice", "l_shipdate"]
+UNIQUE_LINES = f"""SELECT {', '.join(LINE_KEYS)}, max(l_quantity) AS l_quantity, max(l_extendedprice) AS l_extendedprice,
     max(l_shipdate) AS l_shipdate FROM lineitem GROUP BY {', '.join(LINE_KEYS)}"""
 
 
@@ -418,7 +418,7 @@ UNIQUE_LINES = f"""SELECT {', '.join(LINE_KEYS)}, max(l_quantity) AS l_quantity,
     LINE_KEYS, LINE_COLUMNS))
 def _(spark, sf_dir):
     lines = views.table(spark, sf_dir, "lineitem").groupBy(*LINE_KEYS).agg(
-        *[F.max(c).alias(c) for c in ("l_quantity", "l_returnflag", "l_shipdate")])
+        *[F.max(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_shipdate")])
     stored = lines.filter(F.col("l_shipdate") < F.lit("2000-01-01"))
     loaded = lines.filter(F.col("l_shipdate") >= F.lit("1998-01-01")).withColumn(
         "l_quantity", F.col("l_quantity") + 100)
@@ -430,12 +430,12 @@ OLD_SIGNALS, NEW_SIGNALS = ["click", "error", "purchase"], ["error", "purchase",
 
 def wide_tables(spark, sf_dir):
     """A stored wide table and a later, overlapping load with other signals."""
-    rows = latest(spark, sf_dir)
+    rows = materialize(latest(spark, sf_dir))
     stored = pivot.pivot_latest(rows.filter(F.col("signal_timestamp") < F.lit(HISTORY_DAY).cast("timestamp")),
                                 OLD_SIGNALS)
     loaded = pivot.pivot_latest(rows.filter(F.col("signal_timestamp") >= F.lit(CURRENT_DAY).cast("timestamp")),
                                 NEW_SIGNALS)
-    return stored, loaded
+    return materialize(stored), loaded
 
 
 def _wide_sql(signals: list[str], condition: str) -> str:
@@ -480,19 +480,19 @@ BY_EVENT = ["ts", "event_id"]
 
 @query("daily_summary", f"SELECT {TAGGED} FROM winners WHERE tag <> 'hist'", "winners")
 def _(spark, sf_dir):
-    return summary.daily_summary(*views.sources(spark, sf_dir), order=BY_EVENT)
+    return summary.daily_summary(views.tagged(spark, sf_dir), order=BY_EVENT)
 
 
 @query("daily_summary_by_signal", f"""WITH first_rows AS (SELECT * FROM tagged QUALIFY row_number() OVER (
     PARTITION BY imo, signal_timestamp, signal ORDER BY tag_rank, ts, event_id) = 1)
     SELECT {TAGGED} FROM first_rows WHERE tag <> 'hist'""", "tagged")
 def _(spark, sf_dir):
-    return summary.daily_summary(*views.sources(spark, sf_dir), key=summary.SAFE_KEY, order=BY_EVENT)
+    return summary.daily_summary(summary.tag_sources(*views.sources(spark, sf_dir)), key=summary.SAFE_KEY, order=BY_EVENT)
 
 
 @query("daily_delta", f"SELECT {TAGGED} FROM winners WHERE tag = 'new'", "winners")
 def _(spark, sf_dir):
-    return summary.daily_delta(*views.sources(spark, sf_dir), order=BY_EVENT)
+    return summary.daily_delta(views.tagged(spark, sf_dir), order=BY_EVENT)
 
 
 @query("ref_rollover", f"""SELECT {TAGGED.replace(', tag', '')}, 'hist' AS tag FROM tagged

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetframe.session import materialize
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
 
@@ -31,7 +33,10 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Rows of `df` whose key is in `keys_df`; `df` is not shuffled while the key list is small."""
+    """Rows of `df` whose key is in `keys_df`; `df` is not shuffled while the key list is small.
+
+    The distinct keys are computed once, measured, and joined from their checkpoint.
+    """
     return _keyed_join(df, keys_df, keys, "left_semi", limit)
 
 
@@ -40,11 +45,25 @@ def anti_join(df: DataFrame, keys_df: DataFrame, keys: list[str], limit: int = B
     return _keyed_join(df, keys_df, keys, "left_anti", limit)
 
 
-def unique_key_anti_join(df: DataFrame, keys_df: DataFrame, keys: list[str],
-                         limit: int = BROADCAST_BYTES) -> DataFrame:
-    """As `anti_join`, for keys that are unique in `df`: the shuffle needs no salt."""
-    wanted = F.broadcast(keys_df) if fits_broadcast(keys_df, limit) else keys_df
-    return df.join(wanted, keys, "left_anti")
+def without_keys(target: DataFrame, source: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of a large `target` that a small `source` does not touch. Keys are unique in `target`."""
+    source_keys = source.select(*[_col(k) for k in keys])
+    if fits_broadcast(source_keys, limit):
+        source_keys = F.broadcast(source_keys)
+    return target.join(source_keys, keys, "left_anti")
+
+
+def not_in_target(source: DataFrame, target: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of a small `source` whose key a large `target` does not have.
+
+    The target's keys are first reduced to those of the source, so the target is never shuffled
+    while the source is small. Keys are unique in `target`.
+    """
+    target_keys = target.select(*[_col(k) for k in keys])
+    source_keys = source.select(*[_col(k) for k in keys])
+    if fits_broadcast(source_keys, limit):
+        target_keys = target_keys.join(F.broadcast(source_keys), keys, "left_semi")
+    return source.join(target_keys, keys, "left_anti")
 
 
 def left_join(df: DataFrame, small: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES,
@@ -56,7 +75,7 @@ def left_join(df: DataFrame, small: DataFrame, keys: list[str], limit: int = BRO
 
 
 def _keyed_join(df: DataFrame, keys_df: DataFrame, keys: list[str], how: str, limit: int) -> DataFrame:
-    wanted = keys_df.select(*[_col(k) for k in keys]).distinct()
+    wanted = materialize(keys_df.select(*[_col(k) for k in keys]).distinct())
     if fits_broadcast(wanted, limit):
         return df.join(F.broadcast(wanted), keys, how)
     return _salted_join(df, wanted, keys, how, SALTS)

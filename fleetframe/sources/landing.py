@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetframe import schemas
 from fleetframe.functions import run_time
 
 # Path below the landing root (fixed format): run directory, entity and optional ship id.
@@ -33,9 +32,8 @@ def read_landing(spark: SparkSession, path: str, entity: str, run: str | None =
 
     `run` (a load stamp) restricts the read to that run's directory.
     """
-    reader = spark.read.option("wholetext", True).option("pathGlobFilter", f"{entity}*.json")
     folder = f"{path.rstrip('/')}/{run}" if run else path
-    rows = reader.option("recursiveFileLookup", True).text(folder)
+    rows = spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=f"{entity}*.json")
     parsed = rows.select(*path_parts(F.col("_metadata.file_path")), F.col("value").alias("raw"))
     return parsed.filter(F.col("entity") == entity)
 
@@ -86,7 +84,3 @@ def newest_days(df: DataFrame, max_days: int) -> DataFrame:
     """Rows of the newest `max_days` values of `run_date`; the day list is bounded by the calendar."""
     newest = df.select("run_date").distinct().orderBy(F.desc("run_date")).limit(max_days)
     return df.join(F.broadcast(newest), "run_date", "left_semi")
-
-
-def typed_landing(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], schemas.LANDING)
