@@ -27,14 +27,15 @@ def is_only_detail(keys: Column) -> Column:
 
 
 def payload_status(raw: Column) -> Column:
-    """`ok`, `error` (detail answer), `empty` or `corrupt`."""
+    """`ok`, `error` (detail answer), `empty` or `corrupt`.
+
+    The cheap text tests come first, so a good payload is parsed once.
+    """
     text = F.trim(F.coalesce(raw, F.lit("")))
-    first = F.try_element_at(elements(text), F.lit(1))
-    keys = F.json_object_keys(first)
+    keys = F.json_object_keys(F.try_element_at(elements(text), F.lit(1)))
     return (
-        F.when(text.isin("", "[]", "{}", "null"), "empty")
-        .when(F.regexp_like(text, F.lit(r"^(\[\s*\]|\{\s*\})$")), "empty")
+        F.when(text.isin("", "null") | F.regexp_like(text, F.lit(r"^(\[\s*\]|\{\s*\})$")), "empty")
+        .when(text.contains('"detail"') & F.coalesce(is_only_detail(keys), F.lit(False)), "error")
         .when(keys.isNull(), "corrupt")
-        .when(is_only_detail(keys), "error")
         .otherwise("ok")
     )

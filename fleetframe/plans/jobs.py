@@ -102,10 +102,12 @@ def long_rows(spark: SparkSession, lake: Lake, run: Run, ships: list[str] | None
     mine = enrich.restrict_to_active(payloads(spark, lake, run, TIMESERIES), active)
     if ships is not None:
         mine = mine.filter(F.col("imo").isin(ships))
-    marked = quality.classify_payloads(mine)
-    _write_run(quality.run_audit(marked), lake, "run_audit", run)
-    good, bad = quality.split_errors(mine)
-    _quarantine(bad, lake, run)
+    # Status of every payload, with the text of the bad ones only: small, and used twice.
+    bad_text = F.when(F.col("status") != "ok", F.col("raw"))
+    status = materialize(quality.classify_payloads(mine).withColumn("raw", bad_text))
+    _write_run(quality.run_audit(status), lake, "run_audit", run)
+    _quarantine(status.filter(F.col("status") != "ok"), lake, run)
+    good, _ = quality.split_errors(mine)
     # Measurements and gaps are both taken from here.
     return materialize(nested.timeseries_to_long(good, densify=True))
 

@@ -294,8 +294,8 @@ def _(spark, sf_dir):
     WHERE s.imo = f.imo AND s.signal = f.signal AND s.gap_start = f.gap_start)""", "nulls")
 def _(spark, sf_dir):
     points = null_points(spark, sf_dir)
-    return gaps.append_gaps(gaps.gap_intervals(points, timedelta(days=1)),
-                            gaps.gap_intervals(points, timedelta(days=3)))
+    stored = materialize(gaps.gap_intervals(points, timedelta(days=1)))
+    return gaps.append_gaps(stored, gaps.gap_intervals(points, timedelta(days=3)))
 
 
 # --- signals and pivots ------------------------------------------------------------------------
@@ -345,7 +345,7 @@ def _(spark, sf_dir):
                                    pivot.signal_list(quality.measurements(views.tele(spark, sf_dir))))
 
 
-@query("pivot_top_signals", f"""SELECT imo, signal_timestamp, loaddate, {oracle.pivot_columns(['error', 'purchase', 'signup'])}
+@query("pivot_selected", f"""SELECT imo, signal_timestamp, loaddate, {oracle.pivot_columns(['error', 'purchase', 'signup'])}
     FROM latest WHERE signal IN ('error', 'purchase', 'signup') GROUP BY imo, signal_timestamp, loaddate""", "latest")
 def _(spark, sf_dir):
     return pivot.pivot_long(latest(spark, sf_dir), ["signup", "error", "purchase"], unique=True)
@@ -417,8 +417,8 @@ UNIQUE_LINES = f"""SELECT {', '.join(LINE_KEYS)}, max(l_quantity) AS l_quantity,
     "SELECT * REPLACE (l_quantity + 100 AS l_quantity) FROM lines WHERE l_shipdate >= TIMESTAMP '1998-01-01'",
     LINE_KEYS, LINE_COLUMNS))
 def _(spark, sf_dir):
-    lines = views.table(spark, sf_dir, "lineitem").groupBy(*LINE_KEYS).agg(
-        *[F.max(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_shipdate")])
+    lines = materialize(views.table(spark, sf_dir, "lineitem").groupBy(*LINE_KEYS).agg(
+        *[F.max(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_shipdate")]))
     stored = lines.filter(F.col("l_shipdate") < F.lit("2000-01-01"))
     loaded = lines.filter(F.col("l_shipdate") >= F.lit("1998-01-01")).withColumn(
         "l_quantity", F.col("l_quantity") + 100)

@@ -7,12 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetframe.session import materialize, work_path
+from fleetframe.session import work_path
 
 FORMATS = {"parquet"}
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read a table. A missing one is an empty frame with `schema`."""
     try:
         reader = spark.read if schema is None else spark.read.schema(schema)
@@ -60,11 +60,11 @@ def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = Non
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace only the partitions that `df` has rows for; `df` may read the same table.
 
-    The rebalance hint gives few files per partition and lets adaptive execution split a large one.
+    New files are staged and swapped in when all tasks are done, so the old ones can be read until
+    then. The rebalance hint gives few files per partition; adaptive execution splits a large one.
     """
-    fixed = materialize(df.hint("rebalance", *partition_by))
     (
-        fixed.write.mode("overwrite")
+        df.hint("rebalance", *partition_by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partition_by)

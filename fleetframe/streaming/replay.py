@@ -13,14 +13,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetframe.functions import run_time
-from fleetframe.session import work_path
+from fleetframe.session import materialize, work_path
 from fleetframe.sources.landing import write_landing
-from fleetframe.sources.tables import append_table
+from fleetframe.sources.tables import append_table, read_table
 from fleetframe.streaming import streams
 
 # Ship id of the row that moves the watermark past all real rows at the end of a replay.
 END_MARK = ""
 
+POINTS = "imo string, signal string, signal_timestamp timestamp, signal_value double, loaddate string"
+INTERVALS = "imo string, signal string, gap_start timestamp, gap_end timestamp"
+
 
 def run(query: StreamingQuery) -> None:
     query.awaitTermination()
@@ -38,12 +41,12 @@ def split_by_time(df: DataFrame, time: str, parts: int) -> list[DataFrame]:
 def landing(spark: SparkSession, payloads: DataFrame) -> DataFrame:
     """Payloads arrive in two parts, the newer one first."""
     folder = work_path(spark, "stream-landing")
-    dated = payloads.withColumn("load_ts", run_time("loaddate"))
+    dated = materialize(payloads).withColumn("load_ts", run_time("loaddate"))
     for part in reversed(split_by_time(dated, "load_ts", 2)):
         write_landing(part, f"{folder}/landing")
         bundles = streams.landing_bundles(spark, f"{folder}/landing", "Timeseries")
         run(streams.start_landing(bundles, f"{folder}/long", f"{folder}/checkpoint"))
-    return spark.read.parquet(f"{folder}/long")
+    return read_table(spark, f"{folder}/long", POINTS)
 
 
 def latest_wins(rows: DataFrame, order: list[str]) -> DataFrame:
@@ -56,7 +59,7 @@ def latest_wins(rows: DataFrame, order: list[str]) -> DataFrame:
         folder,
         lambda stream: streams.start_latest_wins(stream, f"{folder}/table", f"{folder}/checkpoint", order),
     )
-    return spark.read.parquet(f"{folder}/table").drop("signal_date")
+    return read_table(spark, f"{folder}/table", rows.schema).select(*rows.columns)
 
 
 def gap_sessions(points: DataFrame, threshold: timedelta) -> DataFrame:
@@ -73,7 +76,7 @@ def gap_sessions(points: DataFrame, threshold: timedelta) -> DataFrame:
         folder,
         lambda stream: streams.start_gap_sessions(stream, f"{folder}/gaps", f"{folder}/checkpoint", threshold),
     )
-    return spark.read.parquet(f"{folder}/gaps").filter(F.col("imo") != END_MARK)
+    return read_table(spark, f"{folder}/gaps", INTERVALS).filter(F.col("imo") != END_MARK)
 
 
 def first_seen(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -84,7 +87,7 @@ def first_seen(rows: DataFrame, keys: list[str]) -> DataFrame:
         folder,
         lambda stream: streams.start_first_seen(stream, f"{folder}/first", f"{folder}/checkpoint", keys),
     )
-    return spark.read.parquet(f"{folder}/first")
+    return read_table(spark, f"{folder}/first", rows.schema)
 
 
 def _replay(parts: list[DataFrame], folder: str, start: Callable[[DataFrame], StreamingQuery]) -> None:

@@ -6,6 +6,8 @@ read. Give `trigger={"processingTime": "15 minutes"}` for a query that keeps run
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,15 +99,19 @@ def gap_session_rows(points: DataFrame, threshold: timedelta = GAP_THRESHOLD, la
 
 
 def start_gap_sessions(points: DataFrame, sink: str, checkpoint: str, threshold: timedelta = GAP_THRESHOLD,
-                       late: timedelta = LATE_ROWS, trigger: dict | None = None) -> StreamingQuery:
-    return _to_table(gap_session_rows(points, threshold, late), sink, checkpoint, trigger)
+                       late: timedelta = LATE_ROWS, trigger: dict | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery:
+    with _state_partitions(points.sparkSession, state_partitions):
+        return _to_table(gap_session_rows(points, threshold, late), sink, checkpoint, trigger)
 
 
 def start_first_seen(stream: DataFrame, sink: str, checkpoint: str, keys: list[str], late: timedelta = LATE_ROWS,
-                     time: str = "signal_timestamp", trigger: dict | None = None) -> StreamingQuery:
+                     time: str = "signal_timestamp", trigger: dict | None = None,
+                     state_partitions: int | None = None) -> StreamingQuery:
     """First arrived row per key; keys are remembered for the overlap window."""
     first = stream.withWatermark(time, _seconds(late)).dropDuplicatesWithinWatermark(keys)
-    return _to_table(first, sink, checkpoint, trigger)
+    with _state_partitions(stream.sparkSession, state_partitions):
+        return _to_table(first, sink, checkpoint, trigger)
 
 
 def long_stream(spark: SparkSession, path: str, schema: T.StructType = schemas.LONG) -> DataFrame:
@@ -113,6 +119,19 @@ def long_stream(spark: SparkSession, path: str, schema: T.StructType = schemas.L
     return spark.readStream.schema(schema).parquet(path)
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Partitions of the state. They are fixed by the first start of a checkpoint, so a stateful
+    stream should choose them for its final size; the default is one per core."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(count or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _to_table(df: DataFrame, sink: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or ONCE)).start(sink)
