@@ -41,18 +41,17 @@ def gap_intervals(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> Da
     `gap_end` is the last null point, the loaddate is that point's.
     """
     by_time = Window.partitionBy(*SERIES).orderBy("first")
-    apart = distance_us(F.col("first"), F.lag("last").over(by_time)) > to_us(threshold)
-    opened = _slots(points, threshold).withColumn("opens", F.coalesce(apart, F.lit(False)).cast("int"))
-    islands = opened.withColumn("island", F.sum("opens").over(by_time))
-    return (
-        islands.groupBy(*SERIES, "island")
-        .agg(
-            F.min("first").alias("gap_start"),
-            F.max("last").alias("gap_end"),
-            F.max_by("loaddate", "last").alias("loaddate"),
-        )
-        .drop("island")
-    )
+    so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    wide = to_us(threshold)
+    before, after = F.lag("last").over(by_time), F.lead("first").over(by_time)
+    edges = _slots(points, threshold).withColumns({
+        "opens": before.isNull() | (distance_us(F.col("first"), before) > wide),
+        "closes": after.isNull() | (distance_us(after, F.col("last")) > wide),
+    })
+    # Starts grow with time, so the newest start so far is that of the current gap. The slot that
+    # closes a gap then holds all of its columns: no aggregation is needed.
+    started = edges.withColumn("gap_start", F.max(F.when(F.col("opens"), F.col("first"))).over(so_far))
+    return started.filter("closes").select(*SERIES, "gap_start", F.col("last").alias("gap_end"), "loaddate")
 
 
 def gap_sessions(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:

@@ -118,16 +118,37 @@ def ingest_timeseries(spark: SparkSession, lake: Lake, run: Run, ships: list[str
     rows = long_rows(spark, lake, run, ships)
     current = quality.measurements(rows)
     if merge_history:
-        history = runs.history_window(stored_runs(spark, lake), run.day, lake.history_days, before=run.at)
+        history = runs.history_window(recent_runs(spark, lake, run), run.day, lake.history_days, before=run.at)
         current = dedup.merge_history(history.select(*POINTS.fieldNames()), current)
     _write_run(current, lake, "timeseries", run)
     store_gaps(spark, lake, rows)
 
 
 def stored_runs(spark: SparkSession, lake: Lake) -> DataFrame:
-    """All stored runs of measurements, with `run_date` and `run_ts`."""
+    """All stored runs of measurements, with `run_date`, `run` (partitions) and `run_ts`."""
     stored = tables.read_table(spark, lake.path("timeseries"), T.StructType([*POINTS.fields, *RUN_COLUMNS.fields]))
-    return stored.withColumn("run_ts", F.to_timestamp("run", "yyyyMMddHHmm")).drop("run")
+    return stored.withColumn("run_ts", F.to_timestamp("run", "yyyyMMddHHmm"))
+
+
+def run_list(stored: DataFrame) -> DataFrame:
+    """The stored runs themselves; reads partition values, no data columns."""
+    return stored.select("run_date", "run", "run_ts").distinct()
+
+
+def only_runs(stored: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of a few chosen runs. Their ids become a partition filter, so other runs are not read."""
+    return stored.filter(F.col("run").isin([row.run for row in chosen.select("run").collect()]))
+
+
+def recent_runs(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
+    """Rows of the runs the history window can use: the last hour of each recent day."""
+    stored = stored_runs(spark, lake)
+    oldest = run.day - timedelta(days=lake.history_days)
+    known = run_list(stored.filter((F.col("run_date") > F.lit(oldest)) & (F.col("run_date") <= F.lit(run.day))))
+    hour = F.date_trunc("hour", "run_ts")
+    by_hour = known.filter(F.col("run_ts") < F.lit(run.at)).withColumn("run_hour", hour)
+    last_hours = by_hour.groupBy("run_date").agg(F.max("run_hour").alias("run_hour"))
+    return only_runs(stored, by_hour.join(F.broadcast(last_hours), ["run_date", "run_hour"], "left_semi"))
 
 
 def store_gaps(spark: SparkSession, lake: Lake, rows: DataFrame) -> None:
@@ -178,7 +199,9 @@ def reenrich_summaries(spark: SparkSession, lake: Lake, pattern: str) -> None:
 def export_pivot(spark: SparkSession, lake: Lake, output: str, max_days: int | None = None,
                  max_signals: int | None = None) -> DataFrame:
     """Wide table of the last run of each day; returns its statistics."""
-    rows = quality.measurements(runs.latest_run_per_day(stored_runs(spark, lake), max_days))
+    stored = stored_runs(spark, lake)
+    chosen = runs.latest_run_per_day(run_list(stored), max_days)
+    rows = quality.measurements(only_runs(stored, chosen))
     latest = dedup.latest_wins(rows)
     signals = pivot.signal_list(rows)
     if max_signals is not None and len(signals) > max_signals:
@@ -190,7 +213,7 @@ def export_pivot(spark: SparkSession, lake: Lake, output: str, max_days: int | N
 
 def load_gold(spark: SparkSession, lake: Lake, run: Run) -> None:
     """Upsert a run into the wide table; only the days the run has rows for are rewritten."""
-    rows = stored_runs(spark, lake).filter((F.col("run_date") == F.lit(run.day)) & (F.col("run_ts") == F.lit(run.at)))
+    rows = stored_runs(spark, lake).filter((F.col("run_date") == F.lit(run.day)) & (F.col("run") == run.id))
     latest = dedup.latest_wins(quality.measurements(rows))
     loaded = materialize(pivot.pivot_latest(latest, pivot.signal_list(rows)))
     dated = loaded.withColumn("signal_date", F.to_date("signal_timestamp"))

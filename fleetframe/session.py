@@ -16,6 +16,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Checkpoints go away with the frames that use them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

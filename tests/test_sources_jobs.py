@@ -196,6 +196,10 @@ def test_jobs_latest_wins(spark, lake):
     assert wide == {("1", "00:00"): (None, 1, 20), ("1", "00:05"): (None, 2, None), ("1", "00:10"): (None, 4, None),
                     ("1", "00:15"): (None, 5, 21), ("1", "00:20"): (None, 6, None), ("2", "00:00"): (0.5, 7, None)}
 
+    one_day = jobs.only_runs(stored, runs.latest_run_per_day(jobs.run_list(stored), 1))
+    scan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert jobs.Run(RUN3).id in scan.split("PartitionFilters")[1].split("]")[0]
+
     stats = jobs.export_pivot(spark, lake, lake.path("export"), max_days=1).first()
     exported = read("export")
     assert exported.columns == ["imo", "signal_timestamp", "loaddate", "flow", "rpm", "temp"]
