@@ -1,5 +1,6 @@
 """Column functions built from Spark SQL expressions."""
 
+from fleetframe.functions.names import exact, quoted
 from fleetframe.functions.payload import elements, falsy_json, is_only_detail, payload_status
 from fleetframe.functions.times import (
     LOADDATE_FORMAT,
@@ -15,11 +16,13 @@ __all__ = [
     "LOADDATE_FORMAT",
     "distance_us",
     "elements",
+    "exact",
     "falsy_json",
     "is_only_detail",
     "load_day",
     "loaddate_of",
     "payload_status",
+    "quoted",
     "run_time",
     "slot_of",
     "to_us",

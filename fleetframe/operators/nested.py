@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetframe import schemas
-from fleetframe.functions import elements, falsy_json
+from fleetframe.functions import elements, exact, falsy_json, quoted
 
 # Payload field that is not a signal (fixed value).
 TIMESTAMP_FIELD = "timestamp"
@@ -33,9 +35,13 @@ def active_ships(ships: DataFrame) -> DataFrame:
 
 
 def infer_ship_schema(ships: DataFrame) -> T.StructType:
-    """Schema of the ship objects, one distributed aggregation over the payloads."""
+    """Schema of the ship objects, one distributed aggregation over the payloads.
+
+    Objects become structs, numbers with a fraction DOUBLE.
+    """
     found = ships.agg(F.schema_of_variant_agg(F.try_parse_json("ship"))).first()[0]
-    return T.StructType.fromDDL(found.replace("OBJECT<", "STRUCT<").removeprefix("STRUCT<").removesuffix(">"))
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    return T.StructType.fromDDL(ddl.removeprefix("STRUCT<").removesuffix(">"))
 
 
 def parse_ships(ships: DataFrame, schema: T.StructType | str) -> DataFrame:
@@ -47,7 +53,8 @@ def unnest(df: DataFrame, column: str) -> DataFrame:
     """Lift the fields of a struct column one level, in place."""
     out: list[Column] = []
     for field in df.schema:
-        out.append(F.col(f"`{field.name}`.*") if field.name == column else F.col(f"`{field.name}`"))
+        name = quoted(field.name)
+        out.append(F.col(f"{name}.*") if field.name == column else F.col(name))
     return df.select(*out)
 
 
@@ -61,10 +68,10 @@ def child_table(df: DataFrame, key: str, column: str, stamp: str = "loaddate") -
     Empty and null lists keep one row with nulls.
     """
     element = df.schema[column].dataType.elementType
-    rows = df.select(key, F.explode_outer(column).alias(column), stamp)
+    rows = df.select(key, F.explode_outer(exact(column)).alias(column), stamp)
     if isinstance(element, T.StructType):
-        return rows.select(key, f"`{column}`.*", stamp)
-    return rows.select(key, column, stamp)
+        return rows.select(key, f"{quoted(column)}.*", stamp)
+    return rows.select(key, quoted(column), stamp)
 
 
 def child_tables(df: DataFrame, key: str = "imo") -> dict[str, DataFrame]:
@@ -87,7 +94,7 @@ def flatten_once(df: DataFrame) -> DataFrame:
 
 def void_to_string(df: DataFrame) -> DataFrame:
     """Columns that are null throughout (type VOID) become strings."""
-    voids = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema if isinstance(f.dataType, T.NullType)}
+    voids = {f.name: exact(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.NullType)}
     return df.withColumns(voids) if voids else df
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetframe import scale, schemas
+from fleetframe import schemas
+from fleetframe.functions import exact
 
 LOAD_INDEX = ["imo", "signal_timestamp", "loaddate"]
 
@@ -76,7 +77,7 @@ def pivot_conditional(df: DataFrame, signals: list[str] | None = None, index: li
 def unpivot(wide: DataFrame, index: list[str] = LOAD_INDEX) -> DataFrame:
     """Wide table back to long rows, without empty cells."""
     signals = [c for c in wide.columns if c not in LOAD_INDEX]
-    long = wide.unpivot(list(index), [scale._col(s) for s in signals], "signal", "signal_value")
+    long = wide.unpivot(list(index), [exact(s) for s in signals], "signal", "signal_value")
     return long.filter(F.col("signal_value").isNotNull())
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetframe import scale, schemas
-from fleetframe.scale import _col
+from fleetframe.functions import exact
 from fleetframe.session import materialize
 
 
@@ -28,7 +28,7 @@ def stage(source: DataFrame) -> DataFrame:
 def check_unique(source: DataFrame, keys: list[str]) -> None:
     """Fail if a (non-null) key repeats."""
     known = source.dropna(subset=keys)
-    repeated = known.groupBy(*[_col(k) for k in keys]).count().filter("count > 1")
+    repeated = known.groupBy(*[exact(k) for k in keys]).count().filter("count > 1")
     example = repeated.first()
     if example is not None:
         raise DuplicateKeyError(f"source key occurs {example['count']} times: {example.asDict()}")
@@ -78,8 +78,8 @@ def pivot_upsert(target: DataFrame, source: DataFrame, keys: list[str] = schemas
 
 def _marked(target: DataFrame, source: DataFrame, keys: list[str], how: str) -> DataFrame:
     new = source.select(
-        *[_col(k) for k in keys],
-        *[_col(c).alias(f"new:{c}") for c in source.columns if c not in keys],
+        *[exact(k) for k in keys],
+        *[exact(c).alias(f"new:{c}") for c in source.columns if c not in keys],
         F.lit(True).alias("new:matched"),
     )
     return target.join(new, keys, how)
@@ -88,8 +88,8 @@ def _marked(target: DataFrame, source: DataFrame, keys: list[str], how: str) ->
 def _chosen(columns: list[str], shared: list[str], keys: list[str], ignore_null: bool):
     for name in columns:
         if name in keys or name not in shared:
-            yield _col(name)
+            yield exact(name)
             continue
-        new, old = _col(f"new:{name}"), _col(name)
-        value = F.coalesce(new, old) if ignore_null else F.when(_col("new:matched"), new).otherwise(old)
+        new, old = exact(f"new:{name}"), exact(name)
+        value = F.coalesce(new, old) if ignore_null else F.when(exact("new:matched"), new).otherwise(old)
         yield value.alias(name)

@@ -177,7 +177,7 @@ def ingest_daily(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
     first = materialize(summary.first_seen(summary.tag_sources(reference, today, new)))
     kept = summary.summary_columns(quality.by_tag(first, "today", "new"))
     dated = kept.withColumn("summary_date", F.lit(run.day.strftime("%Y%m%d")))
-    tables.overwrite_partitions(dated, lake.path("daily_summary"), ["summary_date"])
+    tables.overwrite_partitions(dated, lake.path("daily_summary"), ["summary_date"], rebalance=False)
     tables.replace_table(kept, lake.path("timeseries_today"))
     store_gaps(spark, lake, rows)
     return summary.summary_columns(quality.by_tag(first, "new"))
@@ -267,10 +267,10 @@ def run_jobs(spark: SparkSession, lake: Lake, loaddate: str, mode: str = "all",
 
 def _write_run(df: DataFrame, lake: Lake, name: str, run: Run) -> None:
     stamped = df.withColumns({"run_date": F.lit(run.day), "run": F.lit(run.id)})
-    tables.overwrite_partitions(stamped, lake.path(name), ["run_date", "run"])
+    tables.overwrite_partitions(stamped, lake.path(name), ["run_date", "run"], rebalance=False)
 
 
 def _quarantine(bad: DataFrame, lake: Lake, run: Run) -> None:
     rows = bad.select(*QUARANTINE.fieldNames())
     kept = rows.withColumns({"run_date": F.to_date(run_time("loaddate")), "run": F.lit(run.id)})
-    tables.overwrite_partitions(kept, lake.path("quarantine"), ["run_date", "run", "entity"])
+    tables.overwrite_partitions(kept, lake.path("quarantine"), ["run_date", "run", "entity"], rebalance=False)

@@ -376,6 +376,36 @@ def _(spark, sf_dir):
     return pivot.pivot_latest(wide_latest(spark, sf_dir), signals)
 
 
+@query("export_roundtrip", BY_LOAD, "latest")
+def _(spark, sf_dir):
+    path = work_path(spark, "export")
+    signals = pivot.signal_list(quality.measurements(views.tele(spark, sf_dir)))
+    tables.export_pivot(pivot.pivot_long(latest(spark, sf_dir), signals, unique=True), path)
+    return spark.read.parquet(path)
+
+
+# --- tables ------------------------------------------------------------------------------------
+
+
+@query("void_to_string", "SELECT imo, signal, friendly_name, CAST(NULL AS VARCHAR) AS unit FROM catalog", "catalog")
+def _(spark, sf_dir):
+    return nested.void_to_string(views.catalog(spark, sf_dir).withColumn("unit", F.lit(None)))
+
+
+@query("table_maintenance", f"""SELECT {LONG.replace('signal_value', 'CASE WHEN signal_timestamp >= TIMESTAMP '
+    f"'{HISTORY_DAY}' THEN signal_value * 2 ELSE signal_value END AS signal_value")}
+    FROM measured UNION ALL SELECT {LONG} FROM nulls""", "measured", "nulls")
+def _(spark, sf_dir):
+    """Write, overwrite some partitions from the table itself, append, read with a schema."""
+    path = work_path(spark, "table")
+    rows = views.tele(spark, sf_dir).withColumn("signal_date", F.to_date("signal_timestamp"))
+    tables.write_table(quality.measurements(rows), path, partition_by=["signal_date"])
+    late = tables.read_table(spark, path, rows.schema).filter(F.col("signal_date") >= F.lit(HISTORY_DAY).cast("date"))
+    tables.overwrite_partitions(late.withColumn("signal_value", F.col("signal_value") * 2), path, ["signal_date"])
+    tables.append_table(rows.filter(F.col("signal_value").isNull()), path, ["signal_date"])
+    return tables.read_table(spark, path, rows.schema).drop("signal_date")
+
+
 # --- upserts and schema evolution --------------------------------------------------------------
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetframe.functions import exact
 from fleetframe.session import materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -22,7 +23,7 @@ def measured_bytes(df: DataFrame) -> int | None:
     fixed = [f.name for f in df.schema if isinstance(f.dataType, _FIXED_WIDTH)]
     if len(strings) + len(fixed) < len(df.columns):
         return None
-    text = reduce(Column.__add__, [F.coalesce(F.octet_length(_col(c)), F.lit(0)) for c in strings], F.lit(0))
+    text = reduce(Column.__add__, [F.coalesce(F.octet_length(exact(c)), F.lit(0)) for c in strings], F.lit(0))
     rows, chars = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(text.cast("long")), F.lit(0))).first()
     return rows * 16 * max(len(df.columns), 1) + chars
 
@@ -47,7 +48,7 @@ def anti_join(df: DataFrame, keys_df: DataFrame, keys: list[str], limit: int = B
 
 def without_keys(target: DataFrame, source: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
     """Rows of a large `target` that a small `source` does not touch. Keys are unique in `target`."""
-    source_keys = source.select(*[_col(k) for k in keys])
+    source_keys = source.select(*[exact(k) for k in keys])
     if fits_broadcast(source_keys, limit):
         source_keys = F.broadcast(source_keys)
     return target.join(source_keys, keys, "left_anti")
@@ -59,8 +60,8 @@ def not_in_target(source: DataFrame, target: DataFrame, keys: list[str], limit:
     The target's keys are first reduced to those of the source, so the target is never shuffled
     while the source is small. Keys are unique in `target`.
     """
-    target_keys = target.select(*[_col(k) for k in keys])
-    source_keys = source.select(*[_col(k) for k in keys])
+    target_keys = target.select(*[exact(k) for k in keys])
+    source_keys = source.select(*[exact(k) for k in keys])
     if fits_broadcast(source_keys, limit):
         target_keys = target_keys.join(F.broadcast(source_keys), keys, "left_semi")
     return source.join(target_keys, keys, "left_anti")
@@ -75,7 +76,7 @@ def left_join(df: DataFrame, small: DataFrame, keys: list[str], limit: int = BRO
 
 
 def _keyed_join(df: DataFrame, keys_df: DataFrame, keys: list[str], how: str, limit: int) -> DataFrame:
-    wanted = materialize(keys_df.select(*[_col(k) for k in keys]).distinct())
+    wanted = materialize(keys_df.select(*[exact(k) for k in keys]).distinct())
     if fits_broadcast(wanted, limit):
         return df.join(F.broadcast(wanted), keys, how)
     return _salted_join(df, wanted, keys, how, SALTS)
@@ -87,14 +88,9 @@ def _salted_join(df: DataFrame, small: DataFrame, keys: list[str], how: str, sal
     The salt is a hash of the row, not a random number, so a recomputed task sends each row to the
     same place. Equal copies of one row stay together; adaptive skew handling splits those.
     """
-    rest = [_col(c) for c in df.columns if c not in keys]
+    rest = [exact(c) for c in df.columns if c not in keys]
     salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
     copies = salts if rest else 1
     left = df.withColumn("_salt", salt)
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
-
-
-def _col(name: str) -> Column:
-    """Column by its exact name; signal names may contain dots or spaces."""
-    return F.col("`" + name.replace("`", "``") + "`")

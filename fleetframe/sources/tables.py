@@ -45,7 +45,9 @@ def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: lis
 
 
 def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    write_table(df, path, "append", partition_by)
+    """Append rows; with partition columns, few files per partition."""
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    write_table(rows, path, "append", partition_by)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -57,14 +59,16 @@ def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = Non
     write_table(staged, path, "overwrite", partition_by)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], rebalance: bool = True) -> None:
     """Replace only the partitions that `df` has rows for; `df` may read the same table.
 
     New files are staged and swapped in when all tasks are done, so the old ones can be read until
-    then. The rebalance hint gives few files per partition; adaptive execution splits a large one.
+    then. Rebalancing gives few files per partition, and adaptive execution splits a large one; it is
+    a shuffle, so leave it out when all rows belong to one partition anyway.
     """
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
     (
-        df.hint("rebalance", *partition_by).write.mode("overwrite")
+        rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partition_by)

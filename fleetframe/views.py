@@ -99,9 +99,10 @@ def latest_cells(spark: SparkSession, sf_dir: str, grain: str = "hour") -> DataF
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time-series payloads (entity, imo, loaddate, raw), one per ship and day, hourly points.
 
-    After deduplication a payload has at most 24 points per signal, so the groups are small.
+    After deduplication a payload has at most 24 points per signal, so the groups are small. Both
+    levels are collected where the payload's rows are placed.
     """
-    cells = latest_cells(spark, sf_dir).withColumn("load_day", load_day("loaddate"))
+    cells = latest_cells(spark, sf_dir).withColumn("load_day", load_day("loaddate")).repartition("imo", "load_day")
     at = F.date_format("signal_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     per_signal = cells.groupBy("imo", "load_day", "signal").agg(
         F.map_from_entries(F.collect_list(F.struct(at, F.col("signal_value")))).alias("points")

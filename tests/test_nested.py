@@ -41,7 +41,7 @@ def fleet(spark):
 def test_fleet_tables(spark):
     tables = nested.child_tables(fleet(spark))
     assert sorted(tables) == ["main_engines", "tags"]
-    engines = tables["main_engines"].select("imo", "no", F.col("kw").cast("double"), "loaddate")
+    engines = tables["main_engines"].select("imo", "no", "kw", "loaddate")
     assert rows(engines) == [("1", 1, 10.5, RUN), ("1", 2, 11.0, RUN), ("2", None, None, RUN)]
     assert rows(tables["tags"]) == [("1", "a", RUN), ("1", "b", RUN), ("2", None, RUN)]
     main = nested.main_table(fleet(spark))
@@ -51,6 +51,14 @@ def test_fleet_tables(spark):
     assert flat.schema["geo"].dataType.typeName() == "struct"
 
 
+def test_inferred_names_and_types(spark):
+    raw = json.dumps({"imo": "1", "data": {"a b": 1, "x-y": 1.25, "`q`": [1, 2.5], "none": None, "Ü": "u"}})
+    ships = nested.ships_of(payload(spark, raw))
+    data = nested.parse_ships(ships, nested.infer_ship_schema(ships)).select("data.*")
+    assert dict(data.dtypes) == {"a b": "bigint", "x-y": "double", "`q`": "array<double>", "none": "void", "Ü": "string"}
+    assert rows(data)[0] == tuple(data.select([F.col("`" + c.replace("`", "``") + "`") for c in data.columns]).first())
+
+
 def test_void_to_string(spark):
     df = nested.void_to_string(spark.sql("SELECT 1 AS a, null AS b"))
     assert df.dtypes == [("a", "int"), ("b", "string")]
