@@ -35,11 +35,18 @@ def active_ships(ships: DataFrame) -> DataFrame:
 
 
 def infer_ship_schema(ships: DataFrame) -> T.StructType:
-    """Schema of the ship objects, one distributed aggregation over the payloads.
+    """Schema of the ship objects, one distributed aggregation over the payloads."""
+    return _inferred(ships, "ship")
 
-    Objects become structs, numbers with a fraction DOUBLE.
-    """
-    found = ships.agg(F.schema_of_variant_agg(F.try_parse_json("ship"))).first()[0]
+
+def infer_signal_definition(payloads: DataFrame) -> T.StructType:
+    """All fields that signal definitions have."""
+    return _inferred(_signal_bodies(payloads), "body")
+
+
+def _inferred(df: DataFrame, column: str) -> T.StructType:
+    """Schema of JSON objects: objects become structs, numbers with a fraction DOUBLE."""
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
     ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
     return T.StructType.fromDDL(ddl.removeprefix("STRUCT<").removesuffix(">"))
 
@@ -93,9 +100,19 @@ def flatten_once(df: DataFrame) -> DataFrame:
 
 
 def void_to_string(df: DataFrame) -> DataFrame:
-    """Columns that are null throughout (type VOID) become strings."""
-    voids = {f.name: exact(f.name).cast("string") for f in df.schema if isinstance(f.dataType, T.NullType)}
-    return df.withColumns(voids) if voids else df
+    """Columns that are null throughout (type VOID) become strings, also inside structs and lists."""
+    typed = [(f.name, f.dataType, _without_void(f.dataType)) for f in df.schema]
+    return df.select(*[exact(n) if old == new else exact(n).cast(new).alias(n) for n, old, new in typed])
+
+
+def _without_void(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.NullType):
+        return T.StringType()
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _without_void(f.dataType), f.nullable) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_without_void(kind.elementType), kind.containsNull)
+    return kind
 
 
 def stamp(df: DataFrame, loaddate: str) -> DataFrame:
@@ -104,14 +121,19 @@ def stamp(df: DataFrame, loaddate: str) -> DataFrame:
 
 def signals_to_rows(payloads: DataFrame, definition: T.StructType = schemas.SIGNAL_DEFINITION) -> DataFrame:
     """Signal catalogue payloads: one row per (imo, signal) with the definition fields as columns."""
+    rows = _signal_bodies(payloads).select("imo", "signal", F.from_json("body", definition).alias("d"), "loaddate")
+    return void_to_string(flatten_once(rows.select("imo", "signal", "d.*", "loaddate")))
+
+
+def _signal_bodies(payloads: DataFrame) -> DataFrame:
+    """(imo, loaddate, signal, body): one JSON text per signal definition."""
     objects = payloads.select("loaddate", F.explode(elements(F.col("raw"))).alias("o"))
     maps = objects.select(
         F.get_json_object("o", "$.imo").alias("imo"),
         "loaddate",
         F.explode_outer(F.from_json(F.get_json_object("o", "$.signals"), "map<string,string>")).alias("signal", "body"),
     )
-    rows = _exploded(maps, "signal").select("imo", "signal", F.from_json("body", definition).alias("d"), "loaddate")
-    return void_to_string(flatten_once(rows.select("imo", "signal", "d.*", "loaddate")))
+    return _exploded(maps, "signal")
 
 
 def catalog_columns(signals: DataFrame) -> DataFrame:

@@ -62,6 +62,8 @@ def test_inferred_names_and_types(spark):
 def test_void_to_string(spark):
     df = nested.void_to_string(spark.sql("SELECT 1 AS a, null AS b"))
     assert df.dtypes == [("a", "int"), ("b", "string")]
+    deep = nested.void_to_string(spark.sql("SELECT named_struct('x', null, 'y', array(null)) AS s, 1 AS `a.b`"))
+    assert deep.dtypes == [("s", "struct<x:string,y:array<string>>"), ("a.b", "int")]
 
 
 def test_signals(spark):
@@ -74,6 +76,16 @@ def test_signals(spark):
         "signal", "friendly_name", "unit", "object_code", "name_code", "group_name", "sub_group"]
 
 
+def test_signal_definition_is_found(spark):
+    raw = json.dumps({"imo": "1", "signals": {"rpm": {"friendly_name": "S", "range": {"low": 0, "high": 9.5}},
+                                              "temp": {"friendly_name": None, "code": 7, "note": None}}})
+    definition = nested.infer_signal_definition(payload(spark, raw))
+    found = nested.signals_to_rows(payload(spark, raw), definition)
+    assert sorted(found.columns) == ["code", "friendly_name", "high", "imo", "loaddate", "low", "note", "signal"]
+    assert rows(found.select("signal", "code", "high", "note")) == [("rpm", None, 9.5, None), ("temp", 7, None, None)]
+    assert dict(found.dtypes)["note"] == "string"
+
+
 SERIES = json.dumps({"timestamp": "2024-01-31T00:05:00Z",
                      "rpm": {"2024-01-31T00:00:00Z": 1, "2024-01-31T00:05:00Z": None},
                      "temp": {"2024-01-31T00:00:00Z": 20.5, "2024-01-31T00:10:00Z": 21},
