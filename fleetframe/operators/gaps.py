@@ -28,7 +28,8 @@ GAP_KEY = ["imo", "signal", "gap_start"]
 
 def _slots(points: DataFrame, threshold: timedelta) -> DataFrame:
     """(imo, signal, first, last, loaddate): occupied slots; loaddate is that of the last point."""
-    slots = points.groupBy(*SERIES, slot_of("gap_start", threshold).alias("slot")).agg(
+    timed = points.filter(F.col("gap_start").isNotNull())
+    slots = timed.groupBy(*SERIES, slot_of("gap_start", threshold).alias("slot")).agg(
         F.min("gap_start").alias("first"),
         F.max(F.struct("gap_start", "loaddate")).alias("z"),
     )

@@ -14,8 +14,9 @@ from fleetframe.functions import elements, exact, falsy_json, quoted
 # Payload field that is not a signal (fixed value).
 TIMESTAMP_FIELD = "timestamp"
 
-# Points of one signal: ISO timestamp to number or null.
-POINTS = "map<string,double>"
+# Points of one signal: ISO timestamp to number or null. Read as text: a number type would void all
+# points of a signal for one value that is not a number.
+POINTS = "map<string,string>"
 
 
 def _no_points() -> Column:
@@ -145,13 +146,14 @@ def timeseries_to_long(payloads: DataFrame, densify: bool = False) -> DataFrame:
     """Time-series payloads (imo, loaddate, raw) to (imo, signal, signal_timestamp, signal_value, loaddate).
 
     With `densify`, a signal that lacks a timestamp another signal of the same payload has gets a
-    null there, that is, a gap. The timestamps travel with the row: nothing is shuffled.
+    null there, that is, a gap. The timestamps travel with the row: nothing is shuffled. A value that
+    is not a number is a null, a key that is not a timestamp gives a null timestamp.
     """
     objects = payloads.select("imo", "loaddate", F.explode(elements(F.col("raw"))).alias("o"))
     bodies = F.map_filter(F.from_json("o", "map<string,string>"), lambda name, _: name != TIMESTAMP_FIELD)
     if not densify:
         rows = _exploded(objects.select("imo", "loaddate", F.explode_outer(bodies).alias("signal", "body")), "signal")
-        cells = F.explode_outer(F.from_json("body", POINTS)).alias("at", "signal_value")
+        cells = F.explode_outer(F.from_json("body", POINTS)).alias("at", "value")
         return _long_columns(_exploded(rows.select("imo", "loaddate", "signal", cells), "at"))
     # A signal without points (null) takes part: all timestamps of the payload are missing there.
     points = F.transform_values(bodies, lambda _, body: F.coalesce(F.from_json(body, POINTS), _no_points()))
@@ -164,11 +166,11 @@ def timeseries_to_long(payloads: DataFrame, densify: bool = False) -> DataFrame:
     )
     absent = F.transform(
         F.array_except("times", F.map_keys("points")),
-        lambda at: F.struct(at.alias("key"), F.lit(None).cast("double").alias("value")),
+        lambda at: F.struct(at.alias("key"), F.lit(None).cast("string").alias("value")),
     )
     grid = rows.select("imo", "loaddate", "signal", F.explode(F.concat(F.map_entries("points"), absent)).alias("c"))
     return _long_columns(
-        grid.select("imo", "loaddate", "signal", F.col("c.key").alias("at"), F.col("c.value").alias("signal_value"))
+        grid.select("imo", "loaddate", "signal", F.col("c.key").alias("at"), F.col("c.value").alias("value"))
     )
 
 
@@ -180,5 +182,6 @@ def _exploded(df: DataFrame, key: str) -> DataFrame:
 
 def _long_columns(df: DataFrame) -> DataFrame:
     return df.select(
-        "imo", "signal", F.to_timestamp("at").alias("signal_timestamp"), "signal_value", "loaddate"
+        "imo", "signal", F.try_to_timestamp("at").alias("signal_timestamp"),
+        F.col("value").try_cast("double").alias("signal_value"), "loaddate",
     )

@@ -203,9 +203,10 @@ def export_pivot(spark: SparkSession, lake: Lake, output: str, max_days: int | N
     chosen = runs.latest_run_per_day(run_list(stored), max_days)
     rows = quality.measurements(only_runs(stored, chosen))
     latest = dedup.latest_wins(rows)
-    signals = pivot.signal_list(rows)
-    if max_signals is not None and len(signals) > max_signals:
-        # The names filter the scan, before the deduplication.
+    # The names become a filter of the scan, before the deduplication.
+    if max_signals is None:
+        signals = pivot.signal_list(rows)
+    else:
         signals = [row.signal for row in pivot.top_signals(latest, max_signals).collect()]
     tables.export_pivot(pivot.pivot_long(latest, signals, unique=True), output)
     return pivot.pivot_stats(spark.read.parquet(output))

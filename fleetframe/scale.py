@@ -83,14 +83,13 @@ def _keyed_join(df: DataFrame, keys_df: DataFrame, keys: list[str], how: str, li
 
 
 def _salted_join(df: DataFrame, small: DataFrame, keys: list[str], how: str, salts: int) -> DataFrame:
-    """A hot key is spread over `salts` partitions by its other columns, the small side is repeated.
+    """A hot key is spread over `salts` partitions, the small side is repeated for each.
 
-    The salt is a hash of the row, not a random number, so a recomputed task sends each row to the
-    same place. Equal copies of one row stay together; adaptive skew handling splits those.
+    The salt is a hash of the row and of the task's partition number, not a random number, so a
+    recomputed task sends each row to the same place; the partition number also spreads equal copies.
     """
     rest = [exact(c) for c in df.columns if c not in keys]
-    salt = F.pmod(F.xxhash64(*rest), F.lit(salts)).cast("int") if rest else F.lit(0)
-    copies = salts if rest else 1
+    salt = F.pmod(F.xxhash64(*rest, F.spark_partition_id()), F.lit(salts)).cast("int")
     left = df.withColumn("_salt", salt)
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")

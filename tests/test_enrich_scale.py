@@ -33,6 +33,16 @@ def test_global_fans_out_and_salted_form_agrees(spark):
     assert rows(small) == rows(salted.select(*small.columns))
 
 
+def test_salt_spreads_equal_copies(spark):
+    copies = spark.range(0, 8000, 1, 16).select(F.lit("1").alias("imo"), F.lit("rpm").alias("signal"))
+    for how in ("left", "left_semi"):
+        joined = scale._salted_join(copies, mapping(spark).distinct().filter("friendly_name = 'Speed'"),
+                                    ["imo", "signal"], how, 8)
+        assert joined.count() == 8000
+    salt = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(8))
+    assert copies.select(salt.alias("s")).distinct().count() > 4
+
+
 def test_salt_spreads_a_hot_key(spark):
     left = long(spark).withColumn("_salt", F.pmod(F.xxhash64("n"), F.lit(5)))
     sizes = [r["count"] for r in left.filter("imo = '1' AND signal = 'rpm'").groupBy("_salt").count().collect()]

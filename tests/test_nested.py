@@ -111,6 +111,15 @@ def test_timeseries_dense(spark):
     assert quality.measurements(long).count() + quality.gap_points(long).count() == long.count() == 3 * 3
 
 
+@pytest.mark.parametrize("densify", [False, True])
+def test_one_bad_value_leaves_the_others(spark, densify):
+    raw = json.dumps({"rpm": {"2024-01-31T00:00:00Z": 1.5, "2024-01-31T00:05:00Z": "n/a", "2024-01-31T00:10:00Z": True,
+                              "sometime": 4, "2024-01-31T00:15:00Z": "2"}, "temp": 7})
+    long = nested.timeseries_to_long(payload(spark, raw), densify).filter("signal = 'rpm'")
+    assert points(long) == [("rpm", "00:00", 1.5), ("rpm", "00:05", None), ("rpm", "00:10", None),
+                            ("rpm", "00:15", 2.0), ("rpm", None, 4.0)]
+
+
 def test_quarantine(spark):
     raws = {'{"detail": "no"}': "error", '[{"detail": "no"}]': "error", "[]": "empty", "{}": "empty", "[ ]": "empty",
             "": "empty", "null": "empty", '{"a": {': "corrupt", "oops": "corrupt", "[1, 2": "corrupt",
