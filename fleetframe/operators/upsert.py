@@ -1,9 +1,9 @@
 """Keyed upserts and schema evolution on plain Parquet tables.
 
 The target is large, the source is one load. The source is staged first (computed once, then
-checked, measured and joined from there). While it is small, the target is filtered or joined by
-broadcast and never shuffled; a larger source uses a shuffle join. Keys are unique on both sides, so
-no key is hot.
+checked, measured and joined from there). While its keys are few, the target is filtered by broadcast
+and never shuffled; a larger source uses a shuffle join. Keys are unique on both sides, so no key is
+hot.
 """
 
 from __future__ import annotations
@@ -55,41 +55,30 @@ def evolve(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def pivot_upsert(target: DataFrame, source: DataFrame, keys: list[str] = schemas.PIVOT_KEY,
-                 ignore_null: bool = False, check: bool = True, limit: int = scale.BROADCAST_BYTES) -> DataFrame:
+                 ignore_null: bool = False, check: bool = True, limit: int = scale.BROADCAST_BYTES,
+                 staged: bool = False) -> DataFrame:
     """Upsert wide rows: matched rows take every source column, null included; unmatched are added.
 
     Columns only the target has keep the target's value; columns only the source has are added.
-    With `ignore_null`, a null in the source does not overwrite.
+    With `ignore_null`, a null in the source does not overwrite. `staged` says that the source is
+    a stored table already.
+
+    A stored row is either passed on as it is or replaced, so the many columns of the target are not
+    compared one by one; old values are fetched only for the columns that need them.
     """
-    source = stage(source)
+    source = source if staged else stage(source)
     if check:
         check_unique(source, keys)
-    wide = evolve(target, source)
-    shared = [c for c in source.columns if c not in keys]
-    if not scale.fits_broadcast(source, limit):
-        joined = _marked(wide, source, keys, "full_outer")
-        return joined.select(*_chosen(wide.columns, shared, keys, ignore_null))
-    updated = _marked(wide, F.broadcast(source), keys, "left").select(
-        *_chosen(wide.columns, shared, keys, ignore_null)
-    )
-    added = scale.not_in_target(source, target, keys, limit)
-    return updated.unionByName(added, allowMissingColumns=True)
-
-
-def _marked(target: DataFrame, source: DataFrame, keys: list[str], how: str) -> DataFrame:
-    new = source.select(
-        *[exact(k) for k in keys],
-        *[exact(c).alias(f"new:{c}") for c in source.columns if c not in keys],
-        F.lit(True).alias("new:matched"),
-    )
-    return target.join(new, keys, how)
-
-
-def _chosen(columns: list[str], shared: list[str], keys: list[str], ignore_null: bool):
-    for name in columns:
-        if name in keys or name not in shared:
-            yield exact(name)
-            continue
-        new, old = exact(f"new:{name}"), exact(name)
-        value = F.coalesce(new, old) if ignore_null else F.when(exact("new:matched"), new).otherwise(old)
-        yield value.alias(name)
+    untouched = scale.without_keys(target, source, keys, limit)
+    kept = [c for c in target.columns if c not in keys and (ignore_null or c not in source.columns)]
+    loaded = _with_old_values(source, target, keys, kept, limit) if kept else source
+    return evolve(untouched, source).unionByName(loaded, allowMissingColumns=True)
+
+
+def _with_old_values(source: DataFrame, target: DataFrame, keys: list[str], kept: list[str], limit: int) -> DataFrame:
+    """Source rows with the stored values of `kept` where the source has none."""
+    stored = scale.of_keys(target.select(*[exact(c) for c in [*keys, *kept]]), source, keys, limit)
+    old = stored.select(*[exact(k) for k in keys], *[exact(c).alias(f"old:{c}") for c in kept])
+    values = [F.coalesce(exact(c), exact(f"old:{c}")).alias(c) if c in kept else exact(c) for c in source.columns]
+    added = [exact(f"old:{c}").alias(c) for c in kept if c not in source.columns]
+    return source.join(old, keys, "left").select(*values, *added)

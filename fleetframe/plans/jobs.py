@@ -108,8 +108,9 @@ def long_rows(spark: SparkSession, lake: Lake, run: Run, ships: list[str] | None
     _write_run(quality.run_audit(status), lake, "run_audit", run)
     _quarantine(status.filter(F.col("status") != "ok"), lake, run)
     good, _ = quality.split_errors(mine)
-    # Measurements and gaps are both taken from here.
-    return materialize(nested.timeseries_to_long(good, densify=True))
+    # A staging table, replaced by every run: measurements and gaps are both filtered scans of it.
+    tables.write_table(nested.timeseries_to_long(good, densify=True), lake.path("staging"), "overwrite")
+    return tables.read_table(spark, lake.path("staging"), POINTS)
 
 
 def ingest_timeseries(spark: SparkSession, lake: Lake, run: Run, ships: list[str] | None = None,
@@ -220,7 +221,7 @@ def load_gold(spark: SparkSession, lake: Lake, run: Run) -> None:
     dated = loaded.withColumn("signal_date", F.to_date("signal_timestamp"))
     days = [row.signal_date for row in dated.select("signal_date").distinct().collect()]
     stored = gold(spark, lake).filter(F.col("signal_date").isin(days))
-    merged = upsert.pivot_upsert(stored, dated, [*schemas.PIVOT_KEY, "signal_date"])
+    merged = upsert.pivot_upsert(stored, dated, [*schemas.PIVOT_KEY, "signal_date"], staged=True)
     _add_columns(spark, lake, [c for c in loaded.columns if c not in schemas.PIVOT.fieldNames()])
     tables.overwrite_partitions(merged, lake.path("gold"), ["signal_date"])
 

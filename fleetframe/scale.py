@@ -48,10 +48,12 @@ def anti_join(df: DataFrame, keys_df: DataFrame, keys: list[str], limit: int = B
 
 def without_keys(target: DataFrame, source: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
     """Rows of a large `target` that a small `source` does not touch. Keys are unique in `target`."""
-    source_keys = source.select(*[exact(k) for k in keys])
-    if fits_broadcast(source_keys, limit):
-        source_keys = F.broadcast(source_keys)
-    return target.join(source_keys, keys, "left_anti")
+    return target.join(_small_keys(source, keys, limit), keys, "left_anti")
+
+
+def of_keys(target: DataFrame, source: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of a large `target` that a small `source` touches. Keys are unique in `target`."""
+    return target.join(_small_keys(source, keys, limit), keys, "left_semi")
 
 
 def not_in_target(source: DataFrame, target: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -60,11 +62,13 @@ def not_in_target(source: DataFrame, target: DataFrame, keys: list[str], limit:
     The target's keys are first reduced to those of the source, so the target is never shuffled
     while the source is small. Keys are unique in `target`.
     """
-    target_keys = target.select(*[exact(k) for k in keys])
-    source_keys = source.select(*[exact(k) for k in keys])
-    if fits_broadcast(source_keys, limit):
-        target_keys = target_keys.join(F.broadcast(source_keys), keys, "left_semi")
-    return source.join(target_keys, keys, "left_anti")
+    known = of_keys(target.select(*[exact(k) for k in keys]), source, keys, limit)
+    return source.join(known, keys, "left_anti")
+
+
+def _small_keys(source: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    wanted = source.select(*[exact(k) for k in keys])
+    return F.broadcast(wanted) if fits_broadcast(wanted, limit) else wanted
 
 
 def left_join(df: DataFrame, small: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES,
