@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 Each query is built and written to the `noop` sink (all rows, all columns) after one warm-up
-query; the better of two timed runs counts. The `wide_*` entries run
+query; the best of three timed runs counts. The `wide_*` entries run
 on 1.2 million rows x 218 signals derived from `lineitem` (at sf0.1), stored as one file per core
 first; `wide_export` goes from those files to a written wide table.
 """
@@ -20,7 +20,7 @@ from fleetframe.sources import tables
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "2"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 HEADLINE = [
     "measurements", "gap_points", "latest_wins", "merge_history", "stage_counts",

@@ -150,3 +150,17 @@ def test_stream_batch_can_be_repeated(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out")).select(rows.columns)
     assert as_set(out) == as_set(dedup.latest_wins(rows, order=["loaddate", "event_id"]))
     assert out.count() == len(as_set(out))
+
+
+def test_rows_later_than_the_overlap_belong_to_the_batch_job(spark, tmp_path):
+    day = lambda n: T0 + timedelta(days=n)
+    schema = "imo string, signal string, signal_timestamp timestamp"
+    for rows in ([("1", "a", day(20))], [("1", "a", day(18)), ("1", "a", day(20)), ("1", "a", day(1))]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = streams.long_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        streams.start_first_seen(stream, str(tmp_path / "out"), str(tmp_path / "check"),
+                                 dedup.POINT_KEY).awaitTermination()
+    seen = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(r.signal_timestamp for r in seen.collect()) == [day(18), day(20)]
+    stored = spark.read.parquet(str(tmp_path / "in"))
+    assert stored.dropDuplicates(dedup.POINT_KEY).count() == 3
