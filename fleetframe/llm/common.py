@@ -72,7 +72,7 @@ def per_text(df: DataFrame, keep: list[str], text: str, schema: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        target = to_arrow_schema(out, timezone="UTC")
+        target = to_arrow_schema(out)
         for block, texts in text_blocks(batches, "_text"):
             values = worker(texts)
             arrays = [block.column(c).cast(target.field(c).type) for c in keep]

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from fleetframe.llm import byte_bpe
+from fleetframe.llm import byte_bpe, token_counts
 
 QUERIES = {
+    "op6_token_counts": token_counts.op6_token_counts,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
 }
 SQL: dict[str, str] = {}
