@@ -19,8 +19,9 @@ from heapq import heappop, heappush
 import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fleetframe.llm.common import per_text, read
+from fleetframe.llm.common import per_text, read, ship
 
 UNIT_CACHE = 300_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -198,13 +199,12 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str
 
 def decode(encoded: DataFrame, path: str, pattern: str, keep: list[str], ids: str = "ids") -> DataFrame:
     """The `keep` columns and `decoded`, the bytes of the ids; null ids give empty bytes."""
-    from pyspark.sql import functions as F
-
     @F.pandas_udf("binary")
     def decoded(column: "pd.Series") -> "pd.Series":  # noqa: F821
         tokens = replay_for(path, pattern).tokens
         return column.map(lambda x: b"" if x is None else b"".join([tokens[i] for i in x]))
 
+    ship(encoded.sparkSession)
     return encoded.select(*keep, decoded(ids).alias("decoded"))
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import fleetframe
 from fleetframe.session import work_path
 
 BLOCK_CHARS = 12_000_000
@@ -18,6 +22,25 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per Spark context."""
+    context, home = spark.sparkContext, Path(fleetframe.__file__).parent
+    if getattr(context, "_fleetframe_shipped", False) or not home.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="fleetframe-")) / "fleetframe.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in sorted(home.rglob("*.py")):
+            packed.write(module, module.relative_to(home.parent))
+    context.addPyFile(str(archive))
+    context._fleetframe_shipped = True
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with this package on the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once below the session's shared folder and read back: computed once, lineage cut."""
     path = work_path(df.sparkSession, name)
@@ -79,4 +102,4 @@ def per_text(df: DataFrame, keep: list[str], text: str, schema: str,
             arrays += [pa.array(values[f.name], type=target.field(f.name).type) for f in made]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
-    return source.mapInArrow(run, out)
+    return map_arrow(source, run, out)
