@@ -2,10 +2,26 @@
 
 from __future__ import annotations
 
-from fleetframe.llm import byte_bpe, token_counts
+from fleetframe.llm import (
+    byte_bpe,
+    language_id,
+    line_dedup,
+    secret_scan,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 
 QUERIES = {
+    "op2_url_filter": url_filter.op2_url_filter,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op8_secret_scan": secret_scan.op8_secret_scan,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_language_id": language_id.op10_language_id,
+}
+SQL: dict[str, str] = {
+    "op2_url_filter": url_filter.OP2_SQL,
+    "op9_line_dedup": line_dedup.OP9_SQL,
 }
-SQL: dict[str, str] = {}
