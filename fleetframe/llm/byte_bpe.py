@@ -7,8 +7,6 @@ applied in rank order, each at all its positions, touching only the neighbours o
 Words do not influence each other, so results do not depend on where blocks begin.
 """
 
-from __future__ import annotations
-
 import base64
 import hashlib
 import re
@@ -17,6 +15,7 @@ from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
+import pandas as pd
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -192,7 +191,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str
     """
     def worker(texts: list[str | None]) -> dict[str, list]:
         packed = replay_for(path, pattern).encode_packed([t or "" for t in texts])
-        return {"ids": [array("i", p).tolist() for p in packed]}
+        return {"ids": [np.frombuffer(p, dtype="<i4") for p in packed]}
 
     return per_text(docs, keep, text, "ids array<int>", worker)
 
@@ -200,7 +199,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str
 def decode(encoded: DataFrame, path: str, pattern: str, keep: list[str], ids: str = "ids") -> DataFrame:
     """The `keep` columns and `decoded`, the bytes of the ids; null ids give empty bytes."""
     @F.pandas_udf("binary")
-    def decoded(column: "pd.Series") -> "pd.Series":  # noqa: F821
+    def decoded(column: pd.Series) -> pd.Series:
         tokens = replay_for(path, pattern).tokens
         return column.map(lambda x: b"" if x is None else b"".join([tokens[i] for i in x]))
 
@@ -222,6 +221,20 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep: list[str], text:
     return per_text(docs, keep, text, "n_tokens long, ids_sha256 string, decoded_sha256 string", worker)
 
 
+def encode_checked(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:
+    """Per row: `ids`, n_tokens, and `exact`, whether the decoded ids are the bytes of the text."""
+    def worker(texts: list[str | None]) -> dict[str, list]:
+        own, texts = replay_for(path, pattern), [t or "" for t in texts]
+        packed = own.encode_packed(texts)
+        return {
+            "ids": [np.frombuffer(p, dtype="<i4") for p in packed],
+            "n_tokens": [len(p) // 4 for p in packed],
+            "exact": [own.decode_packed(p) == t.encode() for p, t in zip(packed, texts, strict=True)],
+        }
+
+    return per_text(docs, keep, text, "ids array<int>, n_tokens long, exact boolean", worker)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokenizers
 

@@ -48,6 +48,19 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that `df` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def named(df: DataFrame, *columns: str) -> list[Column]:
+    """Columns of `df` by name, whatever characters the names hold."""
+    return [df["`" + c.replace("`", "``") + "`"] for c in (columns or df.columns)]
+
+
 def row_key(*columns: str) -> Column:
     """128 bits of the named columns: equal rows share a key, null columns are allowed."""
     return F.concat_ws("-", F.hex(F.xxhash64(*columns)), F.hex(F.xxhash64(F.lit("row"), *columns)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetframe.llm.common import BROADCAST_BYTES, read, row_key, staged
+from fleetframe.llm.common import BROADCAST_BYTES, named, read, row_key, staged, unused
 
 RATIO = 0.02
 MIN_PAGES = 10
@@ -43,45 +43,47 @@ def boilerplate(docs: DataFrame, site: str, text: str, ratio: float = RATIO, min
 
 
 def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
-    """`docs` with boilerplate lines taken out of `text`, and `_dropped`, the number of lines that went.
+                     min_pages: int = MIN_PAGES, dropped: str = "n_dropped") -> DataFrame:
+    """`docs` with boilerplate lines taken out of `text`; `dropped` is added, the number of lines that went.
 
     Kept lines stay as they are, in their order, joined by a line feed; blank lines are never boilerplate. A
     text without boilerplate is unchanged, null stays null, a text of boilerplate alone becomes empty.
     Repeated rows are pages of their own. The other columns pass through, whatever their names.
     """
     found = staged(boilerplate(docs, site, text, ratio, min_pages).select("site", "line"), "boilerplate")
-    size = found.count() * 80
-    if size <= BROADCAST_BYTES:
-        # At most 1/ratio times the lines of a mean page for each site: a row of the sites' list of lines.
-        lists = found.groupBy("site").agg(F.collect_set("line").alias("_lines")).withColumnRenamed("site", "_site")
-        joined = docs.join(F.broadcast(lists), F.col(site).eqNullSafe(F.col("_site")), "left")
+    lines_name = unused(docs, "_lines")
+    if found.count() * 80 <= BROADCAST_BYTES:
+        # For each site at most 1/ratio times the lines of a mean page.
+        of = unused(docs, "_of")
+        lists = found.groupBy(F.col("site").alias(of)).agg(F.collect_set("line").alias(lines_name))
+        joined = docs.join(F.broadcast(lists), docs[site].eqNullSafe(lists[of]), "left").drop(of)
     else:
-        joined = _by_shuffle(docs, found, site, text)
-    lines = lines_of(F.col(text))
-    kept = F.filter(lines, lambda x: F.coalesce(~F.array_contains(F.col("_lines"), line_id(x)), F.lit(True)))
-    staged_lines = joined.withColumn("_kept", F.when(F.col("_lines").isNotNull() & F.col(text).isNotNull(), kept))
-    dropped = F.when(F.col("_kept").isNull(), 0).otherwise(F.size(lines) - F.size("_kept")).cast("long")
-    cleaned = F.when(F.col("_kept").isNull() | (dropped == 0), F.col(text)).otherwise(F.array_join("_kept", "\n"))
-    return staged_lines.select(*[F.col(f"`{c}`") if c != text else cleaned.alias(text) for c in docs.columns],
-                               dropped.alias("_dropped"))
-
-
-def _by_shuffle(docs: DataFrame, found: DataFrame, site: str, text: str) -> DataFrame:
+        joined = _by_shuffle(docs, found, site, text, lines_name)
+    lines, listed = lines_of(joined[text]), joined[lines_name]
+    kept = F.filter(lines, lambda x: F.coalesce(~F.array_contains(listed, line_id(x)), F.lit(True)))
+    kept_name = unused(joined, "_kept")
+    cut = joined.withColumn(kept_name, F.when(listed.isNotNull() & joined[text].isNotNull(), kept))
+    gone = F.when(cut[kept_name].isNull(), 0).otherwise(F.size(lines_of(cut[text])) - F.size(cut[kept_name])).cast("long")
+    cleaned = F.when(cut[kept_name].isNull() | (gone == 0), cut[text]).otherwise(F.array_join(cut[kept_name], "\n"))
+    return cut.select(*[c if n != text else cleaned.alias(text) for n, c in zip(docs.columns, named(cut, *docs.columns), strict=True)],
+                      gone.alias(dropped))
+
+
+def _by_shuffle(docs: DataFrame, found: DataFrame, site: str, text: str, lines_name: str) -> DataFrame:
     """For lists beyond a broadcast: the boilerplate lines of each row are joined line by line."""
-    keyed = docs.withColumn("_row", row_key(site, text))
-    own = keyed.select("_row", F.col(site).alias("_of"), F.explode(
-        F.array_distinct(F.transform(lines_of(F.col(text)), line_id))).alias("line")).distinct()
-    lists = (own.join(found, F.col("_of").eqNullSafe(F.col("site")) & (own["line"] == found["line"]))
-             .groupBy("_row").agg(F.collect_set(own["line"]).alias("_lines")))
-    return keyed.join(lists, "_row", "left").drop("_row")
+    row, of = unused(docs, "_row"), unused(docs, "_of")
+    ids = F.array_distinct(F.transform(lines_of(docs[text]), line_id))
+    own = docs.select(row_key(site, text).alias(row), docs[site].alias(of), F.explode(ids).alias("own")).distinct()
+    lists = (own.join(found, F.col(of).eqNullSafe(F.col("site")) & (F.col("own") == F.col("line")))
+             .groupBy(row).agg(F.collect_set("own").alias(lines_name)))
+    return docs.withColumn(row, row_key(site, text)).join(lists, row, "left").drop(row)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents by source: lines, dropped lines and the digest of the text that stays."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
     cleaned = drop_boilerplate(docs.withColumn("n_lines", F.coalesce(F.size(lines_of(F.col("text"))), F.lit(0)).cast("long")))
-    return cleaned.select("doc_id", "n_lines", F.col("_dropped").alias("n_dropped"),
+    return cleaned.select("doc_id", "n_lines", "n_dropped",
                           F.length("text").cast("long").alias("n_chars_kept"),
                           F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 

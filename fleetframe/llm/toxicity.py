@@ -10,8 +10,6 @@ around them are matched with an edit. A window around each hit tells a quoted te
 evidence of a text and its density become a probability by a logistic fit on the sample.
 """
 
-from __future__ import annotations
-
 import math
 import re
 import zlib
@@ -20,11 +18,12 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetframe.llm.common import in_fold, map_arrow, per_text, read, staged, text_blocks
+from fleetframe.llm.common import in_fold, map_arrow, per_text, read, ship, staged, text_blocks
 
 TRAINING_ROWS = 40_000
 MAX_CANDIDATES = 4_000
@@ -276,6 +275,18 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, keep: list[str], text: str = "te
     return per_text(docs, keep, text, "score double, predicted int, n_terms long", worker)
 
 
+def drop_toxic(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """`docs` without the rows whose text scores 0.5 or more; null and empty texts stay, columns unchanged."""
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def rejected(texts: pd.Series) -> pd.Series:
+        automaton = Automaton(lexicon)
+        return texts.map(lambda t: bool(t) and score_of(*evidence(t, automaton)[:2], lexicon.fit) >= 0.5)
+
+    return docs.where(~rejected(F.col(text).cast("string")))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "labels")
     held_out = in_fold("doc_id", 5, 0)
