@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from fleetframe.llm import (
     byte_bpe,
+    decontaminate,
+    embedding_dedup,
     language_id,
     line_dedup,
+    minhash,
     secret_scan,
     token_counts,
     toxicity,
@@ -13,8 +16,11 @@ from fleetframe.llm import (
 )
 
 QUERIES = {
+    "op1_minhash": minhash.op1_minhash,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_toxicity": toxicity.op3_toxicity,
+    "op4_embedding_dedup": embedding_dedup.op4_embedding_dedup,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_byte_bpe": byte_bpe.op7_byte_bpe,
     "op8_secret_scan": secret_scan.op8_secret_scan,
@@ -23,5 +29,6 @@ QUERIES = {
 }
 SQL: dict[str, str] = {
     "op2_url_filter": url_filter.OP2_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
 }
