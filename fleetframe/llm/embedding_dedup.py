@@ -5,6 +5,7 @@ all combinations of one code word per block of the (randomly rotated) coordinate
 are list-decoded from a few scores per block without looking at the rest. Vectors that share a filter
 are compared exactly. Threshold and number of filters follow from the number of vectors and the cosine:
 a vector meets few strangers in a filter, and two vectors at the cosine share SHARED filters on average.
+The filters of a product code are not independent, so there are several tables with codes of their own.
 """
 
 from __future__ import annotations
@@ -22,10 +23,13 @@ from fleetframe.llm.common import map_arrow, read, row_key, staged
 from fleetframe.llm.components import components
 
 COSINE = 0.9
-SHARED = 16.0
+SHARED = 6.0
 STRANGERS = 2.0
 LEAST_ROWS = 2_000
-MAX_CODE = 1024
+MAX_CODE = 4096
+#: Highest share of pairs at the cosine that may miss each other in all tables, and pairs tried to measure it.
+MISSED = 1e-3
+TRIED = 400
 
 
 def _marginal(grid: np.ndarray, dims: int) -> np.ndarray:
@@ -34,33 +38,56 @@ def _marginal(grid: np.ndarray, dims: int) -> np.ndarray:
     return weight / weight.sum()
 
 
+def _width(dims: int) -> int:
+    """Coordinates after padding: a power of two."""
+    return max(4, 1 << (dims - 1).bit_length())
+
+
 @lru_cache(maxsize=32)
-def filter_plan(dims: int, rows: int, cosine: float = COSINE) -> tuple[float, int, int]:
-    """Threshold, blocks and code words per block for `rows` vectors of `dims` coordinates."""
-    grid = np.linspace(-1.0, 1.0, 8001)
-    mass = _marginal(grid, max(dims, 4))
-    above = mass[::-1].cumsum()[::-1]
-    at = int(np.searchsorted(-above, -STRANGERS / max(rows, LEAST_ROWS)))
-    at = min(at, len(grid) - 2)
-    threshold = float(grid[at])
-    rest = _marginal(grid, max(dims, 4) - 1)
-    rest_above = np.append(rest[::-1].cumsum()[::-1], 0.0)
-    needed = (threshold - cosine * grid[at:]) / np.maximum(math.sqrt(1 - cosine * cosine) * np.sqrt(1 - grid[at:] ** 2), 1e-12)
-    both = float((mass[at:] * rest_above[np.clip(np.ceil((np.clip(needed, -1.0, 1.001) + 1) * 4000), 0, 8001).astype(int)]).sum())
-    filters = max(1.0, SHARED / max(both, 1e-300))
+def filter_plan(dims: int, rows: int, cosine: float = COSINE) -> tuple[float, int, int, int]:
+    """Threshold, blocks, code words per block and number of tables for `rows` vectors of `dims` coordinates.
+
+    A filter holds STRANGERS of `rows` random vectors, but is never so narrow that of two vectors at the
+    cosine the second seldom passes where the first does. The number of tables follows from the share
+    of such pairs that one table misses, measured on TRIED random ones.
+    """
+    width, grid = _width(dims), np.linspace(-1.0, 1.0, 8001)
+    mass, rest = _marginal(grid, width), _marginal(grid, width - 1)
+    above, rest_above = mass[::-1].cumsum()[::-1], np.append(rest[::-1].cumsum()[::-1], 0.0)
+
+    def both(at: int) -> float:
+        t = grid[at:]
+        needed = (t[0] - cosine * t) / np.maximum(math.sqrt(max(1 - cosine * cosine, 0.0)) * np.sqrt(np.maximum(1 - t * t, 0.0)), 1e-12)
+        spot = np.clip(np.ceil((np.clip(needed, -1.0, 1.001) + 1) * 4000), 0, 8001).astype(int)
+        return float((mass[at:] * rest_above[spot]).sum())
+
+    at = min(int(np.searchsorted(-above, -STRANGERS / max(rows, LEAST_ROWS))), len(grid) - 2)
+    while at > 4000 and both(at) < 0.05 * above[at]:
+        at -= 10
+    filters = max(1.0, SHARED / both(at))
     blocks = 1
-    while filters ** (1 / blocks) > MAX_CODE and blocks * 8 <= dims:
+    while filters ** (1 / blocks) > MAX_CODE and 8 * blocks <= width:
         blocks *= 2
-    return threshold, blocks, max(2, math.ceil(filters ** (1 / blocks)))
+    plan = float(grid[at]), blocks, max(2, math.ceil(filters ** (1 / blocks)))
+
+    made = np.random.Generator(np.random.PCG64([dims, rows]))
+    first, other = made.standard_normal((2, TRIED, dims))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    other -= (other * first).sum(axis=1, keepdims=True) * first
+    other /= np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-12)
+    second = cosine * first + math.sqrt(max(1 - cosine * cosine, 0.0)) * other
+    own = CapFilters(dims, plan, 0)
+    missed = sum(not np.intersect1d(a, b).size for a, b in zip(own.decode(first), own.decode(second), strict=True))
+    return *plan, max(1, math.ceil(math.log(MISSED) / math.log((missed + 1) / (TRIED + 2))))
 
 
 class CapFilters:
-    """The rotation and the product code of one dimension."""
+    """The rotation and the product code of one table."""
 
-    def __init__(self, dims: int, rows: int, cosine: float):
-        self.threshold, self.blocks, words = filter_plan(dims, rows, cosine)
-        self.width = max(self.blocks, 1 << (dims - 1).bit_length())
-        made = np.random.Generator(np.random.PCG64([dims, words]))
+    def __init__(self, dims: int, plan: tuple[float, int, int], table: int):
+        self.threshold, self.blocks, words = plan
+        self.width = _width(dims)
+        made = np.random.Generator(np.random.PCG64([dims, words, table]))
         self.signs = made.choice([-1.0, 1.0], size=(2, self.width))
         code = made.standard_normal((self.blocks, words, self.width // self.blocks))
         self.code = code / np.linalg.norm(code, axis=2, keepdims=True) / math.sqrt(self.blocks)
@@ -103,8 +130,17 @@ class CapFilters:
 
 
 @lru_cache(maxsize=8)
-def cap_filters(dims: int, rows: int, cosine: float) -> CapFilters:
-    return CapFilters(dims, rows, cosine)
+def cap_filters(dims: int, rows: int, cosine: float) -> list[CapFilters]:
+    """All tables for vectors of one length."""
+    *plan, tables = filter_plan(dims, rows, cosine)
+    return [CapFilters(dims, tuple(plan), table) for table in range(tables)]
+
+
+def filters_of(units: np.ndarray, rows: int, cosine: float) -> list[np.ndarray]:
+    """For each unit vector its filters in all tables, numbered apart."""
+    tables = cap_filters(units.shape[1], rows, cosine)
+    lists = [[ids * len(tables) + t for ids in table.decode(units)] for t, table in enumerate(tables)]
+    return [np.concatenate(own) for own in zip(*lists, strict=True)]
 
 
 def with_filters(classes: DataFrame, rows: int, cosine: float) -> DataFrame:
@@ -121,7 +157,7 @@ def with_filters(classes: DataFrame, rows: int, cosine: float) -> DataFrame:
                     at = [i for i, v in enumerate(vectors) if len(v) == dims]
                     own = np.stack([vectors[i] for i in at])
                     own = own / np.abs(own).max(axis=1, keepdims=True)
-                    lists = cap_filters(dims, rows, cosine).decode(own / np.linalg.norm(own, axis=1, keepdims=True))
+                    lists = filters_of(own / np.linalg.norm(own, axis=1, keepdims=True), rows, cosine)
                     for i, ids in zip(at, lists, strict=True):
                         found[i] = ids
                 yield pa.RecordBatch.from_arrays(
@@ -132,17 +168,12 @@ def with_filters(classes: DataFrame, rows: int, cosine: float) -> DataFrame:
 
 
 def class_links(classes: DataFrame, rows: int, cosine: float) -> DataFrame:
-    """(a, b): classes whose vectors have at least the cosine, a < b, found through a common filter.
-
-    A pair is compared once: in the first of the filters that both pass.
-    """
+    """(a, b): classes whose vectors have at least the cosine, a < b, found through a common filter."""
     filters = staged(with_filters(classes, rows, cosine), "filters")
-    spread = filters.select("id", "dims", "filters", F.explode("filters").alias("filter"))
+    spread = filters.select("id", "dims", F.explode("filters").alias("filter"))
     left, right = (spread.select(*[F.col(c).alias(f"{c}_{side}") for c in spread.columns]) for side in "ab")
-    common = F.array_intersect("filters_a", "filters_b")
-    first = (F.col("id_a") < F.col("id_b")) & (F.element_at(common, 1) == F.col("filter_a"))
-    same = (F.col("filter_a") == F.col("filter_b")) & (F.col("dims_a") == F.col("dims_b"))
-    pairs = left.join(right, same & first).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    same = (F.col("filter_a") == F.col("filter_b")) & (F.col("dims_a") == F.col("dims_b")) & (F.col("id_a") < F.col("id_b"))
+    pairs = left.join(right, same).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
     normed = classes.select("id", "vector", norm.alias("norm"))
     a, b = (normed.select(F.col("id").alias(s), F.col("vector").alias(f"v{s}"), F.col("norm").alias(f"n{s}")) for s in "ab")
