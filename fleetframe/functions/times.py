@@ -37,7 +37,7 @@ def slot_of(ts: Column | str, width: timedelta) -> Column:
     """Number of the half-open slot [k*width, (k+1)*width) holding `ts`; exact also before 1970."""
     micros = F.unix_micros(_column(ts))
     size = F.lit(to_us(width)).cast("long")
-    return ((micros - F.pmod(micros, size)) / size).cast("long")
+    return F.call_function("div", micros - F.pmod(micros, size), size)
 
 
 def _column(value: Column | str) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetframe import scale
 from fleetframe.functions import distance_us, slot_of, to_us
+from fleetframe.operators.dedup import first_wins
 from fleetframe.session import materialize
 
 # Greatest distance of two points of one gap (fixed values): the default and the finer variant.
@@ -28,6 +29,8 @@ GAP_KEY = ["imo", "signal", "gap_start"]
 
 def _slots(points: DataFrame, threshold: timedelta) -> DataFrame:
     """(imo, signal, first, last, loaddate): occupied slots; loaddate is that of the last point."""
+    if threshold <= timedelta(0):
+        raise ValueError("the threshold of a gap must be positive")
     timed = points.filter(F.col("gap_start").isNotNull())
     slots = timed.groupBy(*SERIES, slot_of("gap_start", threshold).alias("slot")).agg(
         F.min("gap_start").alias("first"),
@@ -74,10 +77,33 @@ def gap_sessions(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> Dat
 
 
 def new_gaps(table: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Gaps whose key (imo, signal, gap_start) is not stored yet, one row per key."""
-    return scale.not_in_target(materialize(gaps.dropDuplicates(GAP_KEY)), table, GAP_KEY)
+    """Gaps that are not stored yet, or stored with an earlier end; one row per key, the longest."""
+    longest = materialize(first_wins(gaps, GAP_KEY, [F.desc("gap_end"), F.desc("loaddate")]))
+    known = scale.of_keys(table.select(*GAP_KEY, F.col("gap_end").alias("known_end")), longest, GAP_KEY)
+    joined = longest.join(known.groupBy(*GAP_KEY).agg(F.max("known_end").alias("known_end")), GAP_KEY, "left")
+    return joined.filter(F.col("known_end").isNull() | (F.col("gap_end") > F.col("known_end"))).select(*gaps.columns)
 
 
 def append_gaps(table: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Stored gaps plus the new ones; appending the same gaps again changes nothing."""
-    return table.unionByName(new_gaps(table, gaps))
+    """Stored gaps, those that have grown replaced, plus the new ones. The same gaps again change nothing."""
+    new = materialize(new_gaps(table, gaps))
+    return scale.without_keys(table, new, GAP_KEY).unionByName(new)
+
+
+def merge_points(intervals: DataFrame, points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
+    """Intervals after further null points came in: points may extend intervals or join two of them.
+
+    Only series with new points are merged again; the others pass.
+    """
+    found = materialize(gap_intervals(points, threshold))
+    touched = found.select(*SERIES).distinct()
+    same = scale.semi_join(intervals, touched, SERIES)
+    both = same.select(*found.columns).unionByName(found)
+    by_time = Window.partitionBy(*SERIES).orderBy("gap_start", "gap_end", "loaddate")
+    ended = F.max("gap_end").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    opens = ended.isNull() | (distance_us(F.col("gap_start"), ended) > to_us(threshold))
+    island = F.sum(F.col("opens").cast("int")).over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    grouped = both.withColumn("opens", opens).withColumn("island", island).groupBy(*SERIES, "island")
+    merged = grouped.agg(F.min("gap_start").alias("gap_start"), F.max(F.struct("gap_end", "loaddate")).alias("z"))
+    merged = merged.select(*SERIES, "gap_start", "z.gap_end", "z.loaddate")
+    return scale.anti_join(intervals, touched, SERIES).select(*found.columns).unionByName(merged)

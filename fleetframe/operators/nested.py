@@ -48,6 +48,8 @@ def infer_signal_definition(payloads: DataFrame) -> T.StructType:
 def _inferred(df: DataFrame, column: str) -> T.StructType:
     """Schema of JSON objects: objects become structs, numbers with a fraction DOUBLE."""
     found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
+    if found is None or not found.startswith("OBJECT<"):
+        return T.StructType([])
     ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
     return T.StructType.fromDDL(ddl.removeprefix("STRUCT<").removesuffix(">"))
 
@@ -117,6 +119,7 @@ def _without_void(kind: T.DataType) -> T.DataType:
 
 
 def stamp(df: DataFrame, loaddate: str) -> DataFrame:
+    """The load stamp of a run, for rows that come without one."""
     return df.withColumn("loaddate", F.lit(loaddate))
 
 
@@ -142,19 +145,36 @@ def catalog_columns(signals: DataFrame) -> DataFrame:
     return signals.select("signal", *schemas.SIGNAL_FIELDS)
 
 
-def timeseries_to_long(payloads: DataFrame, densify: bool = False) -> DataFrame:
+def timeseries_to_long(payloads: DataFrame, densify: bool = False, strict: bool = False) -> DataFrame:
     """Time-series payloads (imo, loaddate, raw) to (imo, signal, signal_timestamp, signal_value, loaddate).
 
     With `densify`, a signal that lacks a timestamp another signal of the same payload has gets a
     null there, that is, a gap. The timestamps travel with the row: nothing is shuffled. A value that
-    is not a number is a null, a key that is not a timestamp gives a null timestamp.
+    is not a number is a null, a key that is not a timestamp gives a null timestamp. With `strict`
+    such cells are left out: they are neither measurements nor gaps (see `bad_cells`).
     """
+    cells = _cells(payloads, densify)
+    return _long_columns(cells.filter(~_is_bad()) if strict else cells)
+
+
+def bad_cells(payloads: DataFrame) -> DataFrame:
+    """Cells whose key is no timestamp or whose value is no number, with both as they were delivered."""
+    reason = F.when(F.try_to_timestamp("at").isNull(), "timestamp").otherwise("value")
+    return _cells(payloads, False).filter(_is_bad()).select("imo", "signal", "at", "value", reason.alias("reason"), "loaddate")
+
+
+def _is_bad() -> Column:
+    return F.try_to_timestamp("at").isNull() | (F.col("value").isNotNull() & F.col("value").try_cast("double").isNull())
+
+
+def _cells(payloads: DataFrame, densify: bool) -> DataFrame:
+    """(imo, loaddate, signal, at, value) as texts."""
     objects = payloads.select("imo", "loaddate", F.explode(elements(F.col("raw"))).alias("o"))
     bodies = F.map_filter(F.from_json("o", "map<string,string>"), lambda name, _: name != TIMESTAMP_FIELD)
     if not densify:
         rows = _exploded(objects.select("imo", "loaddate", F.explode_outer(bodies).alias("signal", "body")), "signal")
         cells = F.explode_outer(F.from_json("body", POINTS)).alias("at", "value")
-        return _long_columns(_exploded(rows.select("imo", "loaddate", "signal", cells), "at"))
+        return _exploded(rows.select("imo", "loaddate", "signal", cells), "at")
     # A signal without points (null) takes part: all timestamps of the payload are missing there.
     points = F.transform_values(bodies, lambda _, body: F.coalesce(F.from_json(body, POINTS), _no_points()))
     parsed = objects.select("imo", "loaddate", points.alias("signals"))
@@ -169,9 +189,7 @@ def timeseries_to_long(payloads: DataFrame, densify: bool = False) -> DataFrame:
         lambda at: F.struct(at.alias("key"), F.lit(None).cast("string").alias("value")),
     )
     grid = rows.select("imo", "loaddate", "signal", F.explode(F.concat(F.map_entries("points"), absent)).alias("c"))
-    return _long_columns(
-        grid.select("imo", "loaddate", "signal", F.col("c.key").alias("at"), F.col("c.value").alias("value"))
-    )
+    return grid.select("imo", "loaddate", "signal", F.col("c.key").alias("at"), F.col("c.value").alias("value"))
 
 
 def _exploded(df: DataFrame, key: str) -> DataFrame:

@@ -36,12 +36,17 @@ def check_unique(source: DataFrame, keys: list[str]) -> None:
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True,
                  limit: int = scale.BROADCAST_BYTES) -> DataFrame:
-    """Matched rows take all columns of the source, unmatched source rows are added."""
+    """Matched rows take all columns of the source, unmatched source rows are added.
+
+    Columns that only the target has keep the target's value.
+    """
     source = stage(source)
     if check:
         check_unique(source, keys)
     untouched = scale.without_keys(target, source, keys, limit)
-    return untouched.unionByName(source, allowMissingColumns=True)
+    kept = [c for c in target.columns if c not in source.columns]
+    loaded = _with_old_values(source, target, keys, kept, limit) if kept else source
+    return untouched.unionByName(loaded, allowMissingColumns=True)
 
 
 def missing_columns(target: DataFrame, source: DataFrame) -> list[str]:

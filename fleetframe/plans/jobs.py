@@ -17,7 +17,7 @@ from fleetframe import schemas
 from fleetframe.functions import run_time
 from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, summary, upsert
 from fleetframe.session import materialize
-from fleetframe.sources import landing, runs, tables
+from fleetframe.sources import jdbc, landing, runs, tables
 
 # Landing entities (fixed values).
 FLEET, SIGNALS, TIMESERIES = "ShipData", "Signals", "Timeseries"
@@ -26,6 +26,13 @@ RUN_COLUMNS = T.StructType([T.StructField("run_date", T.DateType()), T.StructFie
 POINTS = T.StructType([f for f in schemas.LONG.fields if f.name != "friendly_name"])
 QUARANTINE = T.StructType([*schemas.LANDING.fields, T.StructField("status", T.StringType()),
                            T.StructField("detail", T.StringType())])
+# One row per stored run, so that choosing runs does not open the measurements.
+MANIFEST = T.StructType([T.StructField("rows", T.LongType()), *RUN_COLUMNS.fields])
+ROLLED = T.StructType([T.StructField("day", T.StringType())])
+
+
+class NoShipsError(RuntimeError):
+    """The fleet payload of a run has no ships, so nothing was stored."""
 
 
 @dataclass(frozen=True)
@@ -38,6 +45,8 @@ class Lake:
     days_to_keep: int = runs.DAYS_TO_KEEP
     gap_threshold: timedelta = field(default=gaps.GAP_THRESHOLD)
     bundled: bool = False
+    # The history window takes the last run per ship and day; True: only those of the day's last hour.
+    last_hour_only: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.tables.rstrip('/')}/{name}"
@@ -71,24 +80,35 @@ def payloads(spark: SparkSession, lake: Lake, run: Run, entity: str) -> DataFram
 
 
 def ingest_fleet(spark: SparkSession, lake: Lake, run: Run, ship_schema: T.StructType | str | None = None) -> None:
-    """Ships with their child tables, active ships, signal definitions and the signal mapping."""
+    """Ships with their child tables, active ships, signal definitions and the signal mapping.
+
+    A run without ships (no payload, or an error answer) leaves all ship tables as they are and fails.
+    """
     good, bad = quality.split_errors(payloads(spark, lake, run, FLEET))
-    _quarantine(bad, lake, run)
-    ships = materialize(nested.ships_of(good))
+    ships = materialize(nested.ships_of(good).filter(F.col("imo").isNotNull()))
+    _quarantine(bad, lake, run, FLEET)
+    if ships.isEmpty():
+        raise NoShipsError(f"no ship data in run {run.loaddate}")
+    schema = ship_schema or nested.infer_ship_schema(ships)
     tables.replace_table(nested.active_ships(ships), lake.path("active_ships"))
-    rows = nested.unnest(nested.parse_ships(ships, ship_schema or nested.infer_ship_schema(ships)), "data")
+    rows = nested.unnest(nested.parse_ships(ships, schema), "data")
     _write_run(nested.void_to_string(nested.main_table(rows)), lake, "ships", run)
-    for name, child in nested.child_tables(rows).items():
-        _write_run(nested.void_to_string(child), lake, f"ships_{name}", run)
+    children = {f"ships_{name}": child for name, child in nested.child_tables(rows).items()}
+    for name, child in children.items():
+        _write_run(nested.void_to_string(child), lake, name, run)
+    # Lists that an earlier attempt of this run had and this one lacks.
+    for name in tables.table_names(spark, lake.tables, "ships_"):
+        if name not in children:
+            tables.drop_partition(spark, lake.path(name), _partition(run))
     ingest_signals(spark, lake, run)
 
 
 def ingest_signals(spark: SparkSession, lake: Lake, run: Run) -> None:
-    """Signal definitions of the active ships; the mapping only grows."""
+    """Signal definitions of the active ships, and their readable names; the mapping only grows."""
     active = tables.read_table(spark, lake.path("active_ships"), schemas.SHIPS)
     mine = enrich.restrict_to_active(payloads(spark, lake, run, SIGNALS), active)
     good, bad = quality.split_errors(mine)
-    _quarantine(bad, lake, run)
+    _quarantine(bad, lake, run, SIGNALS)
     signals = materialize(nested.signals_to_rows(good).dropDuplicates(["imo", "signal"]))
     stored = tables.read_table(spark, lake.path("signals"), schemas.SIGNALS)
     tables.replace_table(upsert.merge_upsert(stored, signals, ["imo", "signal"]), lake.path("signals"))
@@ -97,19 +117,19 @@ def ingest_signals(spark: SparkSession, lake: Lake, run: Run) -> None:
 
 
 def long_rows(spark: SparkSession, lake: Lake, run: Run, ships: list[str] | None = None) -> DataFrame:
-    """Long rows of a run, gaps included. Bad payloads go to quarantine, counts to the audit."""
+    """Long rows of a run, gaps included. Bad payloads and cells go to quarantine, counts to the audit."""
     active = tables.read_table(spark, lake.path("active_ships"), schemas.SHIPS)
     mine = enrich.restrict_to_active(payloads(spark, lake, run, TIMESERIES), active)
     if ships is not None:
         mine = mine.filter(F.col("imo").isin(ships))
-    # Status of every payload, with the text of the bad ones only: small, and used twice.
-    bad_text = F.when(F.col("status") != "ok", F.col("raw"))
-    status = materialize(quality.classify_payloads(mine).withColumn("raw", bad_text))
-    _write_run(quality.run_audit(status), lake, "run_audit", run)
-    _quarantine(status.filter(F.col("status") != "ok"), lake, run)
-    good, _ = quality.split_errors(mine)
+    # The landing zone is read and classified once; status, cells and quarantine come from the staged rows.
+    marked = materialize(quality.classify_payloads(mine))
+    _write_run(quality.run_audit(marked), lake, "run_audit", run)
+    _quarantine(marked.filter(F.col("status") != "ok"), lake, run, TIMESERIES)
+    good = marked.filter(F.col("status") == "ok").drop("status", "detail")
+    _write_run(nested.bad_cells(good), lake, "bad_cells", run)
     # A staging table, replaced by every run: measurements and gaps are both filtered scans of it.
-    tables.write_table(nested.timeseries_to_long(good, densify=True), lake.path("staging"), "overwrite")
+    tables.write_table(nested.timeseries_to_long(good, densify=True, strict=True), lake.path("staging"), "overwrite")
     return tables.read_table(spark, lake.path("staging"), POINTS)
 
 
@@ -119,9 +139,16 @@ def ingest_timeseries(spark: SparkSession, lake: Lake, run: Run, ships: list[str
     rows = long_rows(spark, lake, run, ships)
     current = quality.measurements(rows)
     if merge_history:
-        history = runs.history_window(recent_runs(spark, lake, run), run.day, lake.history_days, before=run.at)
+        known = recent_runs(spark, lake, run)
+        if lake.last_hour_only:
+            history = runs.history_window(known, run.day, lake.history_days, before=run.at)
+        else:
+            history = runs.last_run_per_ship(known, run.day, lake.history_days, before=run.at)
         current = dedup.merge_history(history.select(*POINTS.fieldNames()), current)
-    _write_run(current, lake, "timeseries", run)
+    counted, counter = quality.observed(current, f"timeseries-{run.id}")
+    _write_run(counted, lake, "timeseries", run)
+    # The manifest row comes last: a run that is listed is complete.
+    _write_run(spark.createDataFrame([(counter.get["rows"],)], "rows long"), lake, "runs", run)
     store_gaps(spark, lake, rows)
 
 
@@ -131,8 +158,14 @@ def stored_runs(spark: SparkSession, lake: Lake) -> DataFrame:
     return stored.withColumn("run_ts", F.to_timestamp("run", "yyyyMMddHHmm"))
 
 
+def manifest(spark: SparkSession, lake: Lake) -> DataFrame:
+    """(run_date, run, run_ts, rows): the stored runs that have rows, from one row per run."""
+    listed = tables.read_table(spark, lake.path("runs"), MANIFEST).filter(F.col("rows") > 0)
+    return listed.select("run_date", "run", F.to_timestamp("run", "yyyyMMddHHmm").alias("run_ts"), "rows")
+
+
 def run_list(stored: DataFrame) -> DataFrame:
-    """The stored runs themselves; reads partition values, no data columns."""
+    """The runs among stored rows. For a lake without manifest; jobs read `manifest`."""
     return stored.select("run_date", "run", "run_ts").distinct()
 
 
@@ -142,23 +175,29 @@ def only_runs(stored: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def recent_runs(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
-    """Rows of the runs the history window can use: the last hour of each recent day."""
-    stored = stored_runs(spark, lake)
+    """Rows of the runs the history window can use: those of the recent days, or of each one's last hour."""
     oldest = run.day - timedelta(days=lake.history_days)
-    known = run_list(stored.filter((F.col("run_date") > F.lit(oldest)) & (F.col("run_date") <= F.lit(run.day))))
-    hour = F.date_trunc("hour", "run_ts")
-    by_hour = known.filter(F.col("run_ts") < F.lit(run.at)).withColumn("run_hour", hour)
-    last_hours = by_hour.groupBy("run_date").agg(F.max("run_hour").alias("run_hour"))
-    return only_runs(stored, by_hour.join(F.broadcast(last_hours), ["run_date", "run_hour"], "left_semi"))
+    recent = (F.col("run_date") > F.lit(oldest)) & (F.col("run_date") <= F.lit(run.day)) & (F.col("run_ts") < F.lit(run.at))
+    known = manifest(spark, lake).filter(recent)
+    if lake.last_hour_only:
+        by_hour = known.withColumn("run_hour", F.date_trunc("hour", "run_ts"))
+        last_hours = by_hour.groupBy("run_date").agg(F.max("run_hour").alias("run_hour"))
+        known = by_hour.join(F.broadcast(last_hours), ["run_date", "run_hour"], "left_semi")
+    return only_runs(stored_runs(spark, lake), known)
 
 
 def store_gaps(spark: SparkSession, lake: Lake, rows: DataFrame) -> None:
-    """Append the gap intervals that are not stored yet."""
+    """Add the gap intervals of a run; a stored one that has grown takes its later end.
+
+    Only the dates on which the run's gaps start are rewritten.
+    """
     found = gaps.gap_intervals(quality.gap_points(rows), lake.gap_threshold)
     dated = T.StructType([*schemas.GAPS.fields, T.StructField("gap_date", T.DateType())])
-    stored = tables.read_table(spark, lake.path("gaps"), dated)
-    new = materialize(gaps.new_gaps(stored, found))
-    tables.append_table(new.withColumn("gap_date", F.to_date("gap_start")), lake.path("gaps"), ["gap_date"])
+    new = materialize(found.withColumn("gap_date", F.to_date("gap_start")))
+    days = [row.gap_date for row in new.select("gap_date").distinct().collect()]
+    if days:
+        stored = tables.of_dates(tables.read_table(spark, lake.path("gaps"), dated), "gap_date", days)
+        tables.overwrite_partitions(gaps.append_gaps(stored, new), lake.path("gaps"), ["gap_date"])
 
 
 def ingest_daily(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
@@ -169,9 +208,14 @@ def ingest_daily(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
     cutoff = quality.cutoff_day(run.day, lake.history_days)
     reference = tables.read_table(spark, lake.path("ref_data"), schemas.TAGGED)
     today = summary_of(spark, lake, run.day)
-    if today.isEmpty():
+    # The day of the last rollover is recorded: the first run of a day may fail or add nothing, and repeat.
+    day = run.day.strftime("%Y%m%d")
+    rolled = {row.day for row in tables.read_table(spark, lake.path("ref_rollover"), ROLLED).collect()}
+    if today.isEmpty() and day not in rolled:
         yesterday = summary_of(spark, lake, run.day - timedelta(days=1))
-        tables.replace_table(summary.rollover(reference, yesterday, cutoff), lake.path("ref_data"))
+        # Equal rows are those of an interrupted attempt: a summary holds each key once.
+        tables.replace_table(summary.rollover(reference, yesterday, cutoff).distinct(), lake.path("ref_data"))
+        tables.replace_table(spark.createDataFrame([(day,)], ROLLED), lake.path("ref_rollover"))
         reference = tables.read_table(spark, lake.path("ref_data"), schemas.TAGGED)
     else:
         reference = quality.within_history(reference, cutoff)
@@ -200,30 +244,42 @@ def reenrich_summaries(spark: SparkSession, lake: Lake, pattern: str) -> None:
 def export_pivot(spark: SparkSession, lake: Lake, output: str, max_days: int | None = None,
                  max_signals: int | None = None) -> DataFrame:
     """Wide table of the last run of each day; returns its statistics."""
-    stored = stored_runs(spark, lake)
-    chosen = runs.latest_run_per_day(run_list(stored), max_days)
-    rows = quality.measurements(only_runs(stored, chosen))
-    latest = dedup.latest_wins(rows)
-    # The names become a filter of the scan, before the deduplication.
+    chosen = runs.latest_run_per_day(manifest(spark, lake), max_days)
+    rows = quality.measurements(only_runs(stored_runs(spark, lake), chosen))
     if max_signals is None:
-        signals = pivot.signal_list(rows)
+        # The names become a filter of the scan, before the deduplication.
+        signals, latest = pivot.signal_list(rows), dedup.latest_wins(rows)
     else:
+        latest = materialize(dedup.latest_wins(rows))
         signals = [row.signal for row in pivot.top_signals(latest, max_signals).collect()]
     tables.export_pivot(pivot.pivot_long(latest, signals, unique=True), output)
     return pivot.pivot_stats(spark.read.parquet(output))
 
 
-def load_gold(spark: SparkSession, lake: Lake, run: Run) -> None:
-    """Upsert a run into the wide table; only the days the run has rows for are rewritten."""
+def load_gold(spark: SparkSession, lake: Lake, run: Run, url: str | None = None, **jdbc_options) -> None:
+    """Upsert a run into the wide table; only the days the run has rows for are rewritten.
+
+    With the `url` of a database the run's wide rows (for the merge there) and the definitions go there too.
+    """
     rows = stored_runs(spark, lake).filter((F.col("run_date") == F.lit(run.day)) & (F.col("run") == run.id))
     latest = dedup.latest_wins(quality.measurements(rows))
     loaded = materialize(pivot.pivot_latest(latest, pivot.signal_list(rows)))
     dated = loaded.withColumn("signal_date", F.to_date("signal_timestamp"))
     days = [row.signal_date for row in dated.select("signal_date").distinct().collect()]
-    stored = gold(spark, lake).filter(F.col("signal_date").isin(days))
+    stored = tables.of_dates(gold(spark, lake), "signal_date", days)
     merged = upsert.pivot_upsert(stored, dated, [*schemas.PIVOT_KEY, "signal_date"], staged=True)
     _add_columns(spark, lake, [c for c in loaded.columns if c not in schemas.PIVOT.fieldNames()])
     tables.overwrite_partitions(merged, lake.path("gold"), ["signal_date"])
+    tables.replace_table(definitions(spark, lake), lake.path("gold_signals"))
+    if url is not None:
+        jdbc.write_jdbc(loaded, url, "gold_load", **jdbc_options)
+        jdbc.write_jdbc(definitions(spark, lake), url, "gold_signals", if_exists="replace", **jdbc_options)
+
+
+def definitions(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The name step of the wide table: one definition per signal, that of the first ship."""
+    stored = tables.read_table(spark, lake.path("signals"), schemas.SIGNALS)
+    return nested.catalog_columns(enrich.catalog_first_wins(stored, ["imo"]))
 
 
 def gold(spark: SparkSession, lake: Lake) -> DataFrame:
@@ -250,11 +306,26 @@ def expired_runs(spark: SparkSession, lake: Lake, as_of: date) -> DataFrame:
     return runs.expired(stored_runs(spark, lake), as_of, lake.days_to_keep)
 
 
+def expired(spark: SparkSession, lake: Lake, as_of: date) -> DataFrame:
+    """Dry run of the retention for all layers: (layer, run_date, row_count) of what would go."""
+    dated = T.StructType([*schemas.GAPS.fields, T.StructField("gap_date", T.DateType())])
+    gap_days = tables.read_table(spark, lake.path("gaps"), dated).withColumn("run_date", F.col("gap_date"))
+    if lake.bundled:
+        landed = spark.read.schema(landing.BUNDLE_SCHEMA).json(lake.landing).select("run_date")
+    else:
+        listed = landing.list_files(spark, lake.landing, "*.json")
+        landed = listed.select(F.to_date(run_time("loaddate")).alias("run_date"))
+    layers = {"landing": landed, "timeseries": stored_runs(spark, lake), "gaps": gap_days}
+    found = [runs.expired(df, as_of, lake.days_to_keep).select(F.lit(name).alias("layer"), "run_date", "row_count")
+             for name, df in layers.items()]
+    return dedup.combine(found)
+
+
 MODES = ("all", "fleet", "timeseries")
 
 
-def run_jobs(spark: SparkSession, lake: Lake, loaddate: str, mode: str = "all", daily: bool = False) -> None:
-    """One scheduled run: `all`, `fleet` (ships and signals) or `timeseries`."""
+def run_jobs(spark: SparkSession, lake: Lake, loaddate: str, mode: str = "all", daily: bool = False) -> DataFrame:
+    """One scheduled run: `all`, `fleet` (ships and signals) or `timeseries`. Returns what has expired by then."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     run = Run(loaddate)
@@ -265,14 +336,18 @@ def run_jobs(spark: SparkSession, lake: Lake, loaddate: str, mode: str = "all",
             ingest_daily(spark, lake, run)
         else:
             ingest_timeseries(spark, lake, run)
+    return expired(spark, lake, run.day)
+
+
+def _partition(run: Run) -> dict[str, str]:
+    return {"run_date": run.day.isoformat(), "run": run.id}
 
 
 def _write_run(df: DataFrame, lake: Lake, name: str, run: Run) -> None:
-    stamped = df.withColumns({"run_date": F.lit(run.day), "run": F.lit(run.id)})
-    tables.overwrite_partitions(stamped, lake.path(name), ["run_date", "run"], rebalance=False)
+    """Replace the rows of a run, also by none."""
+    tables.replace_partition(df, lake.path(name), _partition(run))
 
 
-def _quarantine(bad: DataFrame, lake: Lake, run: Run) -> None:
+def _quarantine(bad: DataFrame, lake: Lake, run: Run, entity: str) -> None:
     rows = bad.select(*QUARANTINE.fieldNames())
-    kept = rows.withColumns({"run_date": F.to_date(run_time("loaddate")), "run": F.lit(run.id)})
-    tables.overwrite_partitions(kept, lake.path("quarantine"), ["run_date", "run", "entity"], rebalance=False)
+    tables.replace_partition(rows, lake.path("quarantine"), _partition(run) | {"entity": entity})

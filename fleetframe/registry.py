@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetframe import oracle, views
 from fleetframe.functions import loaddate_of
 from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, summary, upsert
+from fleetframe.plans import jobs
 from fleetframe.session import materialize, use_utc, work_path
 from fleetframe.sources import landing, runs, tables
 from fleetframe.streaming import replay
@@ -125,10 +126,12 @@ def _(spark, sf_dir):
     return enrich.reenrich(stored, views.stored_catalog(spark, sf_dir))
 
 
-@query("mapping_distinct", "SELECT imo, signal, friendly_name FROM catalog", "catalog")
+@query("mapping_distinct", """SELECT imo, signal, friendly_name FROM catalog UNION
+    SELECT imo, signal, 'old ' || signal FROM catalog WHERE signal < 'p'""", "catalog")
 def _(spark, sf_dir):
     known = views.catalog(spark, sf_dir).filter(F.col("signal") < "p")
-    return enrich.update_mapping(known, views.catalog(spark, sf_dir))
+    renamed = known.withColumn("friendly_name", F.concat(F.lit("old "), F.col("signal")))
+    return enrich.update_mapping(dedup.combine([known, renamed]), views.catalog(spark, sf_dir))
 
 
 @query("catalog_first_wins", f"""SELECT signal, {', '.join(SIGNALS)} FROM signals
@@ -228,6 +231,26 @@ def _(spark, sf_dir):
     return nested.timeseries_to_long(landing.read_bundles(spark, path, "Timeseries"))
 
 
+def with_bad_cells(spark, sf_dir):
+    """Every payload with a signal that has a key without a time and a value without a number."""
+    bad = F.lit('{"bad":{"never":1,"2024-01-01T00:00:00Z":"n/a","2024-01-01T01:00:00Z":2},')
+    rows = views.payloads(spark, sf_dir)
+    return rows.withColumn("raw", F.concat(bad, F.substring("raw", F.lit(2), F.length("raw"))))
+
+
+@query("timeseries_bad_cells", """SELECT imo, 'bad' AS signal, at_text AS "at", value, reason, loaddate FROM payload_keys,
+    (VALUES ('never', '1', 'timestamp'), ('2024-01-01T00:00:00Z', 'n/a', 'value')) AS v(at_text, value, reason)""",
+       "payload_keys")
+def _(spark, sf_dir):
+    return nested.bad_cells(with_bad_cells(spark, sf_dir))
+
+
+@query("timeseries_strict", PAYLOAD_LONG + """ UNION ALL
+    SELECT imo, 'bad', TIMESTAMP '2024-01-01 01:00:00', 2.0, loaddate FROM payload_keys""", "payload_keys")
+def _(spark, sf_dir):
+    return nested.timeseries_to_long(with_bad_cells(spark, sf_dir), strict=True)
+
+
 @query("payload_quarantine", """SELECT imo, loaddate, status,
     CASE WHEN status = 'error' THEN 'not found' END AS detail FROM classified WHERE status <> 'ok'""", "classified")
 def _(spark, sf_dir):
@@ -289,9 +312,10 @@ def _(spark, sf_dir):
     return gaps.gap_intervals(points, timedelta(hours=12))
 
 
-@query("gaps_append", f"""WITH stored AS ({oracle.gaps(1)}), found AS ({oracle.gaps(3)})
-    SELECT * FROM stored UNION ALL SELECT * FROM found f WHERE NOT EXISTS (SELECT 1 FROM stored s
-    WHERE s.imo = f.imo AND s.signal = f.signal AND s.gap_start = f.gap_start)""", "nulls")
+@query("gaps_append", f"""WITH stored AS ({oracle.gaps(1)}), found AS ({oracle.gaps(3)}),
+    both_runs AS (SELECT *, 0 AS later FROM stored UNION ALL SELECT *, 1 FROM found)
+    SELECT * EXCLUDE (later) FROM both_runs QUALIFY row_number() OVER (
+        PARTITION BY imo, signal, gap_start ORDER BY gap_end DESC, later) = 1""", "nulls")
 def _(spark, sf_dir):
     points = null_points(spark, sf_dir)
     stored = materialize(gaps.gap_intervals(points, timedelta(days=1)))
@@ -423,6 +447,19 @@ def _(spark, sf_dir):
     return upsert.merge_upsert(stored, loaded, ["o_orderkey"])
 
 
+PARTIAL = ["o_orderkey", "o_orderstatus"]
+
+
+@query("merge_upsert_partial", """SELECT o_orderkey,
+    CASE WHEN o_orderdate >= TIMESTAMP '1999-01-01' THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
+    CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN o_totalprice END AS o_totalprice FROM orders""")
+def _(spark, sf_dir):
+    orders = views.table(spark, sf_dir, "orders")
+    stored = orders.filter(F.col("o_orderdate") < F.lit("2000-01-01")).select(*PARTIAL, "o_totalprice")
+    loaded = orders.filter(F.col("o_orderdate") >= F.lit("1999-01-01")).withColumn("o_orderstatus", F.lit("U"))
+    return upsert.merge_upsert(stored, loaded.select(*PARTIAL), ["o_orderkey"])
+
+
 MAPPING_STORED = "SELECT imo, signal, upper(signal) AS label FROM catalog WHERE signal < 'r'"
 MAPPING_LOADED = "SELECT imo, signal, friendly_name AS label FROM catalog WHERE signal > 'd'"
 
@@ -603,12 +640,127 @@ def _(spark, sf_dir):
     return replay.latest_wins(quality.measurements(views.tele(spark, sf_dir)), order=views.TIE_BREAK)
 
 
-@query("stream_gap_sessions", oracle.gaps(1).replace(", max_by(loaddate, t) AS loaddate", ""), "nulls")
+@query("stream_gap_sessions", oracle.gaps(1), "nulls")
 def _(spark, sf_dir):
     return replay.gap_sessions(null_points(spark, sf_dir), timedelta(days=1))
 
 
-@query("stream_first_seen", "SELECT DISTINCT imo, signal, signal_timestamp FROM measured", "measured")
+@query("stream_late_gaps", oracle.gaps(1), "nulls")
+def _(spark, sf_dir):
+    return replay.late_gaps(null_points(spark, sf_dir), timedelta(days=1), timedelta(days=5))
+
+
+@query("stream_first_seen", f"""SELECT {LONG} FROM measured QUALIFY row_number() OVER (
+    PARTITION BY imo, signal, signal_timestamp ORDER BY loaddate, event_id) = 1""", "measured")
 def _(spark, sf_dir):
     rows = quality.measurements(views.tele(spark, sf_dir))
-    return replay.first_seen(rows.select("imo", "signal", "signal_timestamp"), dedup.POINT_KEY)
+    return replay.first_seen(rows, dedup.POINT_KEY, views.TIE_BREAK)
+
+
+# --- jobs (two overlapping runs over all payloads, then a table read back) ------------------------
+
+RUN_1, RUN_2 = "2024/01/30/00/00", "2024/01/30/06/00"
+# Payloads before the first day are in run 1 alone, those from the second day on in run 2 alone.
+OVERLAP_DAYS = "2024/01/10", "2024/01/20"
+JOB_CELLS = f"""job_cells AS (SELECT c.imo, c.signal, c.signal_timestamp, c.signal_value, c.loaddate AS payload,
+        CASE WHEN c.loaddate >= '{OVERLAP_DAYS[0]}' THEN '{RUN_2}' ELSE '{RUN_1}' END AS loaddate
+    FROM payload_cells c WHERE c.imo IN (SELECT imo FROM ships WHERE is_active)),
+    job_rows AS (SELECT * EXCLUDE (payload) FROM job_cells WHERE signal_value IS NOT NULL)"""
+
+
+def landed(spark, sf_dir) -> jobs.Lake:
+    """A lake whose landing zone holds both runs."""
+    folder = work_path(spark, "job")
+    lake = jobs.Lake(f"{folder}/landing", f"{folder}/tables", gap_threshold=timedelta(hours=3), bundled=True)
+    series = materialize(views.payloads(spark, sf_dir))
+    first, second = series.filter(F.col("loaddate") < OVERLAP_DAYS[1]), series.filter(F.col("loaddate") >= OVERLAP_DAYS[0])
+    for run, frames in ((RUN_1, [views.fleet_payloads(spark, sf_dir), views.signal_payloads(spark, sf_dir), first]),
+                        (RUN_2, [second])):
+        for frame in frames:
+            landing.write_landing(nested.stamp(frame, run), lake.landing)
+    return lake
+
+
+def ingested(spark, sf_dir) -> jobs.Lake:
+    lake = landed(spark, sf_dir)
+    jobs.run_jobs(spark, lake, RUN_1)
+    jobs.run_jobs(spark, lake, RUN_2, mode="timeseries")
+    return lake
+
+
+@query("job_fleet", f"""SELECT imo, active, c_name AS name, c_mktsegment AS segment, c_acctbal AS acctbal, n_name AS home_nation,
+    is_active, '{RUN_1}' AS loaddate FROM ships""", "ships")
+def _(spark, sf_dir):
+    lake = landed(spark, sf_dir)
+    jobs.ingest_fleet(spark, lake, jobs.Run(RUN_1))
+    active = tables.read_table(spark, lake.path("active_ships")).withColumn("is_active", F.lit(True))
+    ships = tables.read_table(spark, lake.path("ships")).withColumn("home_nation", F.col("home.nation"))
+    kept = ships.select("imo", "active", "name", "segment", "acctbal", "home_nation", "loaddate")
+    return kept.join(active, "imo", "left").fillna(False, "is_active")
+
+
+@query("job_signals", "SELECT signal, " + ", ".join(SIGNALS) + """ FROM signals WHERE imo IN (SELECT imo FROM ships WHERE is_active)
+    QUALIFY row_number() OVER (PARTITION BY signal ORDER BY imo) = 1""", "signals", "ships")
+def _(spark, sf_dir):
+    lake = landed(spark, sf_dir)
+    jobs.ingest_fleet(spark, lake, jobs.Run(RUN_1))
+    return jobs.definitions(spark, lake)
+
+
+@query("job_timeseries", f"WITH {JOB_CELLS} SELECT * FROM job_rows", "payload_cells", "ships")
+def _(spark, sf_dir):
+    lake = ingested(spark, sf_dir)
+    run = jobs.stored_runs(spark, lake).filter(F.col("run") == jobs.Run(RUN_2).id)
+    return run.drop("run_date", "run", "run_ts")
+
+
+def _job_gaps(run: str, condition: str) -> str:
+    return oracle.gaps(1, f"(SELECT imo, signal, signal_timestamp, '{run}' AS loaddate FROM job_nulls WHERE {condition})").replace(
+        "INTERVAL 1 DAY", "INTERVAL 3 HOUR")
+
+
+@query("job_gaps", f"""WITH {JOB_CELLS}, job_nulls AS (
+        SELECT s.imo, s.signal, t.signal_timestamp, s.payload FROM (SELECT DISTINCT imo, payload, signal FROM job_cells) s
+        JOIN (SELECT DISTINCT imo, payload, signal_timestamp FROM job_cells) t USING (imo, payload)
+        LEFT JOIN job_cells c ON c.imo = s.imo AND c.payload = s.payload AND c.signal = s.signal
+            AND c.signal_timestamp = t.signal_timestamp WHERE c.signal_value IS NULL),
+    found_1 AS ({_job_gaps(RUN_1, f"payload < '{OVERLAP_DAYS[1]}'")}),
+    found_2 AS ({_job_gaps(RUN_2, f"payload >= '{OVERLAP_DAYS[0]}'")}),
+    found AS (SELECT * FROM found_1 UNION ALL SELECT * FROM found_2)
+    SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY imo, signal, gap_start ORDER BY gap_end DESC, loaddate) = 1""",
+       "payload_cells", "ships")
+def _(spark, sf_dir):
+    return tables.read_table(spark, ingested(spark, sf_dir).path("gaps")).drop("gap_date")
+
+
+@query("job_daily", f"""WITH {JOB_CELLS}, landed AS (
+        SELECT imo, signal, signal_timestamp, signal_value, payload, run.loaddate FROM job_cells, (VALUES
+            ('{RUN_1}'), ('{RUN_2}')) AS run(loaddate)
+        WHERE signal_value IS NOT NULL AND CASE run.loaddate WHEN '{RUN_1}' THEN payload < '{OVERLAP_DAYS[1]}'
+            ELSE payload >= '{OVERLAP_DAYS[0]}' END)
+    SELECT l.imo, l.signal, friendly_name, signal_timestamp, signal_value, loaddate FROM landed l
+    LEFT JOIN catalog c ON c.imo = l.imo AND c.signal = l.signal QUALIFY row_number() OVER (
+        PARTITION BY signal_timestamp, l.imo, friendly_name ORDER BY loaddate, l.signal, signal_value) = 1""",
+       "payload_cells", "ships", "catalog")
+def _(spark, sf_dir):
+    lake = landed(spark, sf_dir)
+    jobs.run_jobs(spark, lake, RUN_1, daily=True)
+    jobs.run_jobs(spark, lake, RUN_2, mode="timeseries", daily=True)
+    return jobs.summary_of(spark, lake, jobs.Run(RUN_2).day)
+
+
+@query("job_export", f"""WITH {JOB_CELLS} SELECT imo, signal_timestamp, loaddate, {oracle.pivot_columns(oracle.EVENT_TYPES)}
+    FROM job_rows GROUP BY imo, signal_timestamp, loaddate""", "payload_cells", "ships")
+def _(spark, sf_dir):
+    lake = ingested(spark, sf_dir)
+    jobs.export_pivot(spark, lake, lake.path("export"), max_days=1)
+    return tables.read_table(spark, lake.path("export"))
+
+
+@query("job_gold", f"""WITH {JOB_CELLS} SELECT imo, signal_timestamp, max(loaddate) AS loaddate,
+    {oracle.pivot_columns(oracle.EVENT_TYPES)} FROM job_rows GROUP BY imo, signal_timestamp""", "payload_cells", "ships")
+def _(spark, sf_dir):
+    lake = ingested(spark, sf_dir)
+    for run in (RUN_1, RUN_2):
+        jobs.load_gold(spark, lake, jobs.Run(run))
+    return jobs.gold(spark, lake).drop("signal_date")

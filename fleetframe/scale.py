@@ -1,4 +1,4 @@
-"""Joins with a smaller side: broadcast it after measuring it, otherwise salt the larger side."""
+"""Joins with a smaller side: broadcast it after measuring it, otherwise salt the larger side's hot keys."""
 
 from __future__ import annotations
 
@@ -13,6 +13,7 @@ from fleetframe.session import materialize
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 64
+HOT_ROWS = 1_000
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -73,7 +74,8 @@ def _small_keys(source: DataFrame, keys: list[str], limit: int) -> DataFrame:
 
 def left_join(df: DataFrame, small: DataFrame, keys: list[str], limit: int = BROADCAST_BYTES,
               salts: int = SALTS) -> DataFrame:
-    """Left equi join, bag semantics (several matches fan out)."""
+    """Left equi join, bag semantics (several matches fan out). `small` is computed once."""
+    small = materialize(small)
     if fits_broadcast(small, limit):
         return df.join(F.broadcast(small), keys, "left")
     return _salted_join(df, small, keys, "left", salts)
@@ -87,13 +89,29 @@ def _keyed_join(df: DataFrame, keys_df: DataFrame, keys: list[str], how: str, li
 
 
 def _salted_join(df: DataFrame, small: DataFrame, keys: list[str], how: str, salts: int) -> DataFrame:
-    """A hot key is spread over `salts` partitions, the small side is repeated for each.
+    """Shuffled join in which only keys that are hot in `df` are salted.
 
-    The salt is a hash of the row and of the task's partition number, not a random number, so a
-    recomputed task sends each row to the same place; the partition number also spreads equal copies.
+    The keys of `df` are counted (combined on the map side). A key with more than 1/(16 * salts) of the
+    rows is hot, so there are less than 16 * salts hot keys; their rows are spread over `salts`
+    partitions and only their rows of the small side are repeated. The salt is a hash of the row and of
+    the task's partition number, not a random number, so a recomputed task sends each row to the same
+    place; the partition number also spreads equal copies.
     """
+    hot = _hot_keys(df, keys, salts)
+    flagged = (frame.join(F.broadcast(hot), keys, "left").fillna(False, "_hot") for frame in (df, small))
+    left, right = flagged
     rest = [exact(c) for c in df.columns if c not in keys]
-    salt = F.pmod(F.xxhash64(*rest, F.spark_partition_id()), F.lit(salts)).cast("int")
-    left = df.withColumn("_salt", salt)
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = F.pmod(F.xxhash64(*rest, F.spark_partition_id()), F.lit(salts)).cast("int")
+    alone = reduce(Column.__or__, [exact(k).isNull() for k in keys])  # matches nothing, wherever it goes
+    left = left.withColumn("_salt", F.when(F.col("_hot") | alone, spread).otherwise(F.lit(0))).drop("_hot")
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = right.withColumn("_salt", F.explode(copies)).drop("_hot")
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def _hot_keys(df: DataFrame, keys: list[str], salts: int) -> DataFrame:
+    """(keys, _hot): keys with more than 1/(16 * salts) of all rows and at least 1,000 of them."""
+    counts = materialize(df.groupBy(*[exact(k) for k in keys]).agg(F.count(F.lit(1)).alias("_rows")))
+    total = counts.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    least = max(HOT_ROWS, total / (16 * salts))
+    return materialize(counts.filter(F.col("_rows") > least).select(*[exact(k) for k in keys], F.lit(True).alias("_hot")))

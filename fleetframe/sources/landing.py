@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetframe.functions import run_time
+from fleetframe.session import materialize
 
 # Path below the landing root (fixed format): run directory, entity and optional ship id.
 PATH_PATTERN = r"/(\d{4}/\d{2}/\d{2}/\d{2}/\d{2})/([A-Za-z]+)(?:_([^/]+))?\.(?:json|parquet)$"
@@ -67,11 +68,11 @@ def list_files(spark: SparkSession, path: str, pattern: str = "Timeseries_*") ->
 def ship_files(files: DataFrame, max_days: int | None = None) -> DataFrame:
     """Per ship: number of files, distinct days, months and years, of the newest `max_days` days."""
     days = files.withColumn("run_date", F.to_date(run_time("loaddate")))
-    if max_days is not None:
-        days = newest_days(days, max_days)
     # One row per (ship, day) first: both levels combine on the map side, so a ship with a third of
-    # all files costs one row per day in the second step.
+    # all files costs one row per day in the second step. The newest days are chosen from that list.
     daily = days.groupBy("imo", "run_date").agg(F.count(F.lit(1)).alias("files"))
+    if max_days is not None:
+        daily = newest_days(materialize(daily), max_days)
     return daily.groupBy("imo").agg(
         F.sum("files").alias("files"),
         F.count("run_date").alias("days"),

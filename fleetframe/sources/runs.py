@@ -57,6 +57,18 @@ def history_window(df: DataFrame, as_of: date, days: int = HISTORY_DAYS, before=
     return scale.semi_join(in_hour, last, ["imo", "run_date", "run_ts"]).select(*df.columns)
 
 
+def last_run_per_ship(df: DataFrame, as_of: date, days: int = HISTORY_DAYS, before=None) -> DataFrame:
+    """Per ship the last run of each of the last `days` days, in whatever hour it was.
+
+    `before` (a timestamp) excludes the current run and everything after it.
+    """
+    window = df.filter((F.col("run_date") > F.date_sub(F.lit(as_of), days)) & (F.col("run_date") <= F.lit(as_of)))
+    if before is not None:
+        window = window.filter(F.col("run_ts") < F.lit(before))
+    last = window.groupBy("imo", "run_date").agg(F.max("run_ts").alias("run_ts"))
+    return scale.semi_join(window, last, ["imo", "run_date", "run_ts"]).select(*df.columns)
+
+
 def retention(df: DataFrame, as_of: date, days_to_keep: int = DAYS_TO_KEEP) -> DataFrame:
     """Mark rows as expired: strictly older than `as_of - days_to_keep`. Nothing is deleted."""
     return df.withColumn("expired", F.col("run_date") < F.date_sub(F.lit(as_of), days_to_keep))
@@ -78,6 +90,7 @@ __all__ = [
     "expired",
     "history_window",
     "kept",
+    "last_run_per_ship",
     "last_runs",
     "latest_run_per_day",
     "newest_days",

@@ -1,43 +1,99 @@
-"""Parquet tables: typed-empty reads, appends, replacements and partition-wise overwrites."""
+"""Parquet tables: typed-empty reads, appends, replacements and partition-wise overwrites.
+
+A replacement never deletes what it replaces before the new files are complete: they are written next to
+the table, the old folder is set aside, the new one takes its name, and only then the old one goes. If
+that is interrupted, readers take the folder set aside.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetframe.session import work_path
-
 FORMATS = {"parquet"}
+# Folder of the state before an unfinished replacement, behind the table's name; hidden inside a table.
+BEFORE = "__before"
+
+
+class Folder:
+    """A folder of a table in whatever store its path names."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        context = spark.sparkContext
+        self.path = path.rstrip("/")
+        self._path = context._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.path).getFileSystem(context._jsc.hadoopConfiguration())
+
+    def exists(self, path: str | None = None) -> bool:
+        return self._fs.exists(self._path(path or self.path))
+
+    def delete(self, path: str | None = None) -> None:
+        self._fs.delete(self._path(path or self.path), True)
+
+    def move(self, source: str, target: str) -> None:
+        self._fs.mkdirs(self._path(target).getParent())
+        if not self._fs.rename(self._path(source), self._path(target)):
+            raise OSError(f"could not move {source} to {target}")
+
+    def folders(self) -> list[str]:
+        """Names of the folders below."""
+        if not self.exists():
+            return []
+        return sorted(f.getPath().getName() for f in self._fs.listStatus(self._path(self.path)) if f.isDirectory())
+
+
+def _swap(spark: SparkSession, write, path: str, new: str, before: str) -> None:
+    """`write(new)`, then let `new` take the place of `path`."""
+    folder = Folder(spark, path)
+    try:
+        write(new)
+    except BaseException:
+        folder.delete(new)
+        raise
+    if folder.exists():
+        folder.delete(before)
+        folder.move(folder.path, before)
+    folder.move(new, folder.path)
+    folder.delete(before)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read a table. A missing one is an empty frame with `schema`."""
-    try:
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(path)
-    except AnalysisException as error:
-        if schema is None or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    reader, before = spark.read if schema is None else spark.read.schema(schema), path.rstrip("/") + BEFORE
+    if not Folder(spark, path).exists():
+        if Folder(spark, before).exists():
+            return reader.parquet(before)
+        if schema is not None:
+            return spark.createDataFrame([], schema)
+    return reader.parquet(path)
 
 
 def read_evolving(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Read a table that gained columns over time: all columns of all files, at least `schema`."""
+    if not Folder(spark, path).exists():
+        return spark.createDataFrame([], schema)
     try:
         return spark.read.option("mergeSchema", True).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return spark.createDataFrame([], schema)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "error", partition_by: list[str] | None = None,
                 fmt: str = "parquet") -> None:
-    """Write Parquet with Snappy; other formats are rejected."""
+    """Write Parquet with Snappy; other formats are rejected. `overwrite` keeps the old rows until the new are complete."""
     if fmt not in FORMATS:
         raise ValueError(f"unsupported format: {fmt}")
+    if mode == "overwrite":
+        own = path.rstrip("/")
+        _swap(df.sparkSession, lambda new: write_table(df, new, "error", partition_by), own,
+              f"{own}__next-{uuid.uuid4().hex}", own + BEFORE)
+        return
     writer = df.write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -51,12 +107,24 @@ def append_table(df: DataFrame, path: str, partition_by: list[str] | None = None
 
 
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Overwrite a table that `df` may itself be reading: written to a staging folder first."""
-    spark = df.sparkSession
-    staging = work_path(spark, "staging")
-    write_table(df, staging, "error")
-    staged = spark.read.schema(df.schema).parquet(staging)
-    write_table(staged, path, "overwrite", partition_by)
+    """Overwrite a table that `df` may itself be reading."""
+    write_table(df, path, "overwrite", partition_by)
+
+
+def replace_partition(df: DataFrame, path: str, partition: dict[str, str]) -> None:
+    """Replace one partition, also by no rows at all. `df` has the other columns and may read the table."""
+    own, where = path.rstrip("/"), "/".join(f"{name}={value}" for name, value in partition.items())
+    _swap(df.sparkSession, lambda new: write_table(df.drop(*partition), new), f"{own}/{where}",
+          f"{own}/_next-{uuid.uuid4().hex}", f"{own}/_before/{where}")
+
+
+def drop_partition(spark: SparkSession, path: str, partition: dict[str, str]) -> None:
+    Folder(spark, "/".join([path.rstrip("/"), *(f"{name}={value}" for name, value in partition.items())])).delete()
+
+
+def table_names(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
+    """Tables below a folder."""
+    return [name for name in Folder(spark, root).folders() if name.startswith(prefix) and "__" not in name]
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], rebalance: bool = True) -> None:
@@ -76,6 +144,13 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], reba
     )
 
 
+def of_dates(df: DataFrame, column: str, dates: list) -> DataFrame:
+    """Rows of the given dates; None among them stands for rows without a date. Prunes partitions."""
+    known = [d for d in dates if d is not None]
+    wanted = F.col(column).isin(known)
+    return df.filter(wanted | F.col(column).isNull() if len(known) < len(dates) else wanted)
+
+
 def export_pivot(df: DataFrame, path: str) -> None:
     """Export of the wide table; as many files as there are partitions."""
     write_table(df, path, "overwrite")

@@ -22,7 +22,7 @@ from fleetframe.streaming import streams
 END_MARK = ""
 
 POINTS = "imo string, signal string, signal_timestamp timestamp, signal_value double, loaddate string"
-INTERVALS = "imo string, signal string, gap_start timestamp, gap_end timestamp"
+INTERVALS = "imo string, signal string, gap_start timestamp, gap_end timestamp, loaddate string"
 
 
 def run(query: StreamingQuery) -> None:
@@ -30,11 +30,11 @@ def run(query: StreamingQuery) -> None:
 
 
 def split_by_time(df: DataFrame, time: str, parts: int) -> list[DataFrame]:
-    """Equal ranges of `time`, oldest first; together all rows."""
+    """Equal ranges of `time`, oldest first; together all rows, those without a time in the first."""
     low, high = df.agg(F.unix_micros(F.min(time)), F.unix_micros(F.max(time))).first()
     if low is None:
         return [df]
-    part = F.floor((F.unix_micros(F.col(time)) - low) * parts / F.lit(high - low + 1))
+    part = F.coalesce(F.floor((F.unix_micros(F.col(time)) - low) * parts / F.lit(high - low + 1)), F.lit(0))
     return [df.filter(part == i) for i in range(parts)]
 
 
@@ -65,11 +65,11 @@ def latest_wins(rows: DataFrame, order: list[str]) -> DataFrame:
 def gap_sessions(points: DataFrame, threshold: timedelta) -> DataFrame:
     spark = points.sparkSession
     folder = work_path(spark, "stream-gaps")
-    rows = points.select("imo", "signal", "gap_start")
+    rows = points.select("imo", "signal", "gap_start", "loaddate")
     last = rows.agg(F.max("gap_start").alias("last"))
     end = last.select(
         F.lit(END_MARK).alias("imo"), F.lit(END_MARK).alias("signal"),
-        (F.col("last") + F.expr("INTERVAL 1000 DAYS")).alias("gap_start"),
+        (F.col("last") + F.expr("INTERVAL 1000 DAYS")).alias("gap_start"), F.lit(None).cast("string").alias("loaddate"),
     )
     _replay(
         [*split_by_time(rows, "gap_start", 3), end],
@@ -79,15 +79,38 @@ def gap_sessions(points: DataFrame, threshold: timedelta) -> DataFrame:
     return read_table(spark, f"{folder}/gaps", INTERVALS).filter(F.col("imo") != END_MARK)
 
 
-def first_seen(rows: DataFrame, keys: list[str]) -> DataFrame:
+def late_gaps(points: DataFrame, threshold: timedelta, late: timedelta) -> DataFrame:
+    """Points arrive newest part first, so most are later than `late`; the side table brings them back."""
+    spark = points.sparkSession
+    folder = work_path(spark, "stream-late")
+    rows = points.select("imo", "signal", "gap_start", "loaddate")
+    last = rows.agg(F.max("gap_start").alias("last"))
+    end = last.select(
+        F.lit(END_MARK).alias("imo"), F.lit(END_MARK).alias("signal"),
+        (F.col("last") + F.expr("INTERVAL 1000 DAYS")).alias("gap_start"), F.lit(None).cast("string").alias("loaddate"),
+    )
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        run(streams.start_late_rows(stream, f"{folder}/late", f"{folder}/late-checkpoint", late=late))
+        return streams.start_gap_sessions(stream, f"{folder}/gaps", f"{folder}/checkpoint", threshold, late)
+
+    _replay([*reversed(split_by_time(rows, "gap_start", 3)), end], folder, start)
+    stored = read_table(spark, f"{folder}/gaps", INTERVALS).filter(F.col("imo") != END_MARK)
+    side = read_table(spark, f"{folder}/late", rows.schema).filter(F.col("imo") != END_MARK)
+    return streams.merge_late_gaps(stored, side, threshold)
+
+
+def first_seen(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows arrive oldest load first."""
     spark = rows.sparkSession
     folder = work_path(spark, "stream-first")
+    dated = rows.withColumn("load_ts", run_time("loaddate"))
     _replay(
-        split_by_time(rows, "signal_timestamp", 3),
+        [p.drop("load_ts") for p in split_by_time(dated, "load_ts", 3)],
         folder,
-        lambda stream: streams.start_first_seen(stream, f"{folder}/first", f"{folder}/checkpoint", keys),
+        lambda stream: streams.start_first_seen(stream, f"{folder}/first", f"{folder}/checkpoint", keys, order=order),
     )
-    return read_table(spark, f"{folder}/first", rows.schema)
+    return read_table(spark, f"{folder}/first", rows.schema).select(*rows.columns)
 
 
 def _replay(parts: list[DataFrame], folder: str, start: Callable[[DataFrame], StreamingQuery]) -> None:

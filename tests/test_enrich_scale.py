@@ -90,3 +90,14 @@ def test_measured_bytes(spark):
     assert scale.measured_bytes(spark.createDataFrame([("abcd", 1), ("ab", None)], "a string, b int")) == 2 * 32 + 6
     assert scale.measured_bytes(spark.createDataFrame([([1],)], "a array<int>")) is None
     assert scale.measured_bytes(spark.createDataFrame([], "a string")) == 0
+
+
+def test_only_hot_keys_are_repeated(spark):
+    hot = spark.range(0, 60000, 1, 8).select(F.when(F.col("id") < 20000, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    names = hot.select("k").distinct().withColumn("name", F.upper("k"))
+    found = scale._hot_keys(hot, ["k"], 8)
+    assert rows(found) == [("hot", True)]
+    joined = scale._salted_join(hot, names, ["k"], "left", 8)
+    assert joined.count() == 60000 and joined.filter("name = 'HOT'").count() == 20000
+    nulls = hot.withColumn("k", F.lit(None).cast("string"))
+    assert scale._salted_join(nulls, names, ["k"], "left", 8).count() == 60000

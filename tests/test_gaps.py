@@ -81,3 +81,27 @@ def test_append_is_idempotent(spark):
     assert len(result(once)) == 3
     assert result(gaps.append_gaps(once, later)) == result(once)
     assert result(once.filter(F.col("imo") == "1"))[0][4] == "x"
+
+
+def test_a_stored_gap_grows(spark):
+    minute = lambda n: BASE + timedelta(minutes=n)
+    table = spark.createDataFrame([], gaps.gap_intervals(frame(spark, [])).schema)
+    for load, last in (("a", 0), ("b", 5), ("c", 10), ("d", 5)):
+        points = frame(spark, [("1", "s", minute(n), load) for n in range(0, last + 1, 5)])
+        table = gaps.append_gaps(table, gaps.gap_intervals(points))
+    assert [(r.gap_start, r.gap_end, r.loaddate) for r in table.collect()] == [(minute(0), minute(10), "c")]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_points_merged_into_intervals(spark, seed):
+    rng = random.Random(seed)
+    points = [(rng.choice("12"), rng.choice("ab"), BASE + timedelta(minutes=rng.randrange(0, 3000, 5)), "x") for _ in range(300)]
+    points = list(dict.fromkeys(points))
+    early, late = points[:200], points[200:]
+    merged = gaps.merge_points(gaps.gap_intervals(frame(spark, early)), frame(spark, late))
+    assert result(merged) == result(gaps.gap_intervals(frame(spark, points)))
+
+
+def test_threshold_must_be_positive(spark):
+    with pytest.raises(ValueError):
+        gaps.gap_intervals(frame(spark, []), timedelta(0))

@@ -132,11 +132,11 @@ def test_streams_agree_with_batch(spark):
     order = ["loaddate", "event_id"]
     assert as_set(replay.latest_wins(measured, order)) == as_set(dedup.latest_wins(measured, order=order))
     points = quality.gap_points(rows)
-    batch = gaps.gap_intervals(points, timedelta(hours=2)).drop("loaddate")
-    assert as_set(replay.gap_sessions(points, timedelta(hours=2))) == as_set(batch)
-    keys = measured.select(*dedup.POINT_KEY)
-    first = replay.first_seen(keys, dedup.POINT_KEY)
-    assert first.count() == keys.distinct().count() and as_set(first) == as_set(keys)
+    batch = gaps.gap_intervals(points, timedelta(hours=2))
+    assert as_set(replay.gap_sessions(points, timedelta(hours=2)).select(batch.columns)) == as_set(batch)
+    assert as_set(replay.late_gaps(points, timedelta(hours=2), timedelta(hours=3)).select(batch.columns)) == as_set(batch)
+    first = replay.first_seen(measured, dedup.POINT_KEY, order)
+    assert as_set(first) == as_set(dedup.first_wins(measured, dedup.POINT_KEY, order))
 
 
 def test_stream_batch_can_be_repeated(spark, tmp_path):
@@ -152,15 +152,24 @@ def test_stream_batch_can_be_repeated(spark, tmp_path):
     assert out.count() == len(as_set(out))
 
 
-def test_rows_later_than_the_overlap_belong_to_the_batch_job(spark, tmp_path):
+def test_no_row_is_too_late(spark, tmp_path):
     day = lambda n: T0 + timedelta(days=n)
-    schema = "imo string, signal string, signal_timestamp timestamp"
-    for rows in ([("1", "a", day(20))], [("1", "a", day(18)), ("1", "a", day(20)), ("1", "a", day(1))]):
+    schema = "imo string, signal string, signal_timestamp timestamp, loaddate string"
+    for rows in ([("1", "a", day(20), "y")], [("1", "a", day(18), "y"), ("1", "a", day(20), "z"), ("1", "a", day(1), "z"), ("1", "a", None, "z")]):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         stream = streams.long_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
         streams.start_first_seen(stream, str(tmp_path / "out"), str(tmp_path / "check"),
                                  dedup.POINT_KEY).awaitTermination()
     seen = spark.read.parquet(str(tmp_path / "out"))
-    assert sorted(r.signal_timestamp for r in seen.collect()) == [day(18), day(20)]
-    stored = spark.read.parquet(str(tmp_path / "in"))
-    assert stored.dropDuplicates(dedup.POINT_KEY).count() == 3
+    assert {(r.signal_timestamp, r.loaddate) for r in seen.collect()} == {
+        (day(20), "y"), (day(18), "y"), (day(1), "z"), (None, "z")}
+
+
+def test_streams_leave_the_session_as_it_was(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = quality.gap_points(frame(spark, random_rows(11, 50)).drop("friendly_name")).select("imo", "signal", "gap_start", "loaddate")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = streams.long_stream(spark, str(tmp_path / "in"), rows.schema)
+    streams.start_gap_sessions(stream, str(tmp_path / "out"), str(tmp_path / "check"), state_partitions=3).awaitTermination()
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition") == "false"

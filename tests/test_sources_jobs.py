@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetframe import schemas
-from fleetframe.operators import gaps
+from fleetframe.operators import gaps, nested
 from fleetframe.plans import jobs
 from fleetframe.sources import jdbc, landing, runs, tables
 from fleetframe.streaming import streams
@@ -244,3 +244,111 @@ def test_stream_over_landing_files(spark, lake, tmp_path):
     out = spark.read.parquet(sink)
     assert out.filter("imo = '1'").count() == 4 + 4 + 1
     assert {(r.imo, r.status) for r in spark.read.parquet(bad).collect()} == {("2", "error"), ("2", "corrupt")}
+
+
+def broken(spark, schema):
+    """A frame whose computation fails."""
+    return spark.createDataFrame([("1",)], "imo string").select(
+        *[F.raise_error(F.lit("lost")).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def test_a_failing_overwrite_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([("1", "a", "A")], schemas.MAPPING)
+    tables.write_table(df, path)
+    for write in (tables.replace_table, lambda d, p: tables.write_table(d, p, "overwrite"), tables.export_pivot):
+        with pytest.raises(Exception, match="lost"):
+            write(broken(spark, schemas.MAPPING), path)
+        assert rows(tables.read_table(spark, path, schemas.MAPPING)) == [("1", "a", "A")]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_an_interrupted_swap_is_read_from_the_folder_set_aside(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_table(spark.createDataFrame([("1", "a", "A")], schemas.MAPPING), path)
+    (tmp_path / "t").rename(tmp_path / f"t{tables.BEFORE}")
+    assert rows(tables.read_table(spark, path, schemas.MAPPING)) == [("1", "a", "A")]
+    grown = tables.read_table(spark, path, schemas.MAPPING).withColumn("friendly_name", F.lit("B"))
+    tables.replace_table(grown, path)
+    assert rows(spark.read.parquet(path)) == [("1", "a", "B")]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_a_partition_is_replaced_by_no_rows(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.createDataFrame([(1,), (2,)], "v int")
+    tables.replace_partition(df, path, {"d": "a"})
+    tables.replace_partition(df, path, {"d": "b"})
+    tables.replace_partition(spark.read.parquet(path).filter("d = 'a' AND v > 1"), path, {"d": "a"})
+    tables.replace_partition(df.limit(0), path, {"d": "b"})
+    assert rows(spark.read.parquet(path)) == [(2, "a")]
+    assert tables.table_names(spark, str(tmp_path)) == ["p"]
+
+
+def test_bad_fleet_answer_keeps_the_ships(spark, lake):
+    jobs.run_jobs(spark, lake, RUN1, mode="fleet")
+    put(Path(lake.landing), RUN2, "ShipData", {"detail": "down"})
+    for run in (RUN2, "2024/02/01/00/00"):
+        put(Path(lake.landing), run, "ShipData", {"detail": "down"})
+        with pytest.raises(jobs.NoShipsError):
+            jobs.run_jobs(spark, lake, run)
+    assert rows(spark.read.parquet(lake.path("active_ships"))) == [("1",), ("2",)]
+    assert nested.infer_ship_schema(spark.createDataFrame([], "ship string")).fields == []
+
+
+def test_a_corrected_run_leaves_no_quarantine(spark, lake):
+    jobs.run_jobs(spark, lake, RUN1)
+    run = spark.read.parquet(lake.path("quarantine")).filter(F.col("run") == jobs.Run(RUN1).id)
+    assert run.count() == 1
+    put(Path(lake.landing), RUN1, "Timeseries_2", series(rpm={"00:00": 7}))
+    fleet = [{"imo": "1", "active": True, "data": {"name": "A"}}, {"imo": "2", "data": {"name": "B"}}]
+    put(Path(lake.landing), RUN1, "ShipData", fleet)
+    jobs.run_jobs(spark, lake, RUN1)
+    assert spark.read.parquet(lake.path("quarantine")).count() == 0
+    assert spark.read.schema("imo string").parquet(lake.path("ships_main_engines")).count() == 0
+    assert rows(spark.read.parquet(lake.path("run_audit")).select("success")) == [(True,)]
+
+
+def test_the_first_run_of_a_day_can_be_repeated(spark, lake):
+    jobs.run_jobs(spark, lake, RUN1, mode="fleet")
+    jobs.ingest_daily(spark, lake, jobs.Run(RUN1))
+    empty = "2024/01/31/00/01"
+    for imo in "12":
+        put(Path(lake.landing), empty, f"Timeseries_{imo}", series(rpm={"00:00": None}))
+    for _ in range(2):
+        jobs.ingest_daily(spark, lake, jobs.Run(empty))
+        assert spark.read.parquet(lake.path("ref_data")).count() == 3
+
+
+def test_bad_cells_are_kept_with_their_text(spark, lake):
+    jobs.run_jobs(spark, lake, RUN1, mode="fleet")
+    body = {"timestamp": "x", "rpm": {"2024-01-30T00:00:00Z": "n/a", "once": 1, "2024-01-30T00:05:00Z": 2}}
+    put(Path(lake.landing), RUN2, "Timeseries_1", body)
+    jobs.ingest_timeseries(spark, lake, jobs.Run(RUN2))
+    bad = spark.read.parquet(lake.path("bad_cells"))
+    assert rows(bad.select("imo", "signal", "at", "value", "reason")) == [
+        ("1", "rpm", "2024-01-30T00:00:00Z", "n/a", "value"), ("1", "rpm", "once", "1", "timestamp")]
+    stored = jobs.stored_runs(spark, lake).filter("imo = '1'")
+    assert rows(stored.select("signal", "signal_value")) == [("rpm", 2.0)]
+    assert tables.read_table(spark, lake.path("gaps"), schemas.GAPS).filter("imo = '1'").count() == 0
+
+
+def test_runs_are_chosen_without_opening_measurements(spark, lake):
+    jobs.run_jobs(spark, lake, RUN1)
+    jobs.run_jobs(spark, lake, RUN2)
+    opened = runs.latest_run_per_day(jobs.manifest(spark, lake), 1).inputFiles()
+    assert opened and all(lake.path("runs") + "/" in f for f in opened)
+    assert {(r.run, r.rows) for r in jobs.manifest(spark, lake).collect()} == {(jobs.Run(RUN1).id, 3), (jobs.Run(RUN2).id, 8)}
+
+
+def test_history_takes_the_last_run_of_a_ship_in_any_hour(spark):
+    df = run_rows(spark, ("1", "2024-01-10T09:00"), ("2", "2024-01-10T03:10"), ("2", "2024-01-10T01:00"))
+    found = runs.last_run_per_ship(df, date(2024, 1, 10), 5, before=datetime(2024, 1, 10, 9, 0))
+    assert [(r.imo, r.run_ts.hour) for r in found.collect()] == [("2", 3)]
+
+
+def test_expired_in_all_layers(spark, lake):
+    jobs.run_jobs(spark, lake, RUN1)
+    found = jobs.expired(spark, lake, date(2024, 5, 30))
+    assert {(r.layer, r.run_date.day, r.row_count) for r in found.collect()} == {
+        ("landing", 30, 7), ("landing", 31, 14), ("timeseries", 30, 3), ("gaps", 30, 2)}
