@@ -127,14 +127,17 @@ def _alike(common: Column, a: Column, b: Column, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
+    """The pairs (a, b) whose sets are similar enough; a pair may repeat if rows do.
+
+    No aggregation follows the joins, so adaptive execution can split the rows of a hub.
+    """
     first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
     sizes = pairs.join(sets.select(F.col("id").alias("a"), F.size("shingles").alias("na")), "a").join(
         sets.select(F.col("id").alias("b"), F.size("shingles").alias("nb")), "b")
-    possible = sizes.where(_alike(F.least("na", "nb"), F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
+    possible = sizes.where(_alike(F.least("na", "nb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return possible.join(first, "a").join(second, "b").where(_alike(common, F.size("sa"), F.size("sb"), percent)).select("a", "b").distinct()
+    return possible.join(first, "a").join(second, "b").where(_alike(common, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
 def _hubs(members: DataFrame, degrees: DataFrame) -> DataFrame:
