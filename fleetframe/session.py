@@ -16,6 +16,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # State of the gap sessions outside the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Checkpoints go away with the frames that use them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
