@@ -60,8 +60,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; it goes away when the application ends."""
+    context = spark.sparkContext
+    root = f"{shared_dir(spark).rstrip('/')}/work-{context.applicationId}"
+    if getattr(context, "_fleetframe_work", None) != root:
+        folder = context._jvm.org.apache.hadoop.fs.Path(root)
+        store = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
+        context._fleetframe_work = root
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
