@@ -164,6 +164,11 @@ def manifest(spark: SparkSession, lake: Lake) -> DataFrame:
     return listed.select("run_date", "run", F.to_timestamp("run", "yyyyMMddHHmm").alias("run_ts"), "rows")
 
 
+def audit(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The audit rows of all runs."""
+    return tables.read_table(spark, lake.path("run_audit"), T.StructType([*schemas.RUN_AUDIT.fields, *RUN_COLUMNS.fields]))
+
+
 def run_list(stored: DataFrame) -> DataFrame:
     """The runs among stored rows. For a lake without manifest; jobs read `manifest`."""
     return stored.select("run_date", "run", "run_ts").distinct()

@@ -15,14 +15,6 @@ LONG_COLUMNS = LONG.fieldNames()
 
 TAGGED = T.StructType([*LONG.fields, T.StructField("tag", T.StringType())])
 
-GAP_POINTS = T.StructType([
-    T.StructField("imo", T.StringType()),
-    T.StructField("signal", T.StringType()),
-    T.StructField("signal_timestamp", T.TimestampType()),
-    T.StructField("loaddate", T.StringType()),
-    T.StructField("gap_start", T.TimestampType()),
-])
-
 GAPS = T.StructType([
     T.StructField("imo", T.StringType()),
     T.StructField("signal", T.StringType()),

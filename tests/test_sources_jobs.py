@@ -306,7 +306,7 @@ def test_a_corrected_run_leaves_no_quarantine(spark, lake):
     jobs.run_jobs(spark, lake, RUN1)
     assert spark.read.parquet(lake.path("quarantine")).count() == 0
     assert spark.read.schema("imo string").parquet(lake.path("ships_main_engines")).count() == 0
-    assert rows(spark.read.parquet(lake.path("run_audit")).select("success")) == [(True,)]
+    assert rows(jobs.audit(spark, lake).select("ships_total", "success")) == [(2, True)]
 
 
 def test_the_first_run_of_a_day_can_be_repeated(spark, lake):
