@@ -11,7 +11,6 @@ import base64
 import hashlib
 import re
 from array import array
-from functools import lru_cache
 from heapq import heappop, heappush
 
 import numpy as np
@@ -20,9 +19,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetframe.llm.common import per_text, read, ship
+from fleetframe.llm.common import per_text, read, ship, worker_state
 
-UNIT_CACHE = 300_000
+UNIT_CACHE = 150_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RUN = re.compile(r"\s | \s")
 
@@ -50,20 +49,23 @@ class Replay:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.width = max(self.tokens) + 1
         self.cache: dict[str, bytes] = {}
-        merges = {
-            ranks[token[:i]] * self.width + ranks[token[i:]]: rank
-            for token, rank in ranks.items() for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks
-        }
-        self.pairs = np.array([*sorted(merges), np.iinfo(np.int64).max], dtype=np.int64)
-        self.made = np.array([merges.get(k, -1) for k in self.pairs.tolist()], dtype=np.int64)
+        pairs, made = array("q", [np.iinfo(np.int64).max]), array("i", [-1])
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    pairs.append(left * self.width + right)
+                    made.append(rank)
+        order = np.argsort(np.frombuffer(pairs, dtype=np.int64))
+        self.pairs = np.frombuffer(pairs, dtype=np.int64)[order]
+        self.made = np.frombuffer(made, dtype=np.int32)[order]
 
     def _merges(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of the token that each pair makes, -1 where there is none."""
-        wanted = left * self.width + right
+        wanted = left.astype(np.int64) * self.width + right
         at = self.pairs.searchsorted(wanted)
         return np.where(self.pairs[at] == wanted, self.made[at], -1)
 
@@ -72,8 +74,8 @@ class Replay:
         sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         ends = sizes.cumsum()
         ids = self.single[np.frombuffer(b"".join(words), dtype=np.uint8)]
-        after = np.arange(1, len(ids) + 1)
-        before = np.arange(-1, len(ids) - 1)
+        after = np.arange(1, len(ids) + 1, dtype=np.int32)
+        before = np.arange(-1, len(ids) - 1, dtype=np.int32)
         after[ends[sizes > 0] - 1] = -1
         before[(ends - sizes)[sizes > 0]] = -1
 
@@ -91,7 +93,7 @@ class Replay:
                     heappush(heap, rank)
                 index[rank].append(places[start:end])
 
-        first = np.flatnonzero(after >= 0)
+        first = np.flatnonzero(after >= 0).astype(np.int32)
         ranks = self._merges(ids[first], ids[first + 1])
         if (ranks >= 0).any():
             enter(first[ranks >= 0], ranks[ranks >= 0])
@@ -174,13 +176,12 @@ def _leftmost(places: np.ndarray, after: np.ndarray) -> np.ndarray:
         if place != taken:
             kept.append(place)
             taken = right
-    return np.array(kept, dtype=np.int64)
+    return np.array(kept, dtype=np.int32)
 
 
-@lru_cache(maxsize=4)
 def replay_for(path: str, pattern: str) -> Replay:
     """One per worker process and rank file."""
-    return Replay(load_ranks(path), pattern)
+    return worker_state(("byte_bpe", path, pattern), lambda: Replay(load_ranks(path), pattern))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, keep: list[str], text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 import fleetframe
 from fleetframe.session import work_path
 
-BLOCK_CHARS = 12_000_000
+BLOCK_CHARS = 4_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
@@ -75,6 +76,19 @@ def in_fold(doc_id: str, folds: int, number: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == number, F.lit(False))
 
 
+_STATE: dict[tuple, object] = {}
+
+
+def worker_state(key: tuple, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: the state of one operator, so that the stages of a
+    pipeline, which share their workers, do not add up."""
+    if key not in _STATE:
+        _STATE.clear()
+        gc.collect()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
     """Record batches cut so that a block holds about BLOCK_CHARS bytes, one document at least."""
     for batch in batches:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetframe.llm.common import BROADCAST_BYTES, per_text, read, staged, unused
+from fleetframe.llm.common import BROADCAST_BYTES, per_text, read, staged, unused, worker_state
 from fleetframe.llm.components import components
 
 SHINGLE = 5
@@ -27,6 +27,7 @@ PERMUTATIONS = 64
 BAND_PERMUTATIONS = 2
 PERCENT = 75
 ROUNDS = 2
+WORD_CACHE = 100_000
 _CHUNK = 2048
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -51,7 +52,7 @@ class Shingler:
 
     def shingles(self, text: str | None) -> np.ndarray:
         words = (text or "").encode().lower().split()
-        if len(self.words) > 500_000:
+        if len(self.words) > WORD_CACHE:
             self.words.clear()
         known, digest = self.words, xxhash.xxh3_64_intdigest
         hashes = []
@@ -70,9 +71,9 @@ class Shingler:
         return np.unique(_mix(rolled))
 
 
-@lru_cache(maxsize=1)
 def shingler() -> Shingler:
-    return Shingler()
+    """One per worker process."""
+    return worker_state(("minhash",), Shingler)
 
 
 def bands_of(shingles: np.ndarray) -> np.ndarray:

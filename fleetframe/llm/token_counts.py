@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import re
 from array import array
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetframe.llm.common import per_text, read
+from fleetframe.llm.common import per_text, read, worker_state
 
-UNIT_CACHE = 400_000
-PAIR_CACHE = 1_000_000
+UNIT_CACHE = 250_000
+PAIR_CACHE = 500_000
 BLANK = "▁"
 _UNIT = re.compile(r" *[^ ]+| +$")
 
@@ -121,10 +120,9 @@ def within(counted: list[bytes | array], n_chars: int, limit: int) -> int:
     return n_chars
 
 
-@lru_cache(maxsize=4)
 def counter_for(path: str) -> PrefixCounter:
     """One per worker process and model file."""
-    return PrefixCounter(path)
+    return worker_state(("token_counts", path), lambda: PrefixCounter(path))
 
 
 def token_counts(docs: DataFrame, path: str, limit: int, keep: list[str], text: str = "text") -> DataFrame:

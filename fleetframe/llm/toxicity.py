@@ -33,7 +33,7 @@ STEM_LENGTHS = range(4, 9)
 STEM_WORDS = 3
 FUZZY_LENGTH = 5
 WINDOW = 80
-MEMO = 300_000
+MEMO = 100_000
 #: How much of an entry's evidence a hit carries.
 CARRIED = {"exact": 1.0, "near": 0.7, "exact quoted": 0.1, "near quoted": 0.05}
 _WORD = re.compile(r"[^\W_]+")
