@@ -25,16 +25,27 @@ def line_id(line: Column) -> Column:
     return F.when(plain != "", F.concat(F.hex(F.xxhash64(plain)), F.hex(F.xxhash64(plain, F.lit("line")))))
 
 
-def boilerplate(docs: DataFrame, site: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def page_id(text: Column) -> Column:
+    """128 bits of a page's text; null texts share one."""
+    return F.concat(F.hex(F.xxhash64(text)), F.hex(F.xxhash64(text, F.lit("page"))))
+
+
+def boilerplate(docs: DataFrame, site: str, text: str, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                distinct: bool = False) -> DataFrame:
     """(site, line, n_pages, share) of the lines that more than `ratio` of the site's pages hold.
 
     A page counts a line once. `min_pages` pages must hold it: below that a repeated line is no template.
+    `distinct`: equal texts of a site are one page, so the lines of a copied text are no template.
     Null sites form one site of their own; null texts are pages without lines.
     """
     source = docs.select(F.col(site).alias("site"), F.col(text).cast("string").alias("text"))
-    pages = source.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
     ids = F.array_distinct(F.transform(lines_of(F.col("text")), line_id))
-    counted = (source.select("site", F.explode(ids).alias("line")).where(F.col("line").isNotNull())
+    source = source.select("site", page_id(F.col("text")).alias("page"), ids.alias("ids"))
+    if distinct:
+        # The ids of the lines are moved, not the texts.
+        source = source.dropDuplicates(["site", "page"])
+    pages = source.groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    counted = (source.select("site", F.explode("ids").alias("line")).where(F.col("line").isNotNull())
                .groupBy("site", "line").agg(F.count(F.lit(1)).alias("n_pages"))
                .where(F.col("n_pages") >= min_pages))
     return (counted.join(pages.withColumnRenamed("site", "own_site"), F.col("site").eqNullSafe(F.col("own_site")))
@@ -43,14 +54,14 @@ def boilerplate(docs: DataFrame, site: str, text: str, ratio: float = RATIO, min
 
 
 def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, dropped: str = "n_dropped") -> DataFrame:
+                     min_pages: int = MIN_PAGES, dropped: str = "n_dropped", distinct: bool = False) -> DataFrame:
     """`docs` with boilerplate lines taken out of `text`; `dropped` is added, the number of lines that went.
 
     Kept lines stay as they are, in their order, joined by a line feed; blank lines are never boilerplate. A
     text without boilerplate is unchanged, null stays null, a text of boilerplate alone becomes empty.
-    Repeated rows are pages of their own. The other columns pass through, whatever their names.
+    Repeated rows are pages of their own unless `distinct`. The other columns pass through, whatever their names.
     """
-    found = staged(boilerplate(docs, site, text, ratio, min_pages).select("site", "line"), "boilerplate")
+    found = staged(boilerplate(docs, site, text, ratio, min_pages, distinct).select("site", "line"), "boilerplate")
     lines_name = unused(docs, "_lines")
     if found.count() * 80 <= BROADCAST_BYTES:
         # For each site at most 1/ratio times the lines of a mean page.

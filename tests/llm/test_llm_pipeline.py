@@ -46,6 +46,24 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf_dir).select("doc_id").collect()} == set(encoded)
 
 
+def test_copies_of_a_text_keep_its_lines(spark):
+    """A third of a source is one text: line dedup leaves it whole, near-dedup keeps it once."""
+    made = random.Random(8)
+
+    def words(n):
+        return " ".join("".join(made.choices("abcdefghij", k=5)) for _ in range(n))
+
+    copied = "\n".join(words(12) for _ in range(4))
+    texts = [copied] * 30 + [f"site menu\n{words(40)}" for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    cut = corpus_pipeline.drop_lines(spark, docs, "").localCheckpoint()
+    assert {r.text for r in cut.where("doc_id < 30").collect()} == {copied}
+    assert all(r.text == texts[r.doc_id].split("\n")[1] for r in cut.where("doc_id >= 30").collect())
+    kept = {r.doc_id: r.text for r in corpus_pipeline.keep_one_copy(spark, cut, "").collect()}
+    assert sorted(kept) == [0, *range(30, 90)] and kept[0] == copied
+
+
 def test_entry_points():
     import __spark_entry__
 
