@@ -64,6 +64,27 @@ def test_copies_of_a_text_keep_its_lines(spark):
     assert sorted(kept) == [0, *range(30, 90)] and kept[0] == copied
 
 
+def test_passages_over_sources(spark):
+    """Long lines go from two different texts of a source on, at any size; near copies are one text."""
+    made = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(made.choices("abcdefghij", k=5)) for _ in range(n))
+
+    passage, single, copied = words(60), words(60), [words(30) for _ in range(8)]
+    texts = [(f"s{i % 2}", f"{words(80)}\n{passage}\n{words(90)}") for i in range(6)]
+    texts += [(f"s{i}", f"{words(80)}\n{single}") for i in range(3)]
+    texts += [("s0", "\n".join([*copied, words(3)])) for _ in range(5)]
+    texts += [("few", f"head line\n{words(40)}") for _ in range(4)]
+    texts += [("s0", words(100)) for _ in range(700)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, (s, t) in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, "").collect()}
+    for i, (_, text) in enumerate(texts):
+        gone = passage if i < 6 else "head line" if 14 <= i < 18 else None
+        assert found[i] == "\n".join(x for x in text.split("\n") if x != gone), i
+
+
 def test_entry_points():
     import __spark_entry__
 
