@@ -6,7 +6,7 @@ once, so the ordinary words of a copied toxic text stay out.
 
 Scoring (all rows, whole texts): each word runs through the Levenshtein automaton of the lexicon's trie,
 as a set of (node, edits) states that dies as soon as no entry is near. Only entries without ordinary words
-around them are matched with an edit. A window around each hit tells a quoted term from abuse. The
+around them are matched with an edit, stems too; entries of three letters never are. A window around each hit tells a quoted term from abuse. The
 evidence of a text and its density become a probability by a logistic fit on the sample.
 """
 
@@ -32,6 +32,7 @@ MIN_PRECISION = 0.75
 STEM_LENGTHS = range(4, 9)
 STEM_WORDS = 3
 FUZZY_LENGTH = 5
+FREE_LENGTH = 4
 WINDOW = 80
 MEMO = 100_000
 #: How much of an entry's evidence a hit carries.
@@ -42,12 +43,17 @@ _OPENING, _CLOSING = "\"“„«‹‘", "\"”“»›’"
 
 @dataclass
 class Lexicon:
-    """Evidence of terms and of stems, terms that allow an edit, and the coefficients of the fit."""
+    """Evidence of terms and of stems, entries that allow an edit, and the coefficients of the fit.
+
+    `fuzzy`: one edit after the first letter, in words of FUZZY_LENGTH letters or more; `free`: one edit
+    anywhere, in words of any length. A stem is written there with a `*` at its end.
+    """
 
     terms: dict[str, float] = field(default_factory=dict)
     stems: dict[str, float] = field(default_factory=dict)
     fuzzy: set[str] = field(default_factory=set)
     fit: tuple[float, float, float] = (-4.0, 1.0, 0.0)
+    free: set[str] = field(default_factory=set)
 
 
 class Automaton:
@@ -69,23 +75,31 @@ class Automaton:
             return self.memo[word]
         if len(self.memo) >= MEMO:
             self.memo.clear()
-        found = self.memo[word] = self._match(word)
+        exact, near = self.entries(word)
+        found = ("exact", exact) if exact else ("near", min(near).removesuffix("*")) if near else None
+        self.memo[word] = found
         return found
 
-    def _match(self, word: str) -> tuple[str, str] | None:
-        first = self.root.get(word[0])
-        if first is None:
-            return None
-        edits = 1 if len(word) >= FUZZY_LENGTH else 0
-        # The first letter stands; then each state is a node and the edits spent on the way to it.
-        states = [(first, 0)]
+    def _allowed(self, key: str, word: str) -> bool:
+        if key in self.lexicon.free:
+            return True
+        return key in self.lexicon.fuzzy and key[0] == word[0] and len(word) >= FUZZY_LENGTH
+
+    def entries(self, word: str) -> tuple[str | None, set[str]]:
+        """The exact entry, and else all that allow the edit to this word; a stem ends in `*`."""
+        edits = 1 if self.lexicon.free or len(word) >= FUZZY_LENGTH else 0
+        near: set[str] = set()
+        # Each state is a node and the edits spent on the way to it.
+        states = [(self.root, 0)]
         if edits:
-            states += [(child, 1) for c, child in first.items() if c]
-        for char in word[1:]:
+            states += [(child, 1) for c, child in self.root.items() if c]
+        for char in word:
             following = []
             for node, spent in states:
-                if not spent and "" in node:
-                    return "exact", node[""]
+                if "" in node:
+                    if not spent:
+                        return node[""], set()
+                    near.add(node[""] + "*")
                 if child := node.get(char):
                     following.append((child, spent))
                     if spent < edits:
@@ -93,17 +107,16 @@ class Automaton:
                 if spent < edits:
                     following.append((node, 1))
                     following += [(child, 1) for c, child in node.items() if c and c != char]
-            if not following:
-                return None
             states = following
-        near = None
+            if not states:
+                break
         for node, spent in states:
             for mark in (None, ""):
-                if not spent and mark in node:
-                    return "exact", node[mark]
-            if spent and None in node and node[None] in self.lexicon.fuzzy:
-                near = min(near or node[None], node[None])
-        return ("near", near) if near else None
+                if mark in node:
+                    if not spent:
+                        return node[mark], set()
+                    near.add(node[mark] + ("" if mark is None else "*"))
+        return None, {key for key in near if self._allowed(key, word)}
 
 
 def quoted(text: str, start: int, end: int) -> bool:
@@ -237,20 +250,26 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     chosen = (distinct.join(F.broadcast(clean), "word").withColumn("surprise", _surprise(base))
               .where(F.col("surprise") >= MIN_EVIDENCE).collect())
     weight = {r["word"]: math.log((min(r["t"], found[r["word"]][0]) + 0.5) / toxic / ((r["c"] + 0.5) / other)) for r in chosen}
-    # The best stem of each family; then the terms that no stem covers.
+    # The best stem of each family. Terms that a stem covers stay: an edit of theirs may lie before its end.
     stems: dict[str, float] = {}
     for entry in sorted((w for w in weight if w[-1] == "*"), key=lambda w: (-found[w][0], -weight[w], -len(w), w)):
         if not any(entry[:-1].startswith(s) or s.startswith(entry[:-1]) for s in stems):
             stems[entry[:-1]] = weight[entry]
-    terms = {w: v for w, v in weight.items() if w[-1] != "*" and not any(w.startswith(s) for s in stems)}
-    lexicon = Lexicon(terms, stems, {t for t in terms if len(t) >= FUZZY_LENGTH})
+    terms = {w: v for w, v in weight.items() if w[-1] != "*"}
+    keys = [*terms, *(f"{s}*" for s in stems)]
+    lexicon = Lexicon(terms, stems, {k for k in keys if len(k.rstrip("*")) >= FUZZY_LENGTH},
+                      free={k for k in keys if len(k.rstrip("*")) >= FREE_LENGTH})
 
     def crowded(pairs: Iterable[tuple[int, str]]) -> Iterator[tuple[str, int]]:
+        """Entries with an ordinary word an edit away; 1 if the first letter stands in a word long enough."""
         automaton = Automaton(lexicon)
-        return ((m[1], 1) for m in {automaton.match(word) for _, word in pairs} if m and m[0] == "near")
+        return iter({(key, int(key[0] == word[0] and len(word) >= FUZZY_LENGTH))
+                     for _, word in pairs for key in automaton.entries(word)[1]})
 
     ordinary = words.where("c > t").select(F.lit(0).alias("_toxic"), F.col("word").alias("_text"))
-    lexicon.fuzzy -= {r["word"] for r in _rows(ordinary, "word string, n long", crowded).select("word").distinct().collect()}
+    near = _rows(ordinary, "word string, stands long", crowded).distinct().collect()
+    lexicon.free -= {r["word"] for r in near}
+    lexicon.fuzzy -= {r["word"] for r in near if r["stands"]}
 
     def measured(pairs: Iterable[tuple[int, str]]) -> Iterator[tuple[float, float, int]]:
         automaton = Automaton(lexicon)

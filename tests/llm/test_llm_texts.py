@@ -183,6 +183,34 @@ def test_automaton_finds_what_the_distance_says():
         assert (found and found[0]) == expected, word
 
 
+def test_automaton_finds_any_edit():
+    made = random.Random(15)
+    terms = {"".join(made.choices("abc", k=made.randint(4, 8))): 1.0 for _ in range(20)}
+    stems = {"".join(made.choices("abc", k=made.randint(4, 6))) + "x": 1.0 for _ in range(4)}
+    automaton = toxicity.Automaton(toxicity.Lexicon(terms, stems, free={*terms, *(f"{s}*" for s in stems)}))
+    for _ in range(3000):
+        word = "".join(made.choices("abcx", k=made.randint(3, 9)))
+        near = any(_edits(t, word) == 1 for t in terms) or any(_edits(s, word[:n]) <= 1 for s in stems for n in range(len(word) + 1))
+        expected = "exact" if word in terms or any(word.startswith(s) for s in stems) else "near" if near else None
+        found = automaton.match(word)
+        assert (found and found[0]) == expected, word
+
+
+def test_learned_terms_allow_edits(spark):
+    """Also under a stem, at the first letter, and in words of four letters."""
+    made = random.Random(3)
+    toxic = ["idiot", "idiots", "idiotic", "scum"]
+    plain = ["tree", "house", "river", "stone"]
+    texts = [" ".join(made.choices(plain, k=6) + ([toxic[i // 4 % 4]] if i % 4 == 0 else []) + made.choices(plain, k=6)) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(600)], "doc_id long, toxic int")
+    lexicon = toxicity.learn(rows(spark, texts), labels)
+    automaton = toxicity.Automaton(lexicon)
+    assert any("idiot".startswith(s) for s in lexicon.stems)
+    for word in ("idlot", "1diot", "xidiot", "idot", "scuum", "xcum", "idlotic"):
+        assert automaton.match(word) and automaton.match(word)[0] == "near", word
+    assert not any(automaton.match(w) for w in ("tree", "house", "river", "stone", "trees"))
+
+
 def test_quotation_and_misspelling():
     lexicon = toxicity.Lexicon({"idiot": 6.0}, {"scumm": 5.0}, {"idiot"}, (-4.0, 1.0, 0.0))
     automaton = toxicity.Automaton(lexicon)
