@@ -212,8 +212,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
           bound: int = TRAINING_ROWS) -> Lexicon:
     """The lexicon of the at most `bound` labelled texts whose ids have the smallest hashes.
 
-    What reaches the driver is bounded by that sample: at most MAX_CANDIDATES words and stems, and two
-    numbers per text of the sample. Ids without text or label do not take part; of several labels of
+    What reaches the driver is bounded by that sample: two numbers per text of the sample, and the lexicon,
+    the at most MAX_CANDIDATES words and stems with the most evidence after copied occurrences are merged. Ids without text or label do not take part; of several labels of
     an id the greatest counts. Without toxic or without other rows the lexicon is empty.
     """
     rows = staged(_training(docs, labels, doc_id, text, label, bound), "toxicity-rows")
@@ -225,31 +225,28 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     counted = _rows(rows, "word string, t long, c long", _word_counts)
     words = staged(counted.groupBy("word").agg(F.sum("t").alias("t"), F.sum("c").alias("c")), "toxicity-words")
 
-    stem = F.explode(F.array(*[F.when(F.length("word") > n, F.substring("word", 1, n)) for n in STEM_LENGTHS]))
-    by_stem = (words.select(stem.alias("word"), "t", "c").where(F.col("word").isNotNull()).groupBy("word")
-               .agg(F.sum("t").alias("t"), F.sum("c").alias("c"), F.count_if(F.col("t") > F.col("c")).alias("words"))
-               .where(F.col("words") >= STEM_WORDS).select(F.concat("word", F.lit("*")).alias("word"), "t", "c"))
-    possible = (words.where(F.length("word") >= 3).unionByName(by_stem).where("t > 0")
-                .withColumn("surprise", _surprise(base)).where(F.col("surprise") >= MIN_EVIDENCE)
-                .orderBy(F.desc("surprise"), "word").limit(MAX_CANDIDATES))
-    found = {r["word"]: (r["t"], r["c"]) for r in possible.collect()}
-
     def contexts(pairs: Iterable[tuple[int, str]]) -> Iterator[tuple[str, int]]:
         seen = set()
         for is_toxic, own in pairs:
             if is_toxic:
                 tokens = ["", *_WORD.findall(own.lower()), ""]
-                for i, word in enumerate(tokens[1:-1], 1):
-                    for entry in (word, *(word[:n] + "*" for n in STEM_LENGTHS if len(word) > n)):
-                        if entry in found:
-                            seen.add((entry, zlib.crc32(f"{tokens[i - 1]} {word} {tokens[i + 1]}".encode())))
+                seen.update((word, zlib.crc32(f"{before} {word} {after}".encode()))
+                            for before, word, after in zip(tokens, tokens[1:-1], tokens[2:]))
         return iter(seen)
 
-    distinct = (_rows(rows, "word string, context long", contexts).distinct().groupBy("word").agg(F.count("context").alias("t")))
-    clean = rows.sparkSession.createDataFrame([(w, c) for w, (_, c) in found.items()], "word string, c long")
-    chosen = (distinct.join(F.broadcast(clean), "word").withColumn("surprise", _surprise(base))
-              .where(F.col("surprise") >= MIN_EVIDENCE).collect())
-    weight = {r["word"]: math.log((min(r["t"], found[r["word"]][0]) + 0.5) / toxic / ((r["c"] + 0.5) / other)) for r in chosen}
+    # A word counts by its distinct contexts, in no more texts than hold it: copies add nothing.
+    distinct = _rows(rows, "own string, context long", contexts).distinct().groupBy("own").agg(F.count("context").alias("d"))
+    words = staged(words.join(distinct, F.col("word") == F.col("own"), "left")
+                   .select("word", "t", "c", F.least("t", F.coalesce("d", F.lit(0))).alias("e")), "toxicity-contexts")
+    stem = F.explode(F.array(*[F.when(F.length("word") > n, F.substring("word", 1, n)) for n in STEM_LENGTHS]))
+    by_stem = (words.select(stem.alias("word"), "c", "e").where(F.col("word").isNotNull()).groupBy("word")
+               .agg(F.sum("c").alias("c"), F.sum("e").alias("e"), F.count_if(F.col("e") > F.col("c")).alias("words"))
+               .where(F.col("words") >= STEM_WORDS).select(F.concat("word", F.lit("*")).alias("word"), "c", "e"))
+    possible = (words.where(F.length("word") >= 3).select("word", "c", "e").unionByName(by_stem).where("e > 0")
+                .select("word", "c", F.col("e").alias("t")).withColumn("surprise", _surprise(base))
+                .where(F.col("surprise") >= MIN_EVIDENCE).orderBy(F.desc("surprise"), "word").limit(MAX_CANDIDATES))
+    found = {r["word"]: (r["t"], r["c"]) for r in possible.collect()}
+    weight = {w: math.log((t + 0.5) / toxic / ((c + 0.5) / other)) for w, (t, c) in found.items()}
     # The best stem of each family. Terms that a stem covers stay: an edit of theirs may lie before its end.
     stems: dict[str, float] = {}
     for entry in sorted((w for w in weight if w[-1] == "*"), key=lambda w: (-found[w][0], -weight[w], -len(w), w)):

@@ -211,6 +211,19 @@ def test_learned_terms_allow_edits(spark):
     assert not any(automaton.match(w) for w in ("tree", "house", "river", "stone", "trees"))
 
 
+def test_copied_words_take_no_places(spark, monkeypatch):
+    """Copies of a long toxic text do not push a rarer term out of a full lexicon."""
+    monkeypatch.setattr(toxicity, "MAX_CANDIDATES", 20)
+    made = random.Random(16)
+    plain = ["tree", "house", "river", "stone"]
+    copied = " ".join("".join(made.choices("bcdfgh", k=7)) for _ in range(200))
+    texts = [copied] * 60 + [" ".join(made.choices(plain, k=6) + (["vilea"] if i % 10 == 0 else []) + made.choices(plain, k=6))
+                             for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i < 60 or (i - 60) % 10 == 0)) for i in range(460)], "doc_id long, toxic int")
+    lexicon = toxicity.learn(rows(spark, texts), labels)
+    assert set(lexicon.terms) == {"vilea"} and not lexicon.stems
+
+
 def test_quotation_and_misspelling():
     lexicon = toxicity.Lexicon({"idiot": 6.0}, {"scumm": 5.0}, {"idiot"}, (-4.0, 1.0, 0.0))
     automaton = toxicity.Automaton(lexicon)
