@@ -1,7 +1,7 @@
 """Secret scan: base patterns, and assignment-aware lexing of source and configuration syntax.
 
 The lexer reads `name = literal` pairs (also `name: literal`, quoted names, `:=`, `=>`, literals joined by
-`+`), follows names that were given a literal earlier in the text, and scores the literal by how
+`+`, a type between name and `=`, subscripts as targets, escapes and triple quotes), follows names that were given a literal earlier in the text, and scores the literal by how
 sensitive the target's name is and by whether it looks like a secret.
 """
 
@@ -21,9 +21,19 @@ THRESHOLD = 0.5
 _ASSIGN = re.compile(r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
+#: Literals: triple-quoted ones may span lines, a backslash escapes in ordinary ones.
+_LITERAL = r"""(?:\"{3}(?s:.*?)\"{3}|'{3}(?s:.*?)'{3}|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|"[^"\n]*"|'[^'\n]*'|`[^`\n]*`)"""
+_IDENTIFIER = r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*"
+#: What may stand between a name's colon and `=`: a type such as str, Optional[str], char[], string | null.
+_TYPE = r"[ \t]*:[ \t]*[A-Za-z_$][\w$.]*(?:[\[<][\w$., \t\[\]<>|]{0,80}[\]>])?\??(?:[ \t]*\|[ \t]*[A-Za-z_$][\w$.]{0,40}){0,4}[ \t]*(?==(?![=>]))"
 _PAIR = re.compile(
-    r"""(?<![\w$.-])["']?(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)["']?[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*(?P<value>(?:"[^"\n]*"|'[^'\n]*'|`[^`\n]*`|[^\s"'`,;(){}\[\]]+)(?:[ \t]*\+[ \t]*(?:"[^"\n]*"|'[^'\n]*'))*)""",
+    rf"""(?<![\w$.-])["']?(?P<name>[A-Za-z_$][\w$]*(?:[.-][A-Za-z_$][\w$]*)*)["']?(?:[ \t]*\])?(?:{_TYPE}|[ \t]*)(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"""
+    rf"""(?P<value>(?:{_LITERAL}|{_IDENTIFIER}(?=[ \t]+\+[ \t]*["'`A-Za-z_$]|\+["'`]))(?:[ \t]*\+[ \t]*(?:{_LITERAL}|{_IDENTIFIER}))*"""
+    rf"""|[^\s"'`,;(){{}}\[\]]+(?:[ \t]*\+[ \t]*{_LITERAL})*)""",
     re.ASCII)
+_PART = re.compile(rf"(?P<literal>{_LITERAL})|(?P<name>{_IDENTIFIER})", re.ASCII)
+_CHAIN = re.compile(rf"({_IDENTIFIER})(?:[ \t]+\+|\+[\"'`])", re.ASCII)
+_ESCAPE = re.compile(r"\\(.)", re.DOTALL)
 _NAME = re.compile(r"[A-Za-z_$][\w$]*(?:\.[A-Za-z_$][\w$]*)*\Z", re.ASCII)
 _REFERENCE = re.compile(r"\A\$?\{?([A-Za-z_$][\w$.]*)\}?\Z", re.ASCII)
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -52,17 +62,34 @@ def plausibility(literal: str) -> float:
     return min(1.0, entropy / 4) * (0.4 + 0.2 * kinds if kinds > 1 else 0.4)
 
 
+def _content(literal: str) -> str:
+    quote = 3 if len(literal) >= 6 and literal[:3] in ('"""', "'''") else 1
+    inner = literal[quote:-quote]
+    return inner if literal[0] == "`" else _ESCAPE.sub(r"\1", inner)
+
+
+def _chain(value: str, known: dict[str, tuple[int, int, str]]) -> tuple[str, int] | None:
+    """The text of literals and known names joined by `+` and the end of the last; None if there is none."""
+    parts, end = [], 0
+    for m in _PART.finditer(value):
+        if m["literal"] or m["name"] in known:
+            parts.append(_content(m["literal"]) if m["literal"] else known[m["name"]][2])
+            end = m.end()
+    return ("".join(parts), end) if parts else None
+
+
 def pairs(text: str) -> list[tuple[str, int, int, str]]:
     """Name, start, end and literal of each assignment; a name stands for the literal it was last given."""
     known: dict[str, tuple[int, int, str]] = {}
     found = []
     for match in _PAIR.finditer(text):
         name, value, start = match["name"], match["value"], match.start("value")
-        if value[0] in "\"'`":
-            parts = [p[1:-1] for p in re.findall(r"\"[^\"\n]*\"|'[^'\n]*'|`[^`\n]*`", value)]
-            item = (start, match.end("value"), "".join(parts))
+        chain = _CHAIN.match(value)
+        made = _chain(value, known) if value[0] in "\"'`" or chain else None
+        if made:
+            item = (start, start + made[1], made[0])
         else:
-            bare = value.rstrip(".")
+            bare = (chain[1] if chain else value).rstrip(".")
             reference = _REFERENCE.match(bare)
             if reference and reference[1] in known:
                 item = known[reference[1]]

@@ -137,6 +137,24 @@ def test_secrets():
     assert secret_scan.scan("") == []
 
 
+@pytest.mark.parametrize(("text", "literal"), [
+    ('db_password: str = "Xk29!fQz71Lm"', '"Xk29!fQz71Lm"'),
+    ('val authToken: String = "Xk29!fQz71Lm"', '"Xk29!fQz71Lm"'),
+    ('const apiSecret: string | null = "Xk29!fQz71Lm"', '"Xk29!fQz71Lm"'),
+    ('auth_token: Optional[str] = "Xk29!fQz71Lm"', '"Xk29!fQz71Lm"'),
+    ('x["auth_token"] = "Xk29!fQz71Lm"', '"Xk29!fQz71Lm"'),
+    ('auth_secret = """Xk29!fQz71Lm"""', '"""Xk29!fQz71Lm"""'),
+    (r'auth_secret = "!Xk\"29fQz71Lm"', r'"!Xk\"29fQz71Lm"'),
+    ('A = "Xk29!f"\nauth_token = A + "Qz71Lm"', 'A + "Qz71Lm"'),
+    ('A = "Xk29!f"\nauth_token = "Qz71Lm" + A', '"Qz71Lm" + A'),
+    ('auth_secret = "Xk29!fQz71Lm" + other', '"Xk29!fQz71Lm"'),
+    ("auth_secret = 'Xk29!fQz71L\\\\'", "'Xk29!fQz71L\\\\'"),
+    ("db_pwd: Xk29+fQz71/Lm=", "Xk29+fQz71/Lm="),
+])
+def test_secret_assignments(text, literal):
+    assert [text[a:b] for a, b, k in secret_scan.scan(text) if k == "literal"] == [literal]
+
+
 def test_secret_frames(spark):
     found = secret_scan.secret_digest(rows(spark, [None, "", "é password=b7db7aa4a5 x"]), ["doc_id"]).orderBy("doc_id").collect()
     assert [r.spans for r in found] == ["", "", "assign:2:21"]
