@@ -142,10 +142,20 @@ def identify(docs: DataFrame, profiles: dict[str, list[int]], keep: list[str], t
 
 
 def training_rows(docs: DataFrame, doc_id: str, lang: str, bound: int = TRAINING_ROWS) -> DataFrame:
-    """The at most `bound` rows with a language whose ids have the smallest hashes; only ids are sorted."""
-    chosen = (docs.where(F.col(lang).isNotNull()).select(F.xxhash64(doc_id).alias("_hash"))
-              .orderBy("_hash").limit(bound).distinct())
-    return docs.join(F.broadcast(chosen), F.xxhash64(doc_id) == F.col("_hash"), "left_semi")
+    """About `bound` rows with a language: the languages take turns, each by the smallest id hashes.
+
+    So a rare language is learned at every size. Only ids and languages are sorted, first in 64 parts.
+    """
+    def first(rows: DataFrame, *part: str) -> DataFrame:
+        turn = F.row_number().over(Window.partitionBy(*part).orderBy("_hash"))
+        return rows.withColumn("_turn", turn).where(F.col("_turn") <= bound)
+
+    ids = (docs.where(F.col(lang).isNotNull())
+           .select(F.col(lang).cast("string").alias("_lang"), F.xxhash64(doc_id).alias("_hash"))
+           .withColumn("_part", F.pmod(F.xxhash64("_hash"), F.lit(64))))
+    chosen = (first(first(ids, "_lang", "_part"), "_lang").orderBy("_turn", "_hash", "_lang").limit(bound)
+              .select("_hash").distinct())
+    return docs.where(F.col(lang).isNotNull()).join(F.broadcast(chosen), F.xxhash64(doc_id) == F.col("_hash"), "left_semi")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

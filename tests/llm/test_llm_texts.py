@@ -172,6 +172,14 @@ def test_languages(spark):
     assert {r.lang_pred for r in language_id.identify(docs, {}, ["doc_id"]).collect()} == {"und"}
 
 
+def test_rare_language_is_learned(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", "rare" if i in (5, 400) else "en") for i in range(2000)],
+                                 "doc_id long, text string, lang string")
+    sample = language_id.training_rows(docs, "doc_id", "lang", 20).collect()
+    assert len(sample) == 20 and {r.doc_id for r in sample if r.lang == "rare"} == {5, 400}
+    assert language_id.training_rows(docs, "doc_id", "lang").count() == 2000
+
+
 def test_gram_counts_in_segments(monkeypatch):
     codes = language_id.letters_of("ab abc, Éa " * 400)
     whole = language_id.gram_counts(codes)
