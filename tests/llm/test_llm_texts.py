@@ -79,17 +79,64 @@ def test_bpe_frames(spark):
 
 def test_counts_hard_texts(pieces_library):
     own = token_counts.counter_for(PIECES)
-    for text, counted in zip(HARD, own.counted(HARD), strict=True):
-        assert sum(c[-1] for c in counted) == len(pieces_library.encode(text))
+    for text, (_, n) in zip(HARD, own.counts(HARD), strict=True):
+        assert n == len(pieces_library.encode(text))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "é", " ", "  ", "         ", "▁", "▁▁", "\n", "日", "本", "lich", "the", "ing", ".", "x9=", "🎉", "Zq7"]),
+                max_size=30).map("".join))
+def test_counts_any_text(pieces_library, text):
+    (_, n), = token_counts.counter_for(PIECES).counts([text])
+    assert n == len(pieces_library.encode(text))
+
+
+def test_counts_runs_of_blanks(pieces_library):
+    own = token_counts.counter_for(PIECES)
+    for size in range(70):
+        for text in (" " * size, " " * size + "x", "a" + " " * size + "lich"):
+            assert own.counts([text])[0][1] == len(pieces_library.encode(text))
+
+
+def test_counts_without_blanks(pieces_library):
+    """Text without blanks is cut into parts; what a worker keeps stays within its bound."""
+    own, made = token_counts.PrefixCounter(PIECES), random.Random(4)
+    alphabet = [chr(c) for c in range(0x4E00, 0x4E00 + 3000)]
+    texts = ["".join(made.choices(alphabet, k=1500)) for _ in range(200)] + ["".join(made.choices("ABCdef0123+/", k=1500)) for _ in range(40)]
+    assert [n for _, n in own.counts(texts)] == [len(ids) for ids in pieces_library.encode(texts)]
+    assert max(map(len, own.parts)) <= token_counts.LONG
+    assert not own.totals
+
+
+def test_counts_generations(pieces_library, monkeypatch):
+    monkeypatch.setattr(token_counts, "CACHE_BYTES", 20_000)
+    own, made = token_counts.PrefixCounter(PIECES), random.Random(6)
+    for _ in range(20):
+        texts = [" ".join("".join(made.choices("abcdeé.", k=5)) for _ in range(40)) + " the end" for _ in range(5)]
+        assert [n for _, n in own.counts(texts)] == [len(ids) for ids in pieces_library.encode(texts)]
+
+
+def test_tokens_apart(pieces_library):
+    """Undoing merges decides as the merges of both texts together do."""
+    own, made = token_counts.counter_for(PIECES), random.Random(8)
+    pieces = sorted(own.rank)
+    starts = {}
+    for piece in pieces:
+        starts.setdefault(piece[0], []).append(piece)
+    for _ in range(4000):
+        left = made.choice(pieces)
+        follow = [p for c in "abenrst ▁" for p in starts.get(c, [])[:200]]
+        right = made.choice(follow)
+        assert own._apart(left, right) == (own.merged(left + right) == [left, right])
 
 
 def test_every_prefix(pieces_library):
     own = token_counts.counter_for(PIECES)
-    for text in ["The token counts of  every prefix,", " \n x é日 本", "aaaaaaaaaa bbbbbb"]:
-        counted, = own.counted([text])
+    for text in ["The token counts of  every prefix,", " \n x é日 本", "aaaaaaaaaa bbbbbb", "a   lich    x"]:
+        (parts, n), = own.counts([text])
         for limit in range(12):
             best = max(i for i in range(len(text) + 1) if len(pieces_library.encode(text[:i])) <= limit)
-            assert token_counts.within(counted, len(text), limit) == best
+            assert own.within(parts, limit) == best
 
 
 def test_count_frames(spark):
