@@ -7,9 +7,12 @@ from fleetframe.llm import (
     decontaminate,
     embedding_dedup,
     language_id,
+    lexical_search,
     line_dedup,
     minhash,
+    quality_rules,
     secret_scan,
+    token_alignment,
     token_counts,
     toxicity,
     url_filter,
@@ -26,9 +29,14 @@ QUERIES = {
     "op8_secret_scan": secret_scan.op8_secret_scan,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_language_id": language_id.op10_language_id,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
+    "op12_lexical_search": lexical_search.op12_lexical_search,
+    "op13_quality_rules": quality_rules.op13_quality_rules,
 }
 SQL: dict[str, str] = {
     "op2_url_filter": url_filter.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
+    "op12_lexical_search": lexical_search.OP12_SQL,
 }
