@@ -11,12 +11,11 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetframe import scale
 from fleetframe.functions import distance_us, slot_of, to_us
-from fleetframe.operators.dedup import first_wins
 from fleetframe.session import materialize
 
 # Greatest distance of two points of one gap (fixed values): the default and the finer variant.
@@ -76,18 +75,63 @@ def gap_sessions(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> Dat
     )
 
 
-def new_gaps(table: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Gaps that are not stored yet, or stored with an earlier end; one row per key, the longest."""
-    longest = materialize(first_wins(gaps, GAP_KEY, [F.desc("gap_end"), F.desc("loaddate")]))
-    known = scale.of_keys(table.select(*GAP_KEY, F.col("gap_end").alias("known_end")), longest, GAP_KEY)
-    joined = longest.join(known.groupBy(*GAP_KEY).agg(F.max("known_end").alias("known_end")), GAP_KEY, "left")
-    return joined.filter(F.col("known_end").isNull() | (F.col("gap_end") > F.col("known_end"))).select(*gaps.columns)
+def merge_intervals(intervals: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
+    """Intervals of which those at most `threshold` apart, overlapping or nested are one, as gaps of their points are.
 
+    The loaddate is the first that reported the end. Intervals of a series are ordered in one task: as they come from
+    `gap_intervals` or are stored, their number is bounded by the time span, not by points.
+    """
+    by_time = Window.partitionBy(*SERIES).orderBy("gap_start", "gap_end", "loaddate")
+    ended = F.max("gap_end").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
+    opens = ended.isNull() | (distance_us(F.col("gap_start"), ended) > to_us(threshold))
+    island = F.sum(F.col("opens").cast("int")).over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = intervals.withColumn("opens", opens).withColumn("island", island)
+    by_end = numbered.groupBy(*SERIES, "island", "gap_end").agg(
+        F.min("gap_start").alias("gap_start"), F.min("loaddate").alias("loaddate"))
+    merged = by_end.groupBy(*SERIES, "island").agg(
+        F.min("gap_start").alias("gap_start"), F.max(F.struct("gap_end", "loaddate")).alias("z"))
+    return merged.select(*SERIES, "gap_start", "z.gap_end", "z.loaddate")
+
+
+def reach_of(gaps: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> tuple[Column, Column] | None:
+    """The time in which other gaps can touch these, as two literals; None without gaps."""
+    low, high = gaps.agg(F.unix_micros(F.min("gap_start")), F.unix_micros(F.max("gap_end"))).first()
+    if low is None:
+        return None
+    return F.timestamp_micros(F.lit(low - to_us(threshold))), F.timestamp_micros(F.lit(high + to_us(threshold)))
+
+
+def touching(table: DataFrame, gaps: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
+    """Stored gaps of the series of `gaps` in the time they span; only these can change.
+
+    The two bounds of the time are literals, so they reach the scan.
+    """
+    reach = reach_of(gaps, threshold)
+    if reach is None:
+        return table.limit(0)
+    near = table.filter((F.col("gap_end") >= reach[0]) & (F.col("gap_start") <= reach[1]))
+    return scale.semi_join(near, gaps.select(*SERIES).distinct(), SERIES)
 
-def append_gaps(table: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Stored gaps, those that have grown replaced, plus the new ones. The same gaps again change nothing."""
-    new = materialize(new_gaps(table, gaps))
-    return scale.without_keys(table, new, GAP_KEY).unionByName(new)
+
+def changed_gaps(table: DataFrame, gaps: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(gone, new): the stored gaps that newly found ones extend or join, and what takes their place.
+
+    A stored gap that already holds the found ones is in neither. Both are materialized.
+    """
+    columns = [*GAP_KEY, "gap_end", "loaddate"]
+    near = materialize(touching(table.select(*columns), gaps, threshold))
+    merged = materialize(merge_intervals(near.unionByName(gaps.select(*columns)), threshold))
+    return materialize(near.exceptAll(merged)), materialize(merged.exceptAll(near))
+
+
+def append_gaps(table: DataFrame, gaps: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
+    """Stored gaps with newly found ones merged in: the gaps of all their points. The same gaps again change nothing.
+
+    Gaps of the table are unique by series and start.
+    """
+    gone, new = changed_gaps(table, gaps, threshold)
+    kept = table.select(*new.columns)
+    return scale.without_keys(kept, gone, GAP_KEY).unionByName(new)
 
 
 def merge_points(intervals: DataFrame, points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
@@ -95,15 +139,4 @@ def merge_points(intervals: DataFrame, points: DataFrame, threshold: timedelta =
 
     Only series with new points are merged again; the others pass.
     """
-    found = materialize(gap_intervals(points, threshold))
-    touched = found.select(*SERIES).distinct()
-    same = scale.semi_join(intervals, touched, SERIES)
-    both = same.select(*found.columns).unionByName(found)
-    by_time = Window.partitionBy(*SERIES).orderBy("gap_start", "gap_end", "loaddate")
-    ended = F.max("gap_end").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
-    opens = ended.isNull() | (distance_us(F.col("gap_start"), ended) > to_us(threshold))
-    island = F.sum(F.col("opens").cast("int")).over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    grouped = both.withColumn("opens", opens).withColumn("island", island).groupBy(*SERIES, "island")
-    merged = grouped.agg(F.min("gap_start").alias("gap_start"), F.max(F.struct("gap_end", "loaddate")).alias("z"))
-    merged = merged.select(*SERIES, "gap_start", "z.gap_end", "z.loaddate")
-    return scale.anti_join(intervals, touched, SERIES).select(*found.columns).unionByName(merged)
+    return append_gaps(intervals, materialize(gap_intervals(points, threshold)), threshold)

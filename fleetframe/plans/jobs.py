@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetframe import schemas
+from fleetframe import scale, schemas
 from fleetframe.functions import run_time
 from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, summary, upsert
 from fleetframe.session import materialize
@@ -28,6 +28,9 @@ QUARANTINE = T.StructType([*schemas.LANDING.fields, T.StructField("status", T.St
                            T.StructField("detail", T.StringType())])
 # One row per stored run, so that choosing runs does not open the measurements.
 MANIFEST = T.StructType([T.StructField("rows", T.LongType()), *RUN_COLUMNS.fields])
+# One row per date on which stored gaps start: the end of its last gap (at least), its gaps.
+GAP_DATES = T.StructType([T.StructField("gap_date", T.DateType()), T.StructField("last_end", T.TimestampType()),
+                          T.StructField("rows", T.LongType())])
 ROLLED = T.StructType([T.StructField("day", T.StringType())])
 
 
@@ -75,8 +78,8 @@ def payloads(spark: SparkSession, lake: Lake, run: Run, entity: str) -> DataFram
     """Payloads of one entity and run, in either landing layout."""
     if not lake.bundled:
         return landing.read_landing(spark, lake.landing, entity, run.loaddate)
-    rows = landing.read_bundles(spark, lake.landing, entity).filter(F.col("run_date") == F.lit(run.day))
-    return rows.filter(F.col("loaddate") == run.loaddate).drop("run_date")
+    rows = landing.read_bundles(spark, lake.landing, entity, run.loaddate)
+    return rows.drop("run_date")
 
 
 def ingest_fleet(spark: SparkSession, lake: Lake, run: Run, ship_schema: T.StructType | str | None = None) -> None:
@@ -192,17 +195,42 @@ def recent_runs(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
 
 
 def store_gaps(spark: SparkSession, lake: Lake, rows: DataFrame) -> None:
-    """Add the gap intervals of a run; a stored one that has grown takes its later end.
+    """Merge the gap intervals of a run into the stored ones, across runs and dates.
 
-    Only the dates on which the run's gaps start are rewritten.
+    A gap is stored with the date on which it starts; `gap_dates` has one row per date with the end of its last gap, so
+    an interval that reaches into the run from an earlier date is found without reading the other dates. Only dates of
+    gaps that change are rewritten; one that loses its last gap is removed.
     """
-    found = gaps.gap_intervals(quality.gap_points(rows), lake.gap_threshold)
-    dated = T.StructType([*schemas.GAPS.fields, T.StructField("gap_date", T.DateType())])
-    new = materialize(found.withColumn("gap_date", F.to_date("gap_start")))
-    days = [row.gap_date for row in new.select("gap_date").distinct().collect()]
-    if days:
-        stored = tables.of_dates(tables.read_table(spark, lake.path("gaps"), dated), "gap_date", days)
-        tables.overwrite_partitions(gaps.append_gaps(stored, new), lake.path("gaps"), ["gap_date"])
+    found = materialize(gaps.gap_intervals(quality.gap_points(rows), lake.gap_threshold))
+    reach = gaps.reach_of(found, lake.gap_threshold)
+    if reach is None:
+        return
+    dates = tables.read_table(spark, lake.path("gap_dates"), GAP_DATES)
+    near = dates.filter((F.col("last_end") >= reach[0]) & (F.col("gap_date") <= F.to_date(reach[1])))
+    stored = tables.of_dates(stored_gaps(spark, lake), "gap_date", [row.gap_date for row in near.collect()])
+    gone, new = (df.withColumn("gap_date", F.to_date("gap_start")) for df in gaps.changed_gaps(stored, found, lake.gap_threshold))
+    # Days: bounded by the calendar.
+    days = [row.gap_date for row in gone.select("gap_date").union(new.select("gap_date")).distinct().collect()]
+    if not days:
+        return
+    of_days = tables.of_dates(stored_gaps(spark, lake), "gap_date", days)
+    kept = materialize(scale.without_keys(of_days, gone, gaps.GAP_KEY).unionByName(new))
+    _store_gap_dates(spark, lake, dates, kept, days)
+    tables.overwrite_partitions(kept, lake.path("gaps"), ["gap_date"], emptied=[{"gap_date": day.isoformat()} for day in days])
+
+
+def stored_gaps(spark: SparkSession, lake: Lake) -> DataFrame:
+    """All stored gaps, with `gap_date` (partition)."""
+    return tables.read_table(spark, lake.path("gaps"), T.StructType([*schemas.GAPS.fields, T.StructField("gap_date", T.DateType())]))
+
+
+def _store_gap_dates(spark: SparkSession, lake: Lake, dates: DataFrame, kept: DataFrame, days: list[date]) -> None:
+    """Written before the gaps: an end is never earlier than that of a stored gap, whatever is interrupted."""
+    counted = kept.groupBy("gap_date").agg(F.max("gap_end").alias("last_end"), F.count(F.lit(1)).alias("rows"))
+    listed = spark.createDataFrame([(day,) for day in days], "gap_date date").join(counted, "gap_date", "left").fillna(0, "rows")
+    both = dates.withColumn("known", F.lit(True)).unionByName(listed.withColumn("known", F.lit(False)))
+    grown = both.groupBy("gap_date").agg(F.max("last_end").alias("last_end"), F.min_by("rows", "known").alias("rows"))
+    tables.replace_table(grown.select(*GAP_DATES.fieldNames()).coalesce(1), lake.path("gap_dates"))
 
 
 def ingest_daily(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
@@ -312,16 +340,20 @@ def expired_runs(spark: SparkSession, lake: Lake, as_of: date) -> DataFrame:
 
 
 def expired(spark: SparkSession, lake: Lake, as_of: date) -> DataFrame:
-    """Dry run of the retention for all layers: (layer, run_date, row_count) of what would go."""
-    dated = T.StructType([*schemas.GAPS.fields, T.StructField("gap_date", T.DateType())])
-    gap_days = tables.read_table(spark, lake.path("gaps"), dated).withColumn("run_date", F.col("gap_date"))
+    """Dry run of the retention for all layers: (layer, run_date, row_count) of what would go.
+
+    Rows come from the manifest of runs and the list of gap dates; of the landing zone the files are listed and counted.
+    Neither measurements nor payloads are read.
+    """
     if lake.bundled:
-        landed = spark.read.schema(landing.BUNDLE_SCHEMA).json(lake.landing).select("run_date")
+        landed = landing.bundle_dates(spark, lake.landing)
     else:
         listed = landing.list_files(spark, lake.landing, "*.json")
-        landed = listed.select(F.to_date(run_time("loaddate")).alias("run_date"))
-    layers = {"landing": landed, "timeseries": stored_runs(spark, lake), "gaps": gap_days}
-    found = [runs.expired(df, as_of, lake.days_to_keep).select(F.lit(name).alias("layer"), "run_date", "row_count")
+        landed = listed.groupBy(F.to_date(run_time("loaddate")).alias("run_date")).agg(F.count(F.lit(1)).alias("rows"))
+    gap_days = tables.read_table(spark, lake.path("gap_dates"), GAP_DATES).select(F.col("gap_date").alias("run_date"), "rows")
+    layers = {"landing": landed, "timeseries": manifest(spark, lake).select("run_date", "rows"), "gaps": gap_days}
+    old = F.col("run_date") < F.date_sub(F.lit(as_of), lake.days_to_keep)
+    found = [df.filter(old & (F.col("rows") > 0)).groupBy(F.lit(name).alias("layer"), "run_date").agg(F.sum("rows").alias("row_count"))
              for name, df in layers.items()]
     return dedup.combine(found)
 

@@ -312,14 +312,25 @@ def _(spark, sf_dir):
     return gaps.gap_intervals(points, timedelta(hours=12))
 
 
-@query("gaps_append", f"""WITH stored AS ({oracle.gaps(1)}), found AS ({oracle.gaps(3)}),
-    both_runs AS (SELECT *, 0 AS later FROM stored UNION ALL SELECT *, 1 FROM found)
-    SELECT * EXCLUDE (later) FROM both_runs QUALIFY row_number() OVER (
-        PARTITION BY imo, signal, gap_start ORDER BY gap_end DESC, later) = 1""", "nulls")
-def _(spark, sf_dir):
+# Loads of even and of odd minutes are two runs: their gaps overlap, touch and lie in each other.
+EVEN_MINUTE = "CAST(substr(loaddate, 16, 1) AS INTEGER) % 2 = 0"
+# The first run that reports the end of a gap stamps it.
+FIRST_STAMPS = f"""stamped AS (SELECT imo, signal, signal_timestamp, coalesce(least(even, odd), even, odd) AS loaddate FROM (
+    SELECT imo, signal, signal_timestamp, max(loaddate) FILTER ({EVEN_MINUTE}) AS even,
+           max(loaddate) FILTER (NOT ({EVEN_MINUTE})) AS odd FROM nulls GROUP BY ALL))"""
+
+
+def two_runs(spark, sf_dir):
     points = null_points(spark, sf_dir)
-    stored = materialize(gaps.gap_intervals(points, timedelta(days=1)))
-    return gaps.append_gaps(stored, gaps.gap_intervals(points, timedelta(days=3)))
+    even = F.substring("loaddate", 16, 1).cast("int") % 2 == 0
+    return points.filter(even), points.filter(~even)
+
+
+@query("gaps_append", f"WITH {FIRST_STAMPS}, {oracle.gaps(1, 'stamped').strip()[5:]}", "nulls")
+def _(spark, sf_dir):
+    first, second = two_runs(spark, sf_dir)
+    stored = materialize(gaps.gap_intervals(first, timedelta(days=1)))
+    return gaps.append_gaps(stored, materialize(gaps.gap_intervals(second, timedelta(days=1))), timedelta(days=1))
 
 
 # --- signals and pivots ------------------------------------------------------------------------
@@ -650,6 +661,11 @@ def _(spark, sf_dir):
     return replay.late_gaps(null_points(spark, sf_dir), timedelta(days=1), timedelta(days=5))
 
 
+@query("stream_gap_state", oracle.gaps(1), "nulls")
+def _(spark, sf_dir):
+    return replay.gap_state(null_points(spark, sf_dir), timedelta(days=1))
+
+
 @query("stream_first_seen", f"""SELECT {LONG} FROM measured QUALIFY row_number() OVER (
     PARTITION BY imo, signal, signal_timestamp ORDER BY loaddate, event_id) = 1""", "measured")
 def _(spark, sf_dir):
@@ -714,21 +730,14 @@ def _(spark, sf_dir):
     return run.drop("run_date", "run", "run_ts")
 
 
-def _job_gaps(run: str, condition: str) -> str:
-    return oracle.gaps(1, f"(SELECT imo, signal, signal_timestamp, '{run}' AS loaddate FROM job_nulls WHERE {condition})").replace(
-        "INTERVAL 1 DAY", "INTERVAL 3 HOUR")
-
-
 @query("job_gaps", f"""WITH {JOB_CELLS}, job_nulls AS (
         SELECT s.imo, s.signal, t.signal_timestamp, s.payload FROM (SELECT DISTINCT imo, payload, signal FROM job_cells) s
         JOIN (SELECT DISTINCT imo, payload, signal_timestamp FROM job_cells) t USING (imo, payload)
         LEFT JOIN job_cells c ON c.imo = s.imo AND c.payload = s.payload AND c.signal = s.signal
             AND c.signal_timestamp = t.signal_timestamp WHERE c.signal_value IS NULL),
-    found_1 AS ({_job_gaps(RUN_1, f"payload < '{OVERLAP_DAYS[1]}'")}),
-    found_2 AS ({_job_gaps(RUN_2, f"payload >= '{OVERLAP_DAYS[0]}'")}),
-    found AS (SELECT * FROM found_1 UNION ALL SELECT * FROM found_2)
-    SELECT * FROM found QUALIFY row_number() OVER (PARTITION BY imo, signal, gap_start ORDER BY gap_end DESC, loaddate) = 1""",
-       "payload_cells", "ships")
+    stamped AS (SELECT imo, signal, signal_timestamp,
+        min(CASE WHEN payload < '{OVERLAP_DAYS[1]}' THEN '{RUN_1}' ELSE '{RUN_2}' END) AS loaddate FROM job_nulls GROUP BY ALL),
+    {oracle.gaps(1, "stamped").replace("INTERVAL 1 DAY", "INTERVAL 3 HOUR").strip()[5:]}""", "payload_cells", "ships")
 def _(spark, sf_dir):
     return tables.read_table(spark, ingested(spark, sf_dir).path("gaps")).drop("gap_date")
 

@@ -1,7 +1,7 @@
 """The landing zone: raw JSON payloads as the source delivered them.
 
 Two layouts are read. *Files*: `{root}/{yyyy}/{MM}/{dd}/{HH}/{mm}/{Entity}[_{imo}].json`, one payload
-per file. *Bundles*: JSON lines `{imo, loaddate, raw}` below `entity=/run_date=`, many payloads per
+per file. *Bundles*: JSON lines `{imo, loaddate, raw}` below `entity=/run_date=/run=`, many payloads per
 file, which is what this package writes, since a file per ship and run does not scale.
 """
 
@@ -16,7 +16,7 @@ from fleetframe.session import materialize
 # Path below the landing root (fixed format): run directory, entity and optional ship id.
 PATH_PATTERN = r"/(\d{4}/\d{2}/\d{2}/\d{2}/\d{2})/([A-Za-z]+)(?:_([^/]+))?\.(?:json|parquet)$"
 
-BUNDLE_SCHEMA = "imo string, loaddate string, raw string, entity string, run_date date"
+BUNDLE_SCHEMA = "imo string, loaddate string, raw string, entity string, run_date date, run string"
 
 
 def path_parts(path: Column) -> list[Column]:
@@ -40,15 +40,30 @@ def read_landing(spark: SparkSession, path: str, entity: str, run: str | None =
 
 
 def write_landing(df: DataFrame, path: str) -> None:
-    """Append payloads (entity, imo, loaddate, raw) as bundles; `raw` is stored unmodified."""
-    stamped = df.select("imo", "loaddate", "raw", "entity", F.to_date(run_time("loaddate")).alias("run_date"))
-    stamped.write.mode("append").partitionBy("entity", "run_date").json(path)
+    """Store payloads (entity, imo, loaddate, raw) as bundles; `raw` is stored unmodified.
+
+    Each entity and load stamp of `df` replaces what was landed for it before, so landing a run again leaves it once.
+    A day's runs are folders of their own: a run rewrites no other.
+    """
+    stamped = df.select("imo", "loaddate", "raw", "entity", F.to_date(run_time("loaddate")).alias("run_date"),
+                        F.translate("loaddate", "/", "").alias("run"))
+    (stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("entity", "run_date", "run").json(path))
+
+
+def bundle_dates(spark: SparkSession, path: str) -> DataFrame:
+    """(run_date, rows): the bundle files per day, from the listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(path)
+    day = F.regexp_extract("path", r"/run_date=([^/]+)/", 1)
+    return files.select(day.cast("date").alias("run_date"), "length").groupBy("run_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def read_bundles(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """Payloads of one entity in the bundle layout; entity and run date prune directories."""
-    rows = spark.read.schema(BUNDLE_SCHEMA).json(path)
-    return rows.filter(F.col("entity") == entity).select("entity", "imo", "loaddate", "raw", "run_date")
+def read_bundles(spark: SparkSession, path: str, entity: str, run: str | None = None) -> DataFrame:
+    """Payloads of one entity in the bundle layout, of one run or of all; both prune directories."""
+    rows = spark.read.schema(BUNDLE_SCHEMA).json(path).filter(F.col("entity") == entity)
+    if run is not None:
+        rows = rows.filter(F.col("run") == run.replace("/", ""))
+    return rows.select("entity", "imo", "loaddate", "raw", "run_date")
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "Timeseries_*") -> DataFrame:

@@ -16,7 +16,7 @@ from fleetframe.functions import run_time
 from fleetframe.session import materialize, work_path
 from fleetframe.sources.landing import write_landing
 from fleetframe.sources.tables import append_table, read_table
-from fleetframe.streaming import streams
+from fleetframe.streaming import keyed_gaps, streams
 
 # Ship id of the row that moves the watermark past all real rows at the end of a replay.
 END_MARK = ""
@@ -100,6 +100,19 @@ def late_gaps(points: DataFrame, threshold: timedelta, late: timedelta) -> DataF
     return streams.merge_late_gaps(stored, side, threshold)
 
 
+def gap_state(points: DataFrame, threshold: timedelta) -> DataFrame:
+    """Points arrive newest part first: the later parts extend and join intervals that are already stored."""
+    spark = points.sparkSession
+    folder = work_path(spark, "stream-gap-state")
+    rows = points.select("imo", "signal", "gap_start", "loaddate")
+    _replay(
+        list(reversed(split_by_time(rows, "gap_start", 3))),
+        folder,
+        lambda stream: keyed_gaps.start_gaps(stream, f"{folder}/gaps", f"{folder}/checkpoint", threshold),
+    )
+    return read_table(spark, f"{folder}/gaps", keyed_gaps.INTERVALS).drop("gap_date")
+
+
 def first_seen(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Rows arrive oldest load first."""
     spark = rows.sparkSession

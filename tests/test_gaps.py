@@ -102,6 +102,48 @@ def test_points_merged_into_intervals(spark, seed):
     assert result(merged) == result(gaps.gap_intervals(frame(spark, points)))
 
 
+def intervals(points, threshold=gaps.GAP_THRESHOLD):
+    return brute_force(points, threshold)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_runs_merge_into_the_gaps_of_all_points(spark, seed):
+    """Runs in any order, overlapping, touching, nested; a point that two runs report keeps the first stamp."""
+    rng = random.Random(seed)
+    runs = [[(rng.choice(["1", "2", None]), "s", BASE + timedelta(minutes=rng.randrange(0, 4000, 5)), f"run{n}") for _ in range(120)] for n in range(4)]
+    table = spark.createDataFrame([], gaps.gap_intervals(frame(spark, [])).schema)
+    first = {}
+    for points in runs:
+        for imo, signal, at, load in points:
+            first.setdefault((imo, signal, at), load)
+        found = gaps.gap_intervals(frame(spark, points)).checkpoint()
+        table = gaps.append_gaps(table, found).checkpoint()
+        gone, new = gaps.changed_gaps(table, found)
+        assert gone.isEmpty() and new.isEmpty()
+    every = [(*key, load) for key, load in first.items()]
+    key = lambda r: (str(r[0]), *map(str, r[1:4]))
+    found = sorted(((r.imo, r.signal, r.gap_start, r.gap_end) for r in table.collect()), key=key)
+    wanted = {}
+    for imo in ("1", "2", None):
+        for row in intervals([(str(i), s, at, load) for i, s, at, load in every if i == imo]):
+            wanted[(imo, *row[1:4])] = row[4]
+    assert found == sorted(wanted, key=key)
+    assert {(r.imo, r.signal, r.gap_start, r.gap_end): r.loaddate for r in table.collect()} == wanted
+
+
+def test_only_touched_gaps_change(spark):
+    minute = lambda n: BASE + timedelta(minutes=n)
+    schema = gaps.gap_intervals(frame(spark, [])).schema
+    table = spark.createDataFrame([("1", "s", minute(10), minute(20), "a"), ("1", "s", minute(60), minute(90), "a"),
+                                   ("1", "s", minute(-2000), minute(-5), "a"), ("2", "s", minute(10), minute(20), "a")], schema)
+    found = spark.createDataFrame([("1", "s", minute(0), minute(20), "b"), ("1", "s", minute(70), minute(80), "b")], schema)
+    gone, new = gaps.changed_gaps(table, found)
+    assert {(r.gap_start, r.gap_end) for r in gone.collect()} == {(minute(10), minute(20)), (minute(-2000), minute(-5))}
+    assert result(new) == [("1", "s", minute(-2000), minute(20), "a")]
+    plan = gaps.touching(table, found)._jdf.queryExecution().optimizedPlan().toString()
+    assert "gap_end" in plan.split("Filter")[1]
+
+
 def test_threshold_must_be_positive(spark):
     with pytest.raises(ValueError):
         gaps.gap_intervals(frame(spark, []), timedelta(0))

@@ -285,6 +285,109 @@ def test_a_partition_is_replaced_by_no_rows(spark, tmp_path):
     assert tables.table_names(spark, str(tmp_path)) == ["p"]
 
 
+class Interrupted(Exception):
+    pass
+
+
+def interrupt(monkeypatch, step, method):
+    """The `step`-th call of a method of Folder, and every later one, fails."""
+    calls, real = [], getattr(tables.Folder, method)
+
+    def failing(self, *args):
+        calls.append(args)
+        if len(calls) >= step:
+            raise Interrupted
+        return real(self, *args)
+
+    monkeypatch.setattr(tables.Folder, method, failing)
+
+
+@pytest.mark.parametrize("method", ["move", "delete", "write"])
+@pytest.mark.parametrize("step", [1, 2, 3, 4])
+@pytest.mark.parametrize("single", [True, False])
+def test_partitions_change_together_wherever_it_is_interrupted(spark, tmp_path, monkeypatch, method, step, single):
+    path, schema = str(tmp_path / "p"), "v int, d string"
+    old = [(1, "a"), (2, "b"), (3, "c"), (4, "e")]
+    tables.overwrite_partitions(spark.createDataFrame(old, schema), path, ["d"])
+    grown = tables.read_table(spark, path, schema).filter("d IN ('a', 'b')").withColumn("v", F.col("v") + 10)
+    if single:
+        new, write = [(11, "b"), (12, "b"), (1, "a"), (3, "c"), (4, "e")], lambda: tables.replace_partition(grown.withColumn("d", F.lit("b")), path, {"d": "b"})
+    else:
+        new, write = [(11, "a"), (12, "b"), (4, "e")], lambda: tables.overwrite_partitions(grown, path, ["d"], emptied=[{"d": "c"}, {"d": "a"}])
+    with monkeypatch.context() as patch:
+        interrupt(patch, step, method)
+        failed = False
+        try:
+            write()
+        except Interrupted:
+            failed = True
+    # Old or new rows, never a mixture, never none; without a schema as well.
+    found = rows(tables.read_table(spark, path, schema))
+    assert found in (rows(spark.createDataFrame(old, schema)), rows(spark.createDataFrame(new, schema)))
+    assert failed or found == rows(spark.createDataFrame(new, schema))
+    assert rows(tables.read_table(spark, path).select("v", "d")) == found
+    tables.append_table(spark.createDataFrame([(9, "z")], schema), path, ["d"])
+    assert rows(spark.read.schema(schema).parquet(path)) == sorted([*found, (9, "z")], key=str)
+    assert not [p for p in (tmp_path / "p").iterdir() if p.name.startswith(tables.STAGED)]
+    assert not list((tmp_path / "p" / tables.COMMITS).glob("*.json"))
+
+
+def test_a_failing_write_of_partitions_leaves_the_table(spark, tmp_path):
+    path, schema = str(tmp_path / "p"), schemas.MAPPING
+    tables.overwrite_partitions(spark.createDataFrame([("1", "a", "A")], schema), path, ["imo"])
+    for write in (lambda d: tables.overwrite_partitions(d, path, ["imo"]), lambda d: tables.replace_partition(d, path, {"imo": "1"})):
+        with pytest.raises(Exception, match="lost"):
+            write(broken(spark, schema))
+        assert rows(tables.read_table(spark, path, schema).select("imo", "signal")) == [("1", "a")]
+        assert not [p for p in (tmp_path / "p").iterdir() if p.name.startswith(tables.STAGED)]
+
+
+def test_a_gap_over_runs_and_dates(spark, lake):
+    """A stored gap of the day before grows into the next day, and one of the next day is taken in."""
+    jobs.run_jobs(spark, lake, RUN1, mode="fleet")
+
+    def store(*times, load="2024/02/02/00/00"):
+        points = [("1", "s", datetime.fromisoformat(t), None, load) for t in times]
+        jobs.store_gaps(spark, lake, spark.createDataFrame(points, "imo string, signal string, signal_timestamp timestamp, signal_value double, loaddate string"))
+        return [(r.gap_start.strftime("%d %H:%M"), r.gap_end.strftime("%d %H:%M"), r.gap_date.day) for r in jobs.stored_gaps(spark, lake).orderBy("gap_start").collect()]
+
+    assert store("2024-02-01T23:50", "2024-02-01T23:55", "2024-02-02T00:10", "2024-02-03T12:00") == [
+        ("01 23:50", "01 23:55", 1), ("02 00:10", "02 00:10", 2), ("03 12:00", "03 12:00", 3)]
+    joined = [("01 23:50", "02 00:10", 1), ("03 12:00", "03 12:00", 3)]
+    assert store("2024-02-02T00:00", "2024-02-02T00:05") == joined
+    assert store("2024-02-02T00:05") == joined
+    assert not (Path(lake.path("gaps")) / "gap_date=2024-02-02").exists()
+    # The interval of the first day is found from the third: the list of dates knows where it ends.
+    assert store("2024-02-02T00:15", load="2024/02/03/00/00") == [("01 23:50", "02 00:15", 1), ("03 12:00", "03 12:00", 3)]
+    dates = tables.read_table(spark, lake.path("gap_dates"), jobs.GAP_DATES)
+    assert {(r.gap_date.day, r.rows) for r in dates.collect()} == {(1, 1), (2, 0), (3, 1)}
+
+
+def test_landing_a_run_again_replaces_it(spark, tmp_path):
+    path = str(tmp_path / "bundles")
+    data = [("Timeseries", str(i), RUN1, "{}") for i in range(5)]
+    for part in (data, data, data[:3]):
+        landing.write_landing(spark.createDataFrame(part, schemas.LANDING), path)
+    landing.write_landing(spark.createDataFrame([("Timeseries", "9", RUN2, "{}")], schemas.LANDING), path)
+    assert landing.read_bundles(spark, path, "Timeseries", RUN1).count() == 3
+    assert landing.read_bundles(spark, path, "Timeseries").count() == 4
+    found = landing.read_bundles(spark, path, "Timeseries", RUN2)
+    assert "run" in found._jdf.queryExecution().executedPlan().toString().split("PartitionFilters")[1].split("]")[0]
+
+
+def test_retention_reads_neither_measurements_nor_payloads(spark, lake):
+    jobs.run_jobs(spark, lake, RUN1)
+    opened = jobs.expired(spark, lake, date(2024, 5, 30)).inputFiles()
+    assert not [f for f in opened if "/timeseries/" in f or "/gaps/" in f]
+    bundled = jobs.Lake(lake.landing + "-bundles", lake.tables, gap_threshold=lake.gap_threshold, bundled=True)
+    payloads = landing.read_landing(spark, lake.landing, "Timeseries")
+    landing.write_landing(payloads.coalesce(1), bundled.landing)
+    found = {(r.layer, r.run_date.day, r.row_count) for r in jobs.expired(spark, bundled, date(2024, 5, 30)).collect()}
+    assert found == {("landing", 30, 1), ("landing", 31, 2), ("timeseries", 30, 3), ("gaps", 30, 2)}
+    plan = jobs.expired(spark, bundled, date(2024, 5, 30))._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in plan and "content:binary" not in plan and "json" not in plan.lower()
+
+
 def test_bad_fleet_answer_keeps_the_ships(spark, lake):
     jobs.run_jobs(spark, lake, RUN1, mode="fleet")
     put(Path(lake.landing), RUN2, "ShipData", {"detail": "down"})
