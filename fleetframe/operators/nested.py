@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,6 +54,74 @@ def _inferred(df: DataFrame, column: str) -> T.StructType:
     return T.StructType.fromDDL(ddl.removeprefix("STRUCT<").removesuffix(">"))
 
 
+# Kinds of JSON values; a number with a fraction in one ship makes the field DOUBLE for all.
+_KINDS = {"OBJECT": r"^OBJECT", "ARRAY": r"^ARRAY", "NUMBER": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL)", "BOOLEAN": r"^BOOLEAN", "STRING": r"^STRING"}
+
+
+def _kind(value: Column) -> Column:
+    """The kind of a variant value; null for a JSON null."""
+    name = F.schema_of_variant(value)
+    return F.coalesce(*[F.when(name.rlike(pattern), F.lit(kind)) for kind, pattern in _KINDS.items()])
+
+
+def variant_fields(ships: DataFrame, path: str = "$.data") -> DataFrame:
+    """(imo, loaddate, field, value, kind): the fields below `path` of each ship object, values as VARIANT."""
+    spark = ships.sparkSession
+    body = ships.select("imo", "loaddate", F.try_variant_get(F.try_parse_json("ship"), path, "variant").alias("body"))
+    spread = body.lateralJoin(spark.tvf.variant_explode(F.col("body").outer()))
+    return spread.select("imo", "loaddate", F.col("key").alias("field"), "value").filter(F.col("field").isNotNull()).withColumn("kind", _kind(F.col("value")))
+
+
+def majority_schema(fields: DataFrame) -> T.StructType:
+    """One type per field: that of the kind most ships have; of equal kinds the first by name.
+
+    One pass over all ships; a field and kind is one row, so what reaches the driver is bounded by the names. Fields that
+    are null throughout are strings. A name that no path can hold (with a question mark, or both kinds of quotes) has no
+    column; its values are odd ones.
+    """
+    named = fields.filter(F.col("field").rlike("^([^'?]+|[^\"?]+)$"))
+    found = named.groupBy("field", "kind").agg(F.count(F.lit(1)).alias("n"), F.schema_of_variant_agg("value").alias("type"))
+    most = Window.partitionBy("field").orderBy(F.col("kind").isNull(), F.desc("n"), "kind")
+    chosen = found.withColumn("place", F.row_number().over(most)).filter("place = 1").orderBy("field").collect()
+    return T.StructType([T.StructField(row.field, _typed(row.type) if row.kind else T.StringType()) for row in chosen])
+
+
+def ships_by_majority(ships: DataFrame, schema: T.StructType, path: str = "$.data") -> DataFrame:
+    """(imo, active, fields of `schema`, loaddate): values of another kind than their field's are null here.
+
+    They are rows of `odd_values`, so one odd ship changes neither types nor the rows of the others.
+    """
+    parsed = ships.select("imo", "loaddate", F.try_parse_json("ship").alias("_ship"))
+    columns = []
+    for field in schema:
+        value = F.try_variant_get("_ship", _step(path, field.name), "variant")
+        made = F.try_variant_get("_ship", _step(path, field.name), field.dataType.simpleString())
+        columns.append(F.when(_kind(value) == _kind_of(field.dataType), made).alias(field.name))
+    return parsed.select("imo", F.try_variant_get("_ship", "$.active", "boolean").alias("active"), *columns, "loaddate")
+
+
+def odd_values(fields: DataFrame, schema: T.StructType) -> DataFrame:
+    """(imo, field, kind, value, loaddate): values that `ships_by_majority` leaves out, as JSON text."""
+    kinds = F.create_map(*[F.lit(x) for field in schema for x in (field.name, _kind_of(field.dataType))]).cast("map<string,string>")
+    other = fields.filter(F.col("kind").isNotNull() & ~F.col("kind").eqNullSafe(F.try_element_at(kinds, F.col("field"))))
+    return other.select("imo", "field", "kind", F.to_json("value").alias("value"), "loaddate")
+
+
+def _step(path: str, field: str) -> str:
+    return f"{path}['{field}']" if "'" not in field else f'{path}["{field}"]'
+
+
+def _kind_of(kind: T.DataType) -> str:
+    by_type = {T.StructType: "OBJECT", T.ArrayType: "ARRAY", T.BooleanType: "BOOLEAN", T.StringType: "STRING"}
+    return by_type.get(type(kind), "NUMBER")
+
+
+def _typed(found: str) -> T.DataType:
+    """The type that a variant schema names: objects become structs, numbers with a fraction DOUBLE."""
+    ddl = re.sub(r"\bDECIMAL\(\d+,\s*\d+\)", "DOUBLE", found.replace("OBJECT<", "STRUCT<"))
+    return _without_void(T.StructType.fromDDL(f"x {ddl}")["x"].dataType)
+
+
 def parse_ships(ships: DataFrame, schema: T.StructType | str) -> DataFrame:
     """Ship objects as columns (of `schema`) plus loaddate."""
     return ships.select(F.from_json("ship", schema).alias("s"), "loaddate").select("s.*", "loaddate")

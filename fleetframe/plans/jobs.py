@@ -48,6 +48,8 @@ class Lake:
     days_to_keep: int = runs.DAYS_TO_KEEP
     gap_threshold: timedelta = field(default=gaps.GAP_THRESHOLD)
     bundled: bool = False
+    # Types of ship fields by the majority of the ships; values of another kind go to `odd_values`.
+    typed_by_majority: bool = False
     # The history window takes the last run per ship and day; True: only those of the day's last hour.
     last_hour_only: bool = False
 
@@ -92,9 +94,14 @@ def ingest_fleet(spark: SparkSession, lake: Lake, run: Run, ship_schema: T.Struc
     _quarantine(bad, lake, run, FLEET)
     if ships.isEmpty():
         raise NoShipsError(f"no ship data in run {run.loaddate}")
-    schema = ship_schema or nested.infer_ship_schema(ships)
     tables.replace_table(nested.active_ships(ships), lake.path("active_ships"))
-    rows = nested.unnest(nested.parse_ships(ships, schema), "data")
+    if lake.typed_by_majority:
+        fields = nested.variant_fields(ships)
+        schema = nested.majority_schema(fields)
+        rows = nested.ships_by_majority(ships, schema)
+        _write_run(nested.odd_values(fields, schema), lake, "odd_values", run)
+    else:
+        rows = nested.unnest(nested.parse_ships(ships, ship_schema or nested.infer_ship_schema(ships)), "data")
     _write_run(nested.void_to_string(nested.main_table(rows)), lake, "ships", run)
     children = {f"ships_{name}": child for name, child in nested.child_tables(rows).items()}
     for name, child in children.items():

@@ -231,6 +231,13 @@ def _(spark, sf_dir):
     return nested.timeseries_to_long(landing.read_bundles(spark, path, "Timeseries"))
 
 
+@query("landing_files", PAYLOAD_LONG, "payload_cells")
+def _(spark, sf_dir):
+    path = work_path(spark, "landing-files")
+    landing.write_files(views.payloads(spark, sf_dir), path)
+    return nested.timeseries_to_long(landing.read_runs(spark, path, "Timeseries"))
+
+
 def with_bad_cells(spark, sf_dir):
     """Every payload with a signal that has a key without a time and a value without a number."""
     bad = F.lit('{"bad":{"never":1,"2024-01-01T00:00:00Z":"n/a","2024-01-01T01:00:00Z":2},')
@@ -646,6 +653,11 @@ def _(spark, sf_dir):
     return replay.landing(spark, views.payloads(spark, sf_dir))
 
 
+@query("stream_landing_runs", PAYLOAD_LONG, "payload_cells")
+def _(spark, sf_dir):
+    return replay.landing_runs(spark, views.payloads(spark, sf_dir))
+
+
 @query("stream_latest_wins", f"SELECT {LONG} FROM latest", "latest")
 def _(spark, sf_dir):
     return replay.latest_wins(quality.measurements(views.tele(spark, sf_dir)), order=views.TIE_BREAK)
@@ -715,6 +727,47 @@ def _(spark, sf_dir):
     return kept.join(active, "imo", "left").fillna(False, "is_active")
 
 
+def odd_fleet(spark, sf_dir):
+    """Every seventh ship has its balance as text, every ninth its home port as a plain name."""
+    raw = F.col("raw")
+    key = F.get_json_object("raw", "$[0].imo").cast("long")
+    balance = F.when(key % 7 == 0, F.regexp_replace(raw, r'"acctbal":([-0-9.E]+)', r'"acctbal":"$1 EUR"')).otherwise(raw)
+    home = F.when(key % 9 == 0, F.regexp_replace(balance, r'"home":\{"nation":"([^"]*)".*?\}\}', r'"home":"$1"')).otherwise(balance)
+    return views.fleet_payloads(spark, sf_dir).withColumn("raw", home)
+
+
+@query("job_fleet_variant", f"""SELECT imo, active, c_name AS name, c_mktsegment AS segment,
+        CASE WHEN CAST(imo AS BIGINT) % 7 <> 0 THEN c_acctbal END AS acctbal,
+        CASE WHEN CAST(imo AS BIGINT) % 9 <> 0 THEN n_name END AS home_nation,
+        CAST((CAST(imo AS BIGINT) % 7 = 0) AS INTEGER) + CAST((CAST(imo AS BIGINT) % 9 = 0) AS INTEGER) AS odd, '{RUN_1}' AS loaddate
+    FROM ships""", "ships")
+def _(spark, sf_dir):
+    folder = work_path(spark, "job-variant")
+    lake = jobs.Lake(f"{folder}/landing", f"{folder}/tables", bundled=True, typed_by_majority=True)
+    for frame in (odd_fleet(spark, sf_dir), views.signal_payloads(spark, sf_dir)):
+        landing.write_landing(nested.stamp(frame, RUN_1), lake.landing)
+    jobs.ingest_fleet(spark, lake, jobs.Run(RUN_1))
+    ships = tables.read_table(spark, lake.path("ships")).withColumn("home_nation", F.col("home.nation"))
+    odd = tables.read_table(spark, lake.path("odd_values")).groupBy("imo").agg(F.count(F.lit(1)).cast("int").alias("odd"))
+    kept = ships.select("imo", "active", "name", "segment", "acctbal", "home_nation", "loaddate")
+    return kept.join(odd.withColumn("imo", F.col("imo").cast("string")), "imo", "left").fillna(0, "odd")
+
+
+@query("job_children", f"""SELECT 'main_engines' AS list, imo, e.engine_no, CASE WHEN e.engine_no IS NOT NULL THEN c_acctbal END AS power,
+        '{RUN_1}' AS loaddate
+    FROM ships LEFT JOIN (VALUES (1), (2), (3)) AS e(engine_no) ON e.engine_no <= c_custkey % 4
+    UNION ALL SELECT 'tags', imo, NULL, NULL, '{RUN_1}' FROM (SELECT imo, unnest(string_split(c_name, '#')) FROM ships)""", "ships")
+def _(spark, sf_dir):
+    """The child tables that the fleet job stores, of lists of structs and of lists of scalars."""
+    lake = landed(spark, sf_dir)
+    jobs.ingest_fleet(spark, lake, jobs.Run(RUN_1))
+    engines = tables.read_table(spark, lake.path("ships_main_engines")).select(
+        F.lit("main_engines").alias("list"), "imo", F.col("engine_no").cast("int"), "power", "loaddate")
+    tags = tables.read_table(spark, lake.path("ships_tags")).select(
+        F.lit("tags").alias("list"), "imo", F.lit(None).cast("int").alias("engine_no"), F.lit(None).cast("double").alias("power"), "loaddate")
+    return engines.unionByName(tags)
+
+
 @query("job_signals", "SELECT signal, " + ", ".join(SIGNALS) + """ FROM signals WHERE imo IN (SELECT imo FROM ships WHERE is_active)
     QUALIFY row_number() OVER (PARTITION BY signal ORDER BY imo) = 1""", "signals", "ships")
 def _(spark, sf_dir):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,6 +74,19 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per Spark context."""
+    context, home = spark.sparkContext, Path(__file__).parent
+    if getattr(context, "_fleetframe_shipped", False) or not home.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="fleetframe-")) / "fleetframe.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in sorted(home.rglob("*.py")):
+            packed.write(module, module.relative_to(home.parent))
+    context.addPyFile(str(archive))
+    context._fleetframe_shipped = True
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: computes `df` once and cuts its lineage; survives the loss of executors."""
     shared_dir(df.sparkSession)

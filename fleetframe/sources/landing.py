@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from fleetframe.functions import run_time
 from fleetframe.session import materialize
+from fleetframe.sources import landing_source
 
 # Path below the landing root (fixed format): run directory, entity and optional ship id.
 PATH_PATTERN = r"/(\d{4}/\d{2}/\d{2}/\d{2}/\d{2})/([A-Za-z]+)(?:_([^/]+))?\.(?:json|parquet)$"
@@ -39,6 +40,19 @@ def read_landing(spark: SparkSession, path: str, entity: str, run: str | None =
     return parsed.filter(F.col("entity") == entity)
 
 
+def write_files(df: DataFrame, path: str) -> None:
+    """Store payloads (entity, imo, loaddate, raw) in the file layout, as the source delivers them."""
+    landing_source.register(df.sparkSession)
+    df.select("entity", "imo", "loaddate", "raw").write.format(landing_source.NAME).mode("append").save(path)
+
+
+def read_runs(spark: SparkSession, path: str, entity: str, after: str = "", upto: str = "9") -> DataFrame:
+    """Payloads of one entity in the file layout, of the runs behind `after` up to `upto`; other runs are not listed."""
+    landing_source.register(spark)
+    reader = spark.read.format(landing_source.NAME).option("entity", entity)
+    return reader.option("after", after).option("upto", upto).load(path)
+
+
 def write_landing(df: DataFrame, path: str) -> None:
     """Store payloads (entity, imo, loaddate, raw) as bundles; `raw` is stored unmodified.
 

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from fleetframe.functions import to_us
 from fleetframe.operators.gaps import GAP_KEY, GAP_THRESHOLD, SERIES
-from fleetframe.session import materialize
+from fleetframe.session import materialize, ship
 from fleetframe.sources.runs import DAYS_TO_KEEP
 from fleetframe.sources.tables import of_dates, overwrite_partitions, read_table
 from fleetframe.streaming.streams import ONCE, _settings
@@ -125,6 +125,7 @@ class GapState(StatefulProcessor):
 
 def gap_changes(points: DataFrame, threshold: timedelta = GAP_THRESHOLD, late: timedelta = LATE) -> DataFrame:
     """The changes of the gap intervals of a stream of null points (see the module)."""
+    ship(points.sparkSession)
     slots = slots_of(points, threshold).withWatermark("at", f"{int(late.total_seconds())} seconds")
     state = GapState(to_us(threshold), to_us(late))
     return slots.groupBy(*SERIES).transformWithStateInPandas(state, CHANGES, "Update", "EventTime")

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fleetframe.functions import run_time
 from fleetframe.session import materialize, work_path
-from fleetframe.sources.landing import write_landing
+from fleetframe.sources.landing import write_files, write_landing
 from fleetframe.sources.tables import append_table, read_table
 from fleetframe.streaming import keyed_gaps, streams
 
@@ -49,6 +49,17 @@ def landing(spark: SparkSession, payloads: DataFrame) -> DataFrame:
     return read_table(spark, f"{folder}/long", POINTS)
 
 
+def landing_runs(spark: SparkSession, payloads: DataFrame) -> DataFrame:
+    """Payloads arrive in two parts as files, the older runs first."""
+    folder = work_path(spark, "stream-runs")
+    dated = materialize(payloads).withColumn("load_ts", run_time("loaddate"))
+    for part in split_by_time(dated, "load_ts", 2):
+        write_files(part, f"{folder}/landing")
+        files = streams.landing_runs(spark, f"{folder}/landing", "Timeseries")
+        run(streams.start_landing(files, f"{folder}/long", f"{folder}/checkpoint"))
+    return read_table(spark, f"{folder}/long", POINTS)
+
+
 def latest_wins(rows: DataFrame, order: list[str]) -> DataFrame:
     """Rows arrive newest part first: later parts bring older loads of known points."""
     spark = rows.sparkSession

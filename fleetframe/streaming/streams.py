@@ -21,6 +21,7 @@ from fleetframe.operators.dedup import combine, first_wins, latest_wins
 from fleetframe.operators.gaps import GAP_THRESHOLD, SERIES, merge_points
 from fleetframe.operators.nested import timeseries_to_long
 from fleetframe.operators.quality import split_errors
+from fleetframe.sources import landing_source
 from fleetframe.sources.landing import BUNDLE_SCHEMA, path_parts
 from fleetframe.sources.runs import HISTORY_DAYS
 from fleetframe.sources.tables import of_dates, overwrite_partitions, read_table, replace_partition
@@ -52,6 +53,12 @@ def landing_files(spark: SparkSession, path: str, entity: str) -> DataFrame:
     return parsed.filter(F.col("entity") == entity)
 
 
+def landing_runs(spark: SparkSession, path: str, entity: str, after: str = "") -> DataFrame:
+    """New payloads of one entity in the file layout, run by run: a start lists the runs that are new, not the zone."""
+    landing_source.register(spark)
+    return spark.readStream.format(landing_source.NAME).option("entity", entity).option("after", after).load(path)
+
+
 def landing_bundles(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """New payloads of one entity in the bundle layout."""
     rows = _limited(spark.readStream.schema(BUNDLE_SCHEMA)).json(path)

@@ -146,3 +146,37 @@ def test_observed_counts(spark):
     df, counted = quality.observed(spark.range(100).filter("id < 40"), "kept")
     df.write.format("noop").mode("overwrite").save()
     assert counted.get == {"rows": 40}
+
+
+MIXED = json.dumps([
+    {"imo": "1", "active": True, "data": {"kw": 10, "it's": "a", "port": {"code": "X"}, "tags": [1], "none": None}},
+    {"imo": "2", "data": {"kw": 10.5, "it's": "b", "port": {"code": "Y", "lat": 1}, "tags": [2, 3]}},
+    {"imo": "3", "active": None, "data": {"kw": "n/a", "it's": 7, "port": "Z", "tags": {"a": 1}}},
+    {"imo": "4", "data": {"kw": None, "port": [], "extra": False, "a?": 1}},
+    {"imo": "5", "data": None},
+    {"imo": "6"},
+])
+
+
+def test_types_by_majority(spark):
+    """One odd ship changes neither the types nor the other rows; its values are kept as text."""
+    ships = nested.ships_of(payload(spark, MIXED))
+    fields = nested.variant_fields(ships)
+    schema = nested.majority_schema(fields)
+    assert {f.name: f.dataType.simpleString() for f in schema} == {
+        "kw": "double", "it's": "string", "port": "struct<code:string,lat:bigint>", "tags": "array<bigint>", "none": "string", "extra": "boolean"}
+    found = {r.imo: r for r in nested.ships_by_majority(ships, schema).collect()}
+    assert [found[i].kw for i in "123456"] == [10.0, 10.5, None, None, None, None]
+    assert [found[i]["it's"] for i in "123"] == ["a", "b", None]
+    assert found["2"].port.code == "Y" and found["1"].port.lat is None and found["3"].port is None and found["4"].port is None
+    assert (found["1"].active, found["3"].active, found["4"].extra) == (True, None, False)
+    assert rows(nested.odd_values(fields, schema).drop("loaddate")) == sorted([
+        ("3", "kw", "STRING", '"n/a"'), ("3", "it's", "NUMBER", "7"), ("3", "port", "STRING", '"Z"'), ("3", "tags", "OBJECT", '{"a":1}'),
+        ("4", "port", "ARRAY", "[]"), ("4", "a?", "NUMBER", "1")], key=str)
+    assert nested.majority_schema(nested.variant_fields(ships.limit(0))).fields == []
+
+
+def test_ties_of_kinds_are_ordered(spark):
+    raws = json.dumps([{"imo": "1", "data": {"a": 1}}, {"imo": "2", "data": {"a": "x"}}])
+    fields = nested.variant_fields(nested.ships_of(payload(spark, raws)))
+    assert nested.majority_schema(fields)["a"].dataType.simpleString() == "bigint"

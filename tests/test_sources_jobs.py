@@ -455,3 +455,61 @@ def test_expired_in_all_layers(spark, lake):
     found = jobs.expired(spark, lake, date(2024, 5, 30))
     assert {(r.layer, r.run_date.day, r.row_count) for r in found.collect()} == {
         ("landing", 30, 7), ("landing", 31, 14), ("timeseries", 30, 3), ("gaps", 30, 2)}
+
+
+def test_landing_source_lists_only_what_is_wanted(tmp_path, monkeypatch):
+    from fleetframe.sources import landing_source
+
+    stamps = [f"{y}/{m:02d}/{d:02d}/{h:02d}/00" for y in (2023, 2024) for m in (1, 2) for d in (1, 2) for h in (0, 12)]
+    for stamp in stamps:
+        put(tmp_path, stamp, "Timeseries_1", {})
+    (tmp_path / "_staged-x" / "2024").mkdir(parents=True)
+    zone, opened = landing_source.Zone(f"file://{tmp_path}"), []
+    real = zone.entries
+    monkeypatch.setattr(zone, "entries", lambda folder: opened.append(folder) or real(folder))
+    assert zone.runs() == stamps and zone.newest() == stamps[-1]
+    for after in range(len(stamps)):
+        for upto in (after, min(after + 3, len(stamps) - 1)):
+            assert zone.runs(stamps[after], stamps[upto]) == stamps[after + 1:upto + 1]
+    opened.clear()
+    assert zone.runs(stamps[-2], stamps[-1]) == stamps[-1:]
+    assert opened == ["", "2024", "2024/02", "2024/02/02", "2024/02/02/12"]
+    opened.clear()
+    assert zone.newest() == stamps[-1] and len(opened) == landing_source.DEPTH
+    assert landing_source.Zone(str(tmp_path / "none")).runs() == []
+    parts = landing_source.cut([(str(i), 10) for i in range(1100)] + [("big", landing_source.PART_BYTES)])
+    assert [len(p.paths) for p in parts] == [500, 500, 100, 1]
+
+
+def test_landing_source_batch_and_sink(spark, tmp_path):
+    path = str(tmp_path / "zone")
+    data = [("Timeseries", "1", RUN1, '{"a": "é"}'), ("Timeseries", "A-2", RUN2, "{\n}"), ("ShipData", None, RUN2, "[]"), ("Timeseries", "9", RUN3, None)]
+    frame = spark.createDataFrame(data, schemas.LANDING).repartition(3)
+    landing.write_files(frame, path)
+    landing.write_files(frame, path)
+    assert json.loads((tmp_path / "zone" / RUN1 / "Timeseries_1.json").read_text()) == {"a": "é"}
+    assert rows(landing.read_runs(spark, path, "Timeseries")) == [*data[:2], ("Timeseries", "9", RUN3, "")]
+    assert rows(landing.read_runs(spark, path, "Timeseries")) == rows(landing.read_landing(spark, path, "Timeseries"))
+    assert rows(landing.read_runs(spark, path, "Timeseries", after=RUN1, upto=RUN2)) == [data[1]]
+    assert rows(landing.read_runs(spark, path, "ShipData")) == [data[2]]
+    assert landing.read_runs(spark, path, "Signals").count() == 0
+    bad = spark.createDataFrame([("Timeseries", "5", RUN1, "{}"), ("Timeseries", "5", "never", "{}")], schemas.LANDING).coalesce(1)
+    with pytest.raises(Exception, match="no payload of a run"):
+        landing.write_files(bad, path)
+    assert not (tmp_path / "zone" / RUN1 / "Timeseries_5.json").exists()
+    assert not [p for p in (tmp_path / "zone").iterdir() if p.name.startswith("_")]
+
+
+def test_landing_source_stream(spark, lake, tmp_path):
+    sink, check = str(tmp_path / "sink"), str(tmp_path / "check")
+
+    def read():
+        files = streams.landing_runs(spark, lake.landing, "Timeseries")
+        streams.start_landing(files, sink, check).awaitTermination()
+        return spark.read.parquet(sink).filter("imo = '1'").count()
+
+    assert read() == read() == 4 + 4 + 1
+    put(Path(lake.landing), "2024/02/01/00/00", "Timeseries_1", series(rpm={"00:25": 6}))
+    # An old run that changes is not read again.
+    put(Path(lake.landing), RUN1, "Timeseries_1", series(rpm={"00:45": 6}))
+    assert read() == 10
