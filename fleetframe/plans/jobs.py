@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from fleetframe import scale, schemas
 from fleetframe.functions import run_time
-from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, summary, upsert
+from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, statistics, summary, upsert
 from fleetframe.session import materialize
 from fleetframe.sources import jdbc, landing, runs, tables
 
@@ -157,6 +157,7 @@ def ingest_timeseries(spark: SparkSession, lake: Lake, run: Run, ships: list[str
         current = dedup.merge_history(history.select(*POINTS.fieldNames()), current)
     counted, counter = quality.observed(current, f"timeseries-{run.id}")
     _write_run(counted, lake, "timeseries", run)
+    _write_run(statistics.run_sketches(stored_run(spark, lake, run), []), lake, "run_sketches", run)
     # The manifest row comes last: a run that is listed is complete.
     _write_run(spark.createDataFrame([(counter.get["rows"],)], "rows long"), lake, "runs", run)
     store_gaps(spark, lake, rows)
@@ -168,6 +169,18 @@ def stored_runs(spark: SparkSession, lake: Lake) -> DataFrame:
     return stored.withColumn("run_ts", F.to_timestamp("run", "yyyyMMddHHmm"))
 
 
+def stored_run(spark: SparkSession, lake: Lake, run: Run) -> DataFrame:
+    """The measurements of one run; its partition alone is read."""
+    return stored_runs(spark, lake).filter((F.col("run_date") == F.lit(run.day)) & (F.col("run") == run.id))
+
+
+def run_statistics(spark: SparkSession, lake: Lake, first: date, last: date) -> DataFrame:
+    """Statistics over the runs of some days, from one row of sketches per run (see `operators.statistics`)."""
+    sketches = tables.read_table(spark, lake.path("run_sketches"))
+    chosen = sketches.filter((F.col("run_date") >= F.lit(first)) & (F.col("run_date") <= F.lit(last)))
+    return statistics.estimates(statistics.merge_sketches(chosen))
+
+
 def manifest(spark: SparkSession, lake: Lake) -> DataFrame:
     """(run_date, run, run_ts, rows): the stored runs that have rows, from one row per run."""
     listed = tables.read_table(spark, lake.path("runs"), MANIFEST).filter(F.col("rows") > 0)
@@ -301,7 +314,7 @@ def load_gold(spark: SparkSession, lake: Lake, run: Run, url: str | None = None,
 
     With the `url` of a database the run's wide rows (for the merge there) and the definitions go there too.
     """
-    rows = stored_runs(spark, lake).filter((F.col("run_date") == F.lit(run.day)) & (F.col("run") == run.id))
+    rows = stored_run(spark, lake, run)
     latest = dedup.latest_wins(quality.measurements(rows))
     loaded = materialize(pivot.pivot_latest(latest, pivot.signal_list(rows)))
     dated = loaded.withColumn("signal_date", F.to_date("signal_timestamp"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetframe import oracle, views
 from fleetframe.functions import loaddate_of
-from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, summary, upsert
+from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, statistics, summary, upsert
 from fleetframe.plans import jobs
 from fleetframe.session import materialize, use_utc, work_path
 from fleetframe.sources import landing, runs, tables
@@ -622,6 +622,28 @@ def _(spark, sf_dir):
     return runs.history_window(minute_runs, AS_OF)
 
 
+@query("run_sketches", """SELECT count(*) AS n_rows, count(signal_value) AS n_values, min(signal_timestamp) AS first,
+    max(signal_timestamp) AS last, count(DISTINCT imo) AS ships, count(DISTINCT (imo, signal)) AS series,
+    count(DISTINCT (imo, signal, signal_timestamp)) AS points, true AS counts_hold, true AS median_holds FROM tele_runs""", "tele_runs")
+def _(spark, sf_dir):
+    """Sketches of every hourly run, merged by day, then over all days; held against the exact figures."""
+    rows = views.tele_runs(spark, sf_dir)
+    of_runs = statistics.run_sketches(rows, ["run_date", "run_ts"])
+    whole = statistics.estimates(statistics.merge_sketches(statistics.merge_sketches(of_runs, ["run_date"])), (0.5,))
+    found = whole.withColumns({"first": F.unix_micros("first"), "last": F.unix_micros("last")}).first()
+    names, median = list(statistics.DISTINCT), found.quantiles[0]
+    exact = rows.agg(
+        *[F.count_distinct(F.struct(*statistics.DISTINCT[n])).alias(n) for n in names],
+        F.count_if(F.col("signal_value") < median).alias("below"), F.count_if(F.col("signal_value") <= median).alias("upto"))
+    counts = [F.abs(F.lit(found[n]) - F.col(n)) <= 3 * statistics.COUNT_ERROR * F.col(n) for n in names]
+    half, slack = found.n_values / 2, 2 * statistics.RANK_ERROR * found.n_values
+    return exact.select(
+        F.lit(found.n_rows).cast("long").alias("n_rows"), F.lit(found.n_values).cast("long").alias("n_values"),
+        F.timestamp_micros(F.lit(found["first"])).alias("first"), F.timestamp_micros(F.lit(found["last"])).alias("last"), *names,
+        (counts[0] & counts[1] & counts[2]).alias("counts_hold"),
+        ((F.col("below") <= half + slack) & (F.col("upto") >= half - slack)).alias("median_holds"))
+
+
 @query("retention_expired", """SELECT CAST(o_orderdate AS DATE) AS run_date, count(*) AS row_count FROM orders
     WHERE o_orderdate < TIMESTAMP '2001-08-01' - INTERVAL 90 DAY GROUP BY ALL""")
 def _(spark, sf_dir):

@@ -513,3 +513,35 @@ def test_landing_source_stream(spark, lake, tmp_path):
     # An old run that changes is not read again.
     put(Path(lake.landing), RUN1, "Timeseries_1", series(rpm={"00:45": 6}))
     assert read() == 10
+
+
+def test_statistics_of_runs_without_the_runs(spark, lake):
+    for run in (RUN1, RUN2):
+        jobs.run_jobs(spark, lake, run)
+    jobs.run_jobs(spark, lake, RUN2, mode="timeseries")
+    found = jobs.run_statistics(spark, lake, date(2024, 1, 30), date(2024, 1, 31))
+    row = found.first()
+    # Run 2 holds the points of run 1 again: rows add up, distinct points do not.
+    assert (row.n_rows, row.n_values, row.ships, row.series, row.points) == (11, 11, 2, 4, 8)
+    assert row["first"].strftime("%H:%M") == "00:00" and row["last"].strftime("%H:%M") == "00:15"
+    assert row.quantiles[0] <= row.quantiles[1] <= row.quantiles[2] == 21.0
+    assert all("/run_sketches/" in f for f in found.inputFiles())
+    one = jobs.run_statistics(spark, lake, date(2024, 1, 30), date(2024, 1, 30)).first()
+    assert (one.n_rows, one.ships, one.points) == (3, 1, 3)
+    assert jobs.run_statistics(spark, lake, date(2020, 1, 1), date(2020, 1, 2)).first().n_rows is None
+
+
+def test_sketches_merge_as_one(spark):
+    from fleetframe.operators import statistics
+
+    rows_ = spark.range(20000).selectExpr(
+        "CAST(id % 300 AS STRING) AS imo", "concat('s', id % 7) AS signal", "timestamp_seconds(id) AS signal_timestamp",
+        "CASE WHEN id % 10 > 0 THEN CAST(id AS DOUBLE) END AS signal_value", "CAST(id % 13 AS INT) AS run")
+    merged = statistics.estimates(statistics.merge_sketches(statistics.run_sketches(rows_, ["run"]))).first()
+    whole = statistics.estimates(statistics.run_sketches(rows_, [])).first()
+    assert (merged.n_rows, merged.n_values) == (whole.n_rows, whole.n_values) == (20000, 18000)
+    for name, true in (("ships", 300), ("series", 2100), ("points", 20000)):
+        assert abs(merged[name] - true) <= 3 * statistics.COUNT_ERROR * true
+    assert abs(merged.quantiles[1] - 10000) <= 2 * statistics.RANK_ERROR * 20000
+    nothing = statistics.estimates(statistics.run_sketches(rows_.withColumn("signal_value", F.lit(None).cast("double")), [])).first()
+    assert nothing.quantiles is None and nothing.n_values == 0
