@@ -10,6 +10,7 @@ it had, and only that is ordered in time.
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,22 +76,31 @@ def gap_sessions(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> Dat
     )
 
 
-def merge_intervals(intervals: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
-    """Intervals of which those at most `threshold` apart, overlapping or nested are one, as gaps of their points are.
+def _islands(intervals: DataFrame, threshold: timedelta) -> DataFrame:
+    """`intervals` with what they are part of once those at most `threshold` apart are one.
 
-    The loaddate is the first that reported the end. Intervals of a series are ordered in one task: as they come from
-    `gap_intervals` or are stored, their number is bounded by the time span, not by points.
+    `opens` marks the first of each island; `start`, `end` and `stamp` are those of the island, the stamp the first that
+    reported its end. Intervals of a series are ordered in one task: as they come from `gap_intervals` or are stored, their
+    number is bounded by the time span, not by points.
     """
     by_time = Window.partitionBy(*SERIES).orderBy("gap_start", "gap_end", "loaddate")
     ended = F.max("gap_end").over(by_time.rowsBetween(Window.unboundedPreceding, -1))
     opens = ended.isNull() | (distance_us(F.col("gap_start"), ended) > to_us(threshold))
     island = F.sum(F.col("opens").cast("int")).over(by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = intervals.withColumn("opens", opens).withColumn("island", island)
-    by_end = numbered.groupBy(*SERIES, "island", "gap_end").agg(
-        F.min("gap_start").alias("gap_start"), F.min("loaddate").alias("loaddate"))
-    merged = by_end.groupBy(*SERIES, "island").agg(
-        F.min("gap_start").alias("gap_start"), F.max(F.struct("gap_end", "loaddate")).alias("z"))
-    return merged.select(*SERIES, "gap_start", "z.gap_end", "z.loaddate")
+    of_island = Window.partitionBy(*SERIES, "island")
+    numbered = intervals.withColumn("opens", opens).withColumn("island", island).withColumns({
+        "start": F.min("gap_start").over(of_island), "end": F.max("gap_end").over(of_island)})
+    return numbered.withColumn("stamp", F.min(F.when(F.col("gap_end") == F.col("end"), F.col("loaddate"))).over(of_island))
+
+
+def _merged(islands: DataFrame) -> DataFrame:
+    return islands.filter("opens").select(
+        *SERIES, F.col("start").alias("gap_start"), F.col("end").alias("gap_end"), F.col("stamp").alias("loaddate"))
+
+
+def merge_intervals(intervals: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
+    """Intervals of which those at most `threshold` apart, overlapping or nested are one, as gaps of their points are."""
+    return _merged(_islands(intervals, threshold))
 
 
 def reach_of(gaps: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> tuple[Column, Column] | None:
@@ -110,18 +120,24 @@ def touching(table: DataFrame, gaps: DataFrame, threshold: timedelta = GAP_THRES
     if reach is None:
         return table.limit(0)
     near = table.filter((F.col("gap_end") >= reach[0]) & (F.col("gap_start") <= reach[1]))
-    return scale.semi_join(near, gaps.select(*SERIES).distinct(), SERIES)
+    # A series without ship or signal is one too; joins do not match its keys.
+    nameless = reduce(Column.__or__, [F.col(c).isNull() for c in SERIES])
+    return scale.semi_join(near.filter(~nameless), gaps.select(*SERIES).distinct(), SERIES).unionByName(near.filter(nameless))
 
 
 def changed_gaps(table: DataFrame, gaps: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """(gone, new): the stored gaps that newly found ones extend or join, and what takes their place.
 
-    A stored gap that already holds the found ones is in neither. Both are materialized.
+    A stored gap that already holds the found ones is in neither. Both read one materialized frame.
     """
     columns = [*GAP_KEY, "gap_end", "loaddate"]
-    near = materialize(touching(table.select(*columns), gaps, threshold))
-    merged = materialize(merge_intervals(near.unionByName(gaps.select(*columns)), threshold))
-    return materialize(near.exceptAll(merged)), materialize(merged.exceptAll(near))
+    near = touching(table.select(*columns), gaps, threshold).withColumn("stored", F.lit(True))
+    both = _islands(near.unionByName(gaps.select(*columns).withColumn("stored", F.lit(False))), threshold)
+    same = (F.col("stored") & (F.col("gap_start") == F.col("start")) & (F.col("gap_end") == F.col("end"))
+            & F.col("loaddate").eqNullSafe(F.col("stamp")))
+    stays = F.max(same).over(Window.partitionBy(*SERIES, "island"))
+    changed = materialize(both.withColumn("stays", stays).filter("NOT stays"))
+    return changed.filter("stored").select(*columns), _merged(changed)
 
 
 def append_gaps(table: DataFrame, gaps: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
@@ -130,8 +146,15 @@ def append_gaps(table: DataFrame, gaps: DataFrame, threshold: timedelta = GAP_TH
     Gaps of the table are unique by series and start.
     """
     gone, new = changed_gaps(table, gaps, threshold)
-    kept = table.select(*new.columns)
-    return scale.without_keys(kept, gone, GAP_KEY).unionByName(new)
+    return without_gaps(table.select(*new.columns), gone).unionByName(new)
+
+
+def without_gaps(table: DataFrame, gone: DataFrame) -> DataFrame:
+    """The gaps of a table that are not among `gone`, by series and start; the table is not shuffled for a short list."""
+    keys = gone.select(*[F.col(c).alias(f"_{c}") for c in GAP_KEY])
+    listed = F.broadcast(keys) if scale.fits_broadcast(keys) else keys
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GAP_KEY])
+    return table.join(listed, same, "left_anti")
 
 
 def merge_points(intervals: DataFrame, points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:

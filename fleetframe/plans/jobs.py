@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetframe import scale, schemas
+from fleetframe import schemas
 from fleetframe.functions import run_time
 from fleetframe.operators import dedup, enrich, gaps, nested, pivot, quality, statistics, summary, upsert
 from fleetframe.session import materialize
@@ -234,7 +234,7 @@ def store_gaps(spark: SparkSession, lake: Lake, rows: DataFrame) -> None:
     if not days:
         return
     of_days = tables.of_dates(stored_gaps(spark, lake), "gap_date", days)
-    kept = materialize(scale.without_keys(of_days, gone, gaps.GAP_KEY).unionByName(new))
+    kept = materialize(gaps.without_gaps(of_days, gone).unionByName(new))
     _store_gap_dates(spark, lake, dates, kept, days)
     tables.overwrite_partitions(kept, lake.path("gaps"), ["gap_date"], emptied=[{"gap_date": day.isoformat()} for day in days])
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from fleetframe.functions import to_us
-from fleetframe.operators.gaps import GAP_KEY, GAP_THRESHOLD, SERIES
+from fleetframe.operators.gaps import GAP_THRESHOLD, SERIES, without_gaps
 from fleetframe.session import materialize, ship
 from fleetframe.sources.runs import DAYS_TO_KEEP
 from fleetframe.sources.tables import of_dates, overwrite_partitions, read_table
@@ -133,9 +133,7 @@ def gap_changes(points: DataFrame, threshold: timedelta = GAP_THRESHOLD, late: t
 
 def apply_changes(stored: DataFrame, changes: DataFrame) -> DataFrame:
     """Stored intervals after the changes of a batch, at most one per series and start."""
-    keys = [F.col("s." + c).eqNullSafe(F.col("c." + c)) for c in GAP_KEY]
-    kept = stored.alias("s").join(changes.alias("c"), keys[0] & keys[1] & keys[2], "left_anti")
-    return kept.unionByName(changes.filter(F.col("change") == "put").drop("change"))
+    return without_gaps(stored, changes).unionByName(changes.filter(F.col("change") == "put").drop("change"))
 
 
 def start_gaps(points: DataFrame, target: str, checkpoint: str, threshold: timedelta = GAP_THRESHOLD, late: timedelta = LATE,
