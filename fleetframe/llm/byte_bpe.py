@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from fleetframe.llm.common import per_text, read, ship, worker_state
 
-UNIT_CACHE = 150_000
+#: About the bytes of Python objects that a worker keeps; longer units than LONG characters are not kept.
+CACHE_BYTES, LONG = 64_000_000, 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RUN = re.compile(r"\s | \s")
 
@@ -52,6 +53,7 @@ class Replay:
         self.single = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.width = max(self.tokens) + 1
         self.cache: dict[str, bytes] = {}
+        self.held = 0
         pairs, made = array("q", [np.iinfo(np.int64).max]), array("i", [-1])
         for token, rank in ranks.items():
             for i in range(1, len(token)):
@@ -143,24 +145,26 @@ class Replay:
             _, i = min(ranked)
             parts[i:i + 2] = [parts[i] + parts[i + 1]]
 
-    def _learn(self, new: set[str]) -> None:
-        """Put the ids of new units, as little-endian 32-bit integers, into the cache."""
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of new units, as little-endian 32-bit integers; the short ones go into the cache."""
         pieces = {unit: self.pattern.findall(unit) for unit in new}
         distinct = list({p for found in pieces.values() for p in found})
         packed = dict(zip(distinct, self.replay([p.encode() for p in distinct]), strict=True))
-        for unit, found in pieces.items():
-            self.cache[unit] = b"".join([packed[p] for p in found])
+        made = {unit: b"".join([packed[p] for p in found]) for unit, found in pieces.items()}
+        short = {unit: ids for unit, ids in made.items() if len(unit) <= LONG}
+        self.cache.update(short)
+        self.held += 200 * len(short) + sum(4 * len(unit) + len(ids) for unit, ids in short.items())
+        return made
 
     def encode_packed(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit integers."""
         seen: dict[str, int] = {}
         cut = [array("i", [seen.setdefault(u, len(seen)) for u in units(text)]) for text in texts]
-        new = seen.keys() - self.cache.keys()
-        if len(self.cache) + len(new) > UNIT_CACHE:
+        if self.held > CACHE_BYTES:
             self.cache.clear()
-            new = seen.keys()
-        self._learn(new)
-        packed = [self.cache[u] for u in seen]
+            self.held = 0
+        made = self._learn(seen.keys() - self.cache.keys())
+        packed = [made[u] if u in made else self.cache[u] for u in seen]
         return [b"".join([packed[i] for i in parts]) for parts in cut]
 
     def decode_packed(self, packed: bytes) -> bytes:
