@@ -174,8 +174,11 @@ def class_links(classes: DataFrame, rows: int, cosine: float) -> DataFrame:
     left, right = (spread.select(*[F.col(c).alias(f"{c}_{side}") for c in spread.columns]) for side in "ab")
     same = (F.col("filter_a") == F.col("filter_b")) & (F.col("dims_a") == F.col("dims_b")) & (F.col("id_a") < F.col("id_b"))
     pairs = left.join(right, same).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    # Divided by the power of two below the greatest component, which is exact: squares neither vanish nor overflow.
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.array_max(F.transform("vector", F.abs)))))
+    scaled = classes.withColumn("scale", scale).select("id", F.transform("vector", lambda x: x / F.col("scale")).alias("vector"))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x))
-    normed = classes.select("id", "vector", norm.alias("norm"))
+    normed = scaled.select("id", "vector", norm.alias("norm"))
     a, b = (normed.select(F.col("id").alias(s), F.col("vector").alias(f"v{s}"), F.col("norm").alias(f"n{s}")) for s in "ab")
     dot = F.aggregate(F.zip_with("va", "vb", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     return pairs.join(a, "a").join(b, "b").where(dot / (F.col("na") * F.col("nb")) >= cosine).select("a", "b")
@@ -186,9 +189,10 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
 
     Equal vectors are one class: they link with each other and are compared with others once. Rows link with
     nothing whose vector is null, empty, zero or not finite, or whose id is null (component null, kept).
-    Vectors of different length do not link. Rows that share an id are one node with their links added up.
+    Vectors of different length do not link. Rows that share an id are one node with their links added up. Ids are of any
+    type with an order.
     """
-    source = vectors.select(F.col(vec_id).cast("long").alias("vec_id"),
+    source = vectors.select(F.col(vec_id).alias("vec_id"),
                             F.col(embedding).cast("array<double>").alias("vector"))
     usable = (F.col("vec_id").isNotNull() & (F.size("vector") > 0)
               & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
