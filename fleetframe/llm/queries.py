@@ -37,6 +37,5 @@ SQL: dict[str, str] = {
     "op2_url_filter": url_filter.OP2_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
-    "op11_token_alignment": token_alignment.op11_token_alignment,
     "op12_lexical_search": lexical_search.OP12_SQL,
 }
