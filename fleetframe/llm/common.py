@@ -3,17 +3,15 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import zipfile
-from collections.abc import Callable, Iterator
-from pathlib import Path
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-import fleetframe
-from fleetframe.session import work_path
+from fleetframe.session import ship, work_path
+from fleetframe.sources.tables import Folder
 
 BLOCK_CHARS = 4_000_000
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -23,30 +21,74 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once per Spark context."""
-    context, home = spark.sparkContext, Path(fleetframe.__file__).parent
-    if getattr(context, "_fleetframe_shipped", False) or not home.is_dir():
-        return
-    archive = Path(tempfile.mkdtemp(prefix="fleetframe-")) / "fleetframe.zip"
-    with zipfile.ZipFile(archive, "w") as packed:
-        for module in sorted(home.rglob("*.py")):
-            packed.write(module, module.relative_to(home.parent))
-    context.addPyFile(str(archive))
-    context._fleetframe_shipped = True
-
-
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow with this package on the workers."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+#: Paths of staged tables by scope, the innermost last; those of no scope stay until `release` or the end.
+_SCOPES: list[set[str]] = [set()]
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once below the session's shared folder and read back: computed once, lineage cut."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _staged_at(df.sparkSession, path, df.schema)
+
+
+def _staged_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    made = spark.read.schema(schema).parquet(path)
+    made._staged_path = path
+    _SCOPES[-1].add(path)
+    return made
+
+
+def _delete(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        Folder(spark, path).delete()
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in frames:
+        path = getattr(df, "_staged_path", None)
+        for scope in _SCOPES:
+            if path in scope:
+                scope.remove(path)
+                _delete(df.sparkSession, [path])
+
+
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The frame that `make` returns, written and read back; what was staged on the way there is deleted.
+
+    The driver's collector is asked to run, as Spark itself does from time to time: the shuffle files of the plans that
+    are through go with them.
+    """
+    _SCOPES.append(set())
+    try:
+        made = make()
+        path = work_path(spark, name)
+        made.write.parquet(path)
+        schema = made.schema
+    finally:
+        _delete(spark, _SCOPES.pop())
+    del made
+    collect_plans(spark)
+    return _staged_at(spark, path, schema)
+
+
+def collect_plans(spark: SparkSession) -> None:
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all staged tables. For a caller who has written the results of the operators used so far."""
+    for scope in _SCOPES:
+        _delete(spark, scope)
+        scope.clear()
 
 
 def unused(df: DataFrame, name: str) -> str:

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetframe.llm.common import staged
+from fleetframe.llm.common import staged, unstage
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of `edges` (a, b): the component is its smallest node.
 
     Each step is an aggregation with partial sums and a join that adaptive execution can split, so a node
-    with very many links does not gather them in one task. Steps are written to the shared folder.
+    with very many links does not gather them in one task. Steps are written to the shared folder, each goes when the
+    next one stands; the last stays staged.
     """
     current = staged(_ordered(edges.select(F.col("a").alias("low"), F.col("b").alias("high"))), "edges")
     before = None
@@ -24,11 +25,13 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.select(F.col("low").alias("u"), F.col("high").alias("v")).union(current.select("high", "low"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = _ordered(both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("m").alias("low"), F.col("v").alias("high")))
-        large = staged(large, "edges")
+        large, last = staged(large, "edges"), current
+        unstage(last)
         least = large.groupBy("high").agg(F.min("low").alias("m")).withColumnRenamed("high", "w")
         moved = large.join(least, F.col("high") == F.col("w"))
         small = moved.select(F.col("m").alias("low"), F.col("low").alias("high")).union(least.select("m", "w"))
         current = staged(_ordered(small), "edges")
+        unstage(large)
     roots = current.select("low").distinct().select(F.col("low").alias("node"), F.col("low").alias("component"))
     return current.select(F.col("high").alias("node"), F.col("low").alias("component")).union(roots)
 

@@ -7,11 +7,13 @@ By texts (`repeated_lines`), share and number of pages depend on the length of t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetframe.llm import minhash
-from fleetframe.llm.common import BROADCAST_BYTES, named, read, row_key, staged, unused
+from fleetframe.llm.common import BROADCAST_BYTES, named, read, row_key, settled, staged, unused
 
 RATIO = 0.02
 MIN_PAGES = 10
@@ -20,8 +22,8 @@ MIN_PAGES = 10
 MIDDLE_WORDS, LONG_WORDS = 20, 50
 #: (pages, share of the site's pages) of a line: both must be reached, the share exceeded.
 MIDDLE, LONG = (3, 0.005), (2, 0.0)
-#: Of sites too small for MIN_PAGES: a short line on at least two pages and more than half of them.
-SMALL_SITE = (2, 0.5)
+#: Short lines also go, whatever the size of the site, from two pages on if they are on more than half of all.
+MOST = (2, 0.5)
 
 
 def lines_of(text: Column) -> Column:
@@ -64,26 +66,26 @@ def boilerplate(docs: DataFrame, site: str, text: str, ratio: float = RATIO, min
 def repeated_lines(docs: DataFrame, site: str, text: str) -> DataFrame:
     """(site, line) of the lines that go when distinct texts are counted, by the length of the line.
 
-    Short lines: MIN_PAGES texts and RATIO of the site's, or SMALL_SITE. Longer lines: MIDDLE, LONG. But for
+    Short lines: MIN_PAGES texts and RATIO of the site's, or MOST. Longer lines: MIDDLE, LONG. But for
     short lines by MIN_PAGES, near copies among the pages that hold such a line count as one page: else two
     versions of a document would empty each other before near-dedup can keep one.
     """
     source = docs.select(F.col(site).alias("site"), F.col(text).cast("string").alias("text"))
-    source = source.withColumn("page", page_id(F.col("text"))).withColumn("id", F.xxhash64("text"))
+    source = source.withColumn("page", page_id(F.col("text")))
     entry = F.transform(lines_of(F.col("text")), lambda x: F.struct(line_id(x).alias("line"), line_words(x).alias("words")))
     # The ids of the lines are moved, not the texts.
-    pages = source.select("site", "page", "id", F.array_distinct(entry).alias("entries")).dropDuplicates(["site", "page"])
+    pages = source.select("site", "page", F.array_distinct(entry).alias("entries")).dropDuplicates(["site", "page"])
     total = pages.groupBy(F.col("site").alias("own_site")).agg(F.count(F.lit(1)).alias("pages"))
     kind = F.when(F.col("e.words") > LONG_WORDS, 2).when(F.col("e.words") > MIDDLE_WORDS, 1).otherwise(0)
-    lines = (pages.select("site", "page", "id", F.explode("entries").alias("e")).where(F.col("e.line").isNotNull())
-             .select("site", "page", "id", F.col("e.line").alias("line"), kind.alias("kind")))
+    lines = (pages.select("site", "page", F.explode("entries").alias("e")).where(F.col("e.line").isNotNull())
+             .select("site", "page", F.col("e.line").alias("line"), kind.alias("kind")))
     counted = (lines.groupBy("site", "line", "kind").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
                .join(total, F.col("site").eqNullSafe(F.col("own_site"))).drop("own_site"))
 
     def by_length(n: Column) -> Column:
         small, middle, long = (((F.col("kind") == k) & (n >= least) & (n > share * F.col("pages")))
-                               for k, (least, share) in enumerate((SMALL_SITE, MIDDLE, LONG)))
-        return (small & (F.col("pages") < 2 * MIN_PAGES)) | middle | long
+                               for k, (least, share) in enumerate((MOST, MIDDLE, LONG)))
+        return small | middle | long
 
     template = (F.col("kind") == 0) & (F.col("n") >= MIN_PAGES) & (F.col("n") > RATIO * F.col("pages"))
     judged = staged(counted.withColumn("template", template).where(F.col("template") | by_length(F.col("n"))), "repeated-lines")
@@ -96,24 +98,25 @@ def repeated_lines(docs: DataFrame, site: str, text: str) -> DataFrame:
     held = staged(lines.join(sought, F.col("site").eqNullSafe(F.col("of")) & (F.col("line") == F.col("own"))).drop("of", "own"), "held-lines")
     wanted = held.select("page").distinct()
     near = F.broadcast(wanted) if wanted.count() * 80 <= BROADCAST_BYTES else wanted
-    texts = staged(source.join(near, "page", "left_semi").dropDuplicates(["page"]).select("id", "text"), "held-texts")
-    copies = minhash.near_duplicates(texts, "id", "text").select(F.col("doc_id").alias("id"), "component_id")
-    units = held.join(copies, "id").groupBy("site", "line", "kind", "pages").agg(F.count_distinct("component_id").alias("units"))
+    texts = staged(source.join(near, "page", "left_semi").dropDuplicates(["page"]).select("page", "text"), "held-texts")
+    copies = minhash.near_duplicates(texts, "page", "text").select(F.col("doc_id").alias("page"), "component_id")
+    units = held.join(copies, "page").groupBy("site", "line", "kind", "pages").agg(F.count_distinct("component_id").alias("units"))
     return found.union(units.where(by_length(F.col("units"))).select("site", "line"))
 
 
 def drop_boilerplate(docs: DataFrame, site: str = "source", text: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES, dropped: str = "n_dropped", found: DataFrame | None = None) -> DataFrame:
+                     min_pages: int = MIN_PAGES, dropped: str = "n_dropped", found: Callable[[], DataFrame] | None = None) -> DataFrame:
     """`docs` with boilerplate lines taken out of `text`; `dropped` is added, the number of lines that went.
 
     Kept lines stay as they are, in their order, joined by a line feed; blank lines are never boilerplate. A
     text without boilerplate is unchanged, null stays null, a text of boilerplate alone becomes empty.
-    `found` gives the lines as (site, line); else `boilerplate` finds them, with repeated rows as pages of their
-    own. The other columns pass through, whatever their names.
+    `found` makes the lines as (site, line); else `boilerplate` finds them, with repeated rows as pages of their
+    own. The other columns pass through, whatever their names; one that is named as `dropped` gives way to it.
     """
-    if found is None:
-        found = boilerplate(docs, site, text, ratio, min_pages)
-    found = staged(found.select("site", "line"), "boilerplate")
+    if dropped in docs.columns:
+        docs = docs.drop(dropped)
+    make = found or (lambda: boilerplate(docs, site, text, ratio, min_pages))
+    found = settled(docs.sparkSession, "boilerplate", lambda: make().select("site", "line"))
     lines_name = unused(docs, "_lines")
     if found.count() * 80 <= BROADCAST_BYTES:
         # For each site at most 1/ratio times the lines of a mean page.

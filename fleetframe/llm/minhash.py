@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fleetframe.llm.common import BROADCAST_BYTES, per_text, read, staged, unused, worker_state
+from fleetframe.llm.common import BROADCAST_BYTES, collect_plans, per_text, read, settled, staged, unstage, unused, worker_state
 from fleetframe.llm.components import components
 
 SHINGLE = 5
@@ -111,7 +111,8 @@ def signatures(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
 def _sets(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
     """(id, shingles) of the documents whose id and digest are `wanted`; repeated rows may repeat here."""
-    small = wanted.count() * 32 <= BROADCAST_BYTES
+    size = wanted.agg(F.sum(F.octet_length(F.col("id").cast("string")) + 32)).first()[0] or 0
+    small = size <= BROADCAST_BYTES
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     found = source.join(F.broadcast(wanted) if small else wanted, "id")
 
@@ -144,8 +145,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _hubs(members: DataFrame, degrees: DataFrame) -> DataFrame:
     """(key, hub): the member of each bucket that shares buckets with most others, the smallest id of equals."""
-    return (members.join(degrees, "id").groupBy("key").agg(F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("best"))
-            .select("key", (-F.col("best.minus")).alias("hub")))
+    return (members.join(degrees, "id").groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("minus"), "id")).alias("best"))
+            .select("key", F.col("best.id").alias("hub")))
 
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,8 +183,10 @@ def links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, percent:
     members = members.select("key", "id")
     wanted = classes.select("id", "d1", "d2").join(degrees.select("id"), "id", "left_semi")
     sets = staged(_sets(docs, doc_id, text, wanted), "shingles")
+    spark = docs.sparkSession
+    collect_plans(spark)
 
-    found, active, tested = None, members, None
+    found, active, tested, before = None, members, None, None
     for _ in range(ROUNDS):
         pairs = (active.join(_hubs(active, degrees), "key").where("id != hub")
                  .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
@@ -192,11 +195,16 @@ def links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, percent:
         pairs = staged(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         linked = staged(_verified(pairs, sets, percent), "links")
+        collect_plans(spark)
         found = linked if found is None else found.union(linked)
         labels = components(found).select(F.col("node").alias("id"), "component")
         labelled = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = labelled.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("other")).where("one < other")
         labelled = staged(labelled.join(mixed.select("key"), "key"), "mixed")
+        collect_plans(spark)
+        if before is not None:
+            unstage(before)
+        before = labelled
         if labelled.isEmpty():
             return found
         # The next hub stands for the components other than that of the bucket's largest part.
@@ -212,7 +220,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_shingles, component_id, kept), one row per row of `docs`.
 
     Null and empty texts have no shingles and are alone; so are rows without id (component null, kept).
-    Rows that share an id are one node. `kept` marks the smallest id of each component.
+    Rows that share an id are one node. `kept` marks the smallest id of each component. Ids are of any type with an order.
     """
     signed = staged(signatures(docs, doc_id, text), "signatures")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -221,15 +229,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     lead = staged(lead.select("id", "d1", "d2", "bands"), "classes")
     member = usable.select("doc_id", "d1", "d2").distinct().join(classes, ["d1", "d2"])
     same = member.where("doc_id != id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
-    edges = links(docs, lead, doc_id, text, percent)
+    edges = settled(docs.sparkSession, "spanning-links", lambda: links(docs, lead, doc_id, text, percent))
     # Copies hang on their representative; the graph of representatives is small beside them.
     repeated = usable.groupBy("doc_id").agg(F.count_distinct("d1", "d2").alias("n")).where("n > 1")
     if repeated.isEmpty():
-        found = components(edges)
+        found = settled(docs.sparkSession, "components", lambda: components(edges))
         labels = (member.join(found, F.col("id") == F.col("node"), "left")
                   .select("doc_id", F.coalesce("component", "id").alias("component_id")))
     else:
-        labels = components(edges.union(same)).select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
+        found = settled(docs.sparkSession, "components", lambda: components(edges.union(same)))
+        labels = found.select(F.col("node").alias("doc_id"), F.col("component").alias("component_id"))
     alone = F.coalesce("component_id", "doc_id")
     return (signed.select("doc_id", "n_shingles").join(labels, "doc_id", "left")
             .select("doc_id", "n_shingles", alone.alias("component_id"), F.coalesce(F.col("doc_id") == alone, F.lit(True)).alias("kept")))

@@ -97,6 +97,53 @@ def test_repeated_and_null_ids(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_text_ids_and_least_ids(spark):
+    texts = corpus()
+    named = [(f"d{i:04d}", t) for i, t in texts]
+    expected = expected_components(shingle_sets(texts))
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(named, "doc_id string, text string")).collect()}
+    assert found == {f"d{i:04d}": f"d{c:04d}" for i, c in expected.items()}
+    least = -2**63
+    rows = [(least, "p q r s t u v"), (5, "p q r s t u v"), (7, "p q r s t u v w x y z a b c d e f g h i j k"), (9, "p q r s t u v w x y z a b c d e f g h i j k l")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {least: least, 5: least, 7: 7, 9: 7}
+
+
+def test_staged_tables_go(spark):
+    """What near-dedup staged for its links is deleted when they stand; all of it on release."""
+    from pathlib import Path
+
+    from fleetframe.llm import common
+    from fleetframe.session import work_path
+
+    root = Path(work_path(spark, "x").removeprefix("file:")).parent
+    common.release(spark)
+    known = set(root.iterdir())
+    found = minhash.near_duplicates(spark.createDataFrame(corpus(), "doc_id long, text string"))
+    left = sorted(p.name.rsplit("-", 1)[0] for p in set(root.iterdir()) - known)
+    assert left == ["classes", "components", "signatures", "spanning-links"]
+    assert found.count() == len(corpus())
+    common.release(spark)
+    assert set(root.iterdir()) == known
+
+
+def test_vectors_of_extreme_size(spark):
+    """The links of tiny and of huge vectors are those of the same vectors at ordinary size; ids may be text."""
+    made = np.random.default_rng(11)
+    first = made.standard_normal((40, 8))
+    near = first[:20] + 0.12 * made.standard_normal((20, 8))
+    vectors = np.concatenate([first, near])
+
+    def links(factor):
+        rows = [(f"v{i:03d}", (v * factor).tolist()) for i, v in enumerate(vectors)]
+        found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id string, embedding array<double>"))
+        return {r.vec_id: (r.n_links, r.component_id) for r in found.collect()}
+
+    plain = links(1.0)
+    assert sum(n for n, _ in plain.values()) > 10
+    assert links(2.0**-700) == links(2.0**600) == plain
+
+
 @pytest.mark.parametrize("dims", [3, 48])
 def test_near_duplicate_vectors(spark, dims):
     made = np.random.default_rng(3)

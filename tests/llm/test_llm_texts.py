@@ -336,6 +336,45 @@ def test_lines(spark):
     assert {r.doc_id for r in shuffled.where("found IS NOT NULL").collect()} == {*range(12), 14}
 
 
+def test_lines_beside_columns_of_the_same_names(spark):
+    docs = spark.createDataFrame([(i, f"menu\nown {i}", "a", 5, 6) for i in range(12)],
+                                 "doc_id long, text string, source string, n_dropped long, n_dropped_lines long")
+    cut = line_dedup.drop_boilerplate(docs)
+    assert sorted(cut.columns) == sorted(docs.columns)
+    assert {(r.text, r.n_dropped, r.n_dropped_lines) for r in cut.collect()} == {(f"own {i}", 1, 6) for i in range(12)}
+
+
+@pytest.mark.parametrize("pages", [7, 15, 19, 20, 21, 40])
+def test_short_lines_by_one_rule(spark, pages):
+    """On more than half of the texts, or on ten that are over 2 %: whatever the size of the site."""
+    made = random.Random(pages)
+    for held in (pages // 2, pages // 2 + 1):
+        texts = [" ".join(str(made.randint(0, 10**6)) for _ in range(30)) + ("\nmenu of all" if i < held else "") for i in range(pages)]
+        found = line_dedup.repeated_lines(spark.createDataFrame([(t, "a") for t in texts], "text string, source string"), "source", "text")
+        assert found.count() == (held > pages / 2 or held >= 10)
+
+
+CLASHING = ["_text", "_row", "_key", "n_tokens", "score", "spans", "rule", "host", "ids", "held_out", "lang_pred", "n_bytes"]
+
+
+def test_empty_tables_and_clashing_names(spark):
+    from pyspark.sql import functions as F
+
+    docs = rows(spark, ["Some text, api_key = abcdefgh12345678", None, ""]).withColumns({c: F.lit("x") for c in CLASHING})
+    profiles = language_id.learn_profiles(rows(spark, ["the cat sat"] * 3))
+    made = {
+        "counts": lambda d: token_counts.token_counts(d, PIECES, 3, ["doc_id"]),
+        "bpe": lambda d: byte_bpe.round_trip(d, RANKS, tokenizers.PATTERN, ["doc_id"]),
+        "secrets": lambda d: secret_scan.secret_spans(d, ["doc_id"]),
+        "urls": lambda d: url_filter.judge(d.withColumnsRenamed({"doc_id": "page_id"}).withColumn("url", F.lit("http://a.org/x")), ["page_id"]),
+        "language": lambda d: language_id.identify(d, profiles, ["doc_id"]),
+        "toxicity": lambda d: toxicity.toxicity(d, toxicity.Lexicon({"idiot": 6.0}, {}, {"idiot"}, (-4.0, 1.0, 0.0)), ["doc_id"]),
+    }
+    for run in made.values():
+        assert run(docs).count() == 3
+        assert run(docs.limit(0)).count() == 0
+
+
 def _hits(text, items):
     import re
 
