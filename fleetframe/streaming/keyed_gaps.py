@@ -4,10 +4,13 @@ Every series keeps its intervals as state. A batch merges its points into them a
 new interval or a new form of one, `remove` rows the start of one that another has taken in. Before they are moved to
 their series, points are reduced to one row per time slot (see `operators.gaps`), batch by batch where they are read, so
 a hot series arrives as few rows. Timers forget intervals that ended longer ago than points may be late.
+
+The state lies by bucket of series: a call to the state store costs milliseconds whatever it carries, so series share theirs.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from datetime import timedelta
 
@@ -27,11 +30,15 @@ from fleetframe.streaming.streams import ONCE, _settings
 LATE = timedelta(days=DAYS_TO_KEEP)
 
 SLOTS = "imo string, signal string, first long, last long, loaddate string, at timestamp"
-STATE = "gap_start long, gap_end long, loaddate string"
+STATE = "imo string, signal string, gap_start long, gap_end long, loaddate string"
 CHANGES = "imo string, signal string, gap_start timestamp, gap_end timestamp, loaddate string, change string"
 INTERVALS = "imo string, signal string, gap_start timestamp, gap_end timestamp, loaddate string, gap_date date"
 
+# Buckets of series. Fixed by the first start of a checkpoint, since the state is kept by them.
+BUCKETS = 4096
+
 Interval = tuple[int, int, str | None]
+Series = tuple[str | None, str | None]
 
 
 def slots_of(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFrame:
@@ -44,10 +51,10 @@ def slots_of(points: DataFrame, threshold: timedelta = GAP_THRESHOLD) -> DataFra
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             ordered = rows.assign(slot=rows["micros"] // width).sort_values(["micros", "loaddate"], na_position="first")
-            of_slot = ordered.groupby([*SERIES, "slot"], dropna=False, sort=False)
-            slots = of_slot.agg(first=("micros", "first"), last=("micros", "last"), loaddate=("loaddate", lambda x: x.iloc[-1]))
-            made = slots.reset_index().drop(columns="slot")
-            yield made.assign(at=pd.to_datetime(made["last"], unit="us", utc=True))
+            first = ordered.groupby([*SERIES, "slot"], dropna=False, sort=False)["micros"].transform("first")
+            made = ordered.assign(first=first).drop_duplicates([*SERIES, "slot"], keep="last").rename(columns={"micros": "last"})
+            made = made.assign(at=pd.to_datetime(made["last"], unit="us", utc=True))
+            yield made[[*SERIES, "first", "last", "loaddate", "at"]]
 
     timed = points.filter(F.col("gap_start").isNotNull())
     rows = timed.select(*SERIES, F.unix_micros("gap_start").alias("micros"), "loaddate")
@@ -69,7 +76,7 @@ def merged(stored: list[Interval], found: list[Interval], threshold: int) -> lis
 
 
 class GapState(StatefulProcessor):
-    """The intervals of one series, those that points may still reach."""
+    """The intervals of the series of one bucket, those that points may still reach."""
 
     def __init__(self, threshold: int, late: int):
         self.threshold, self.late = threshold, late
@@ -79,56 +86,73 @@ class GapState(StatefulProcessor):
         self.intervals = handle.getListState("intervals", STATE)
 
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        found: list[Interval] = []
+        found: dict[Series, list[Interval]] = defaultdict(list)
         for part in rows:
-            stamps = part["loaddate"].where(part["loaddate"].notna(), None)
-            found += list(zip(part["first"].tolist(), part["last"].tolist(), stamps.tolist(), strict=True))
-        stored = [(row[0], row[1], row[2]) for row in self.intervals.get()] if self.intervals.exists() else []
-        now = merged(stored, found, self.threshold)
-        before, after = set(stored), set(now)
-        starts = {start for start, _, _ in now}
-        changes = [(*x, "put") for x in now if x not in before] + [(*x, "remove") for x in stored if x not in after and x[0] not in starts]
-        if after != before:
-            self.intervals.put(now)
-            self._wake(now)
-        yield self._rows(key, changes)
+            for imo, signal, *interval in _tuples(part[[*SERIES, "first", "last", "loaddate"]]):
+                found[imo, signal].append(tuple(interval))
+        stored = self._stored()
+        changes, changed = [], False
+        for series, points in found.items():
+            known = stored.get(series, [])
+            now = merged(known, points, self.threshold)
+            before, after = set(known), set(now)
+            if after != before:
+                starts = {start for start, _, _ in now}
+                changes += [(*series, *x, "put") for x in now if x not in before]
+                changes += [(*series, *x, "remove") for x in known if x not in after and x[0] not in starts]
+                stored[series], changed = now, True
+        if changed:
+            self._keep(stored)
+        yield self._rows(changes)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
         passed = timerValues.getCurrentWatermarkInMs() * 1000 - self.threshold
-        kept = [(row[0], row[1], row[2]) for row in self.intervals.get() if row[1] >= passed] if self.intervals.exists() else []
-        if kept:
-            self.intervals.put(kept)
-        else:
-            self.intervals.clear()
-        self._wake(kept)
-        yield self._rows(key, [])
-
-    def _wake(self, intervals: list[Interval]) -> None:
-        """One timer per series: when the watermark has passed what can reach the interval that ended first."""
+        kept = {series: [x for x in known if x[1] >= passed] for series, known in self._stored().items()}
+        self._keep({series: known for series, known in kept.items() if known})
+        yield self._rows([])
+
+    def _stored(self) -> dict[Series, list[Interval]]:
+        stored: dict[Series, list[Interval]] = defaultdict(list)
+        if self.intervals.exists():
+            for row in self.intervals.get():
+                stored[row[0], row[1]].append((row[2], row[3], row[4]))
+        return stored
+
+    def _keep(self, stored: dict[Series, list[Interval]]) -> None:
+        """Store the intervals; one timer per bucket, for when the watermark has passed what can reach the first end."""
+        rows = [(*series, *x) for series, known in stored.items() for x in known]
         for known in list(self.handle.listTimers()):
             self.handle.deleteTimer(known)
-        if intervals:
-            self.handle.registerTimer((min(end for _, end, _ in intervals) + self.threshold) // 1000 + 1)
+        if rows:
+            self.intervals.put(rows)
+            self.handle.registerTimer((min(row[3] for row in rows) + self.threshold) // 1000 + 1)
+        else:
+            self.intervals.clear()
 
     @staticmethod
-    def _rows(key, changes: list) -> pd.DataFrame:
-        made = pd.DataFrame(changes, columns=["gap_start", "gap_end", "loaddate", "change"], dtype=object)
+    def _rows(changes: list) -> pd.DataFrame:
+        made = pd.DataFrame(changes, columns=[*SERIES, "gap_start", "gap_end", "loaddate", "change"], dtype=object)
         for column in ("gap_start", "gap_end"):
             made[column] = pd.to_datetime(made[column].astype("int64"), unit="us", utc=True)
-        made.insert(0, "imo", key[0])
-        made.insert(1, "signal", key[1])
         return made
 
     def close(self) -> None:
         pass
 
 
+def _tuples(rows: pd.DataFrame) -> Iterator[tuple]:
+    """Rows as tuples of Python values, null as None."""
+    columns = [rows[c].astype(object).where(rows[c].notna(), None).tolist() for c in rows.columns]
+    return zip(*columns, strict=True)
+
+
 def gap_changes(points: DataFrame, threshold: timedelta = GAP_THRESHOLD, late: timedelta = LATE) -> DataFrame:
     """The changes of the gap intervals of a stream of null points (see the module)."""
     ship(points.sparkSession)
     slots = slots_of(points, threshold).withWatermark("at", f"{int(late.total_seconds())} seconds")
     state = GapState(to_us(threshold), to_us(late))
-    return slots.groupBy(*SERIES).transformWithStateInPandas(state, CHANGES, "Update", "EventTime")
+    placed = slots.withColumn("bucket", F.pmod(F.xxhash64(*SERIES), F.lit(BUCKETS)))
+    return placed.groupBy("bucket").transformWithStateInPandas(state, CHANGES, "Update", "EventTime")
 
 
 def apply_changes(stored: DataFrame, changes: DataFrame) -> DataFrame:

@@ -147,3 +147,58 @@ def test_only_touched_gaps_change(spark):
 def test_threshold_must_be_positive(spark):
     with pytest.raises(ValueError):
         gaps.gap_intervals(frame(spark, []), timedelta(0))
+
+
+class BucketHandle:
+    """A state store in memory that counts its calls."""
+
+    def __init__(self):
+        self.rows, self.timers, self.puts = [], [], 0
+
+    def getListState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return bool(self.rows)
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows, self.puts = rows, self.puts + 1
+
+    def clear(self):
+        self.rows = []
+
+    def listTimers(self):  # noqa: N802
+        return iter(self.timers)
+
+    def deleteTimer(self, timer):  # noqa: N802
+        self.timers.remove(timer)
+
+    def registerTimer(self, timer):  # noqa: N802
+        self.timers.append(timer)
+
+
+def test_gap_state_of_a_bucket_of_series():
+    """Series of a bucket share its state: one store call for all, and no gap over two series."""
+    import pandas as pd
+
+    from fleetframe.streaming.keyed_gaps import GapState
+
+    handle, state = BucketHandle(), GapState(10, 1000)
+    state.init(handle)
+
+    def batch(*rows):
+        part = pd.DataFrame(rows, columns=["imo", "signal", "first", "last", "loaddate"])
+        (made,) = state.handleInputRows((7,), iter([part]), None)
+        return {(row.imo, row.signal, row.gap_start.microsecond, row.change) for row in made.itertuples()}
+
+    changes = batch(("1", "a", 100, 100, "x"), ("2", "a", 105, 105, None), (None, "a", 100, 104, "x"), ("1", None, 100, 100, "x"))
+    assert changes == {("1", "a", 100, "put"), ("2", "a", 105, "put"), (None, "a", 100, "put"), ("1", None, 100, "put")}
+    assert handle.puts == 1 and len(handle.rows) == 4 and len(handle.timers) == 1
+    changes = batch(("1", "a", 95, 95, "w"))
+    assert changes == {("1", "a", 95, "put"), ("1", "a", 100, "remove")}
+    assert handle.puts == 2 and sorted(map(str, handle.rows)) == sorted(map(str, [
+        ("1", "a", 95, 100, "x"), ("2", "a", 105, 105, None), (None, "a", 100, 104, "x"), ("1", None, 100, 100, "x")]))
+    assert batch(("1", "a", 95, 95, "w")) == set() and handle.puts == 2
