@@ -7,8 +7,9 @@
 
 Runs are folders `{yyyy}/{MM}/{dd}/{HH}/{mm}` with a file `{Entity}[_{imo}].json` per payload. Of the folders only those on
 the way to the runs that are wanted are listed: a batch after a given run, or the next batch of a stream, costs what is new,
-however many runs are kept. The offset of a stream is the last run it has read; runs land in the order of their stamps,
-and a run is complete when its folder appears, as the sink here moves finished files only.
+however many runs are kept. The driver lists runs; the files of a run are listed by the tasks that read them. The offset of a
+stream is the last run it has read; runs land in the order of their stamps, and a run is complete when its folder appears, as
+the sink here moves finished files only: a new run's folder at once.
 
 Paths are those of a local or mounted file system, or of a store that `pyarrow.fs` opens by its address.
 """
@@ -17,7 +18,9 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -35,8 +38,10 @@ SCHEMA = "entity string, imo string, loaddate string, raw string"
 # Depth of a run's folder below the root, and the names on the way (fixed format).
 DEPTH, STAGED = 5, "_staged-"
 FILE = re.compile(r"([A-Za-z]+)(?:_(.+))?\.json")
-# Files and bytes of one partition of a read.
-PART_FILES, PART_BYTES = 500, 64 * 1024 * 1024
+# Files and bytes of one partition of a read; partitions up to which a read of large runs is divided.
+PART_FILES, PART_BYTES, PARTS = 500, 64 * 1024 * 1024, 128
+# Threads that move files one by one; file systems that move a folder in one step.
+MOVERS, MOVE_FOLDERS = 16, {"local", "hdfs"}
 
 
 class Zone:
@@ -85,6 +90,11 @@ class Zone:
         named = [(path, size, FILE.fullmatch(path.rsplit("/", 1)[-1])) for path, size in found]
         return sorted((path, size) for path, size, name in named if name and entity in (None, name[1]))
 
+    def exists(self, folder: str) -> bool:
+        from pyarrow import fs
+
+        return self.fs.get_file_info(f"{self.root}/{folder}").type != fs.FileType.NotFound
+
     def payload(self, path: str) -> tuple[str, str | None, str, str]:
         run, name = "/".join(path.rsplit("/", DEPTH + 1)[1:-1]), FILE.fullmatch(path.rsplit("/", 1)[-1])
         with self.fs.open_input_stream(path) as source:
@@ -109,24 +119,48 @@ def cut(files: list[tuple[str, int]]) -> list[Files]:
     return [Files(p) for p in parts]
 
 
+@dataclass
+class Share(InputPartition):
+    """Some runs whole, or of each the files whose names fall to one of `of` shares."""
+
+    runs: list[str]
+    share: int = 0
+    of: int = 1
+
+
+def shares(zone: Zone, runs: list[str], entity: str | None) -> list[Share]:
+    """The runs in partitions, by the files of three of them.
+
+    A large run is dealt to several tasks that each list it. Their number is bounded, so listing grows with the files.
+    """
+    if not runs:
+        return [Share([])]
+    size = max(len(zone.files(run, entity)) for run in {runs[0], runs[len(runs) // 2], runs[-1]})
+    spread = -(-PARTS // len(runs))
+    of = min(-(-size // PART_FILES), spread) or 1
+    step = max(1, min(PART_FILES // max(size, 1), -(-len(runs) // PARTS)))
+    return [Share(runs[i:i + step], share, of) for i in range(0, len(runs), step) for share in range(of)]
+
+
 class _Reading:
     def __init__(self, options: dict):
         self.path, self.entity = options["path"], options.get("entity")
         self.after, self.upto, self.only = options.get("after", ""), options.get("upto", "9"), options.get("run")
 
-    def _read(self, partition: Files) -> Iterator[tuple]:
+    def _read(self, partition: Share) -> Iterator[tuple]:
         zone = Zone(self.path)
-        for path in partition.paths:
-            yield zone.payload(path)
+        for run in partition.runs:
+            for path, _ in zone.files(run, self.entity):
+                if partition.of == 1 or zlib.crc32(path.rsplit("/", 1)[-1].encode()) % partition.of == partition.share:
+                    yield zone.payload(path)
 
 
 class LandingReader(_Reading, DataSourceReader):
-    def partitions(self) -> list[Files]:
+    def partitions(self) -> list[Share]:
         zone = Zone(self.path)
-        runs = [self.only] if self.only else zone.runs(self.after, self.upto)
-        return cut([file for run in runs for file in zone.files(run, self.entity)]) or [Files([])]
+        return shares(zone, [self.only] if self.only else zone.runs(self.after, self.upto), self.entity)
 
-    def read(self, partition: Files) -> Iterator[tuple]:
+    def read(self, partition: Share) -> Iterator[tuple]:
         return self._read(partition)
 
 
@@ -137,17 +171,17 @@ class LandingStream(_Reading, DataSourceStreamReader):
     def latestOffset(self) -> dict:  # noqa: N802
         return {"run": max(Zone(self.path).newest(), self.after)}
 
-    def partitions(self, start: dict, end: dict) -> list[Files]:
+    def partitions(self, start: dict, end: dict) -> list[Share]:
         zone = Zone(self.path)
-        return cut([file for run in zone.runs(start["run"], end["run"]) for file in zone.files(run, self.entity)]) or [Files([])]
+        return shares(zone, zone.runs(start["run"], end["run"]), self.entity)
 
-    def read(self, partition: Files) -> Iterator[tuple]:
+    def read(self, partition: Share) -> Iterator[tuple]:
         return self._read(partition)
 
 
 @dataclass
 class Written(WriterCommitMessage):
-    files: list[str]
+    runs: list[str]
 
 
 class LandingWriter(DataSourceWriter):
@@ -160,26 +194,32 @@ class LandingWriter(DataSourceWriter):
         self.path, self.id = options["path"], uuid.uuid4().hex
 
     def write(self, iterator: Iterator) -> Written:
-        zone, files = Zone(self.path), []
+        zone, runs = Zone(self.path), set()
         for row in iterator:
             name = row["entity"] if row["imo"] is None else f"{row['entity']}_{row['imo']}"
             run = row["loaddate"]
             if not FILE.fullmatch(f"{name}.json") or "/" in name or not re.fullmatch(r"\d{4}(/\d\d){4}", run or ""):
                 raise ValueError(f"no payload of a run: {name}, {run}")
             folder = f"{zone.root}/{STAGED}{self.id}/{run}"
-            zone.fs.create_dir(folder, recursive=True)
+            if run not in runs:
+                zone.fs.create_dir(folder, recursive=True)
+                runs.add(run)
             with zone.fs.open_output_stream(f"{folder}/{name}.json") as out:
                 out.write((row["raw"] or "").encode())
-            files.append(f"{run}/{name}.json")
-        return Written(files)
+        return Written(sorted(runs))
 
     def commit(self, messages: list[Written]) -> None:
         zone = Zone(self.path)
-        files = sorted({file for m in messages if m for file in m.files})
-        for folder in sorted({file.rsplit("/", 1)[0] for file in files}):
-            zone.fs.create_dir(f"{zone.root}/{folder}", recursive=True)
-        for file in files:
-            zone.fs.move(f"{zone.root}/{STAGED}{self.id}/{file}", f"{zone.root}/{file}")
+        for run in sorted({run for m in messages if m for run in m.runs}):
+            staged = f"{STAGED}{self.id}/{run}"
+            if zone.fs.type_name in MOVE_FOLDERS and not zone.exists(run):
+                zone.fs.create_dir(f"{zone.root}/{run}".rsplit("/", 1)[0], recursive=True)
+                zone.fs.move(f"{zone.root}/{staged}", f"{zone.root}/{run}")
+                continue
+            zone.fs.create_dir(f"{zone.root}/{run}", recursive=True)
+            names = [path.rsplit("/", 1)[-1] for path, _ in zone.files(staged, None)]
+            with ThreadPoolExecutor(MOVERS) as movers:
+                list(movers.map(lambda name, at=staged, to=run: zone.fs.move(f"{zone.root}/{at}/{name}", f"{zone.root}/{to}/{name}"), names))
         self._clear(zone)
 
     def abort(self, messages: list[Written]) -> None:

@@ -501,6 +501,32 @@ def test_landing_source_batch_and_sink(spark, tmp_path):
     assert not [p for p in (tmp_path / "zone").iterdir() if p.name.startswith("_")]
 
 
+def test_landing_source_driver_handles_runs_not_files(tmp_path, monkeypatch):
+    """A new run is moved in one step and listed by the tasks; their shares hold every file once."""
+    from fleetframe.sources import landing_source
+
+    path = str(tmp_path / "zone")
+    writer = landing_source.LandingWriter({"path": path})
+    stamps = [f"2024/01/{d:02d}/00/00" for d in range(1, 8)]
+    data = [{"entity": "Timeseries", "imo": str(i), "loaddate": stamp, "raw": "{}"} for stamp in stamps for i in range(40)]
+    messages = [writer.write(iter(data[::2])), writer.write(iter(data[1::2]))]
+    assert max(len(m.runs) for m in messages) == len(stamps)
+    writer.commit(messages)
+    again = landing_source.LandingWriter({"path": path})
+    again.commit([again.write(iter([{"entity": "Timeseries", "imo": i, "loaddate": stamps[0], "raw": "[]"} for i in ("0", "new")]))])
+    assert not [p for p in (tmp_path / "zone").iterdir() if p.name.startswith("_")]
+    expected = sorted((r["imo"], r["loaddate"]) for r in data) + [("new", stamps[0])]
+    for files, parts, most in ((500, 128, 7), (5, 128, 7 * 8), (5, 14, 14), (500, 2, 2)):
+        monkeypatch.setattr(landing_source, "PART_FILES", files)
+        monkeypatch.setattr(landing_source, "PARTS", parts)
+        reader = landing_source.LandingReader({"path": path, "entity": "Timeseries"})
+        dealt = reader.partitions()
+        assert len(dealt) <= most + 7
+        found = [row for part in dealt for row in reader.read(part)]
+        assert sorted((row[1], row[2]) for row in found) == sorted(expected)
+        assert [row[3] for row in found if row[1:3] in (("0", stamps[0]), ("0", stamps[1]))].count("[]") == 1
+
+
 def test_landing_source_stream(spark, lake, tmp_path):
     sink, check = str(tmp_path / "sink"), str(tmp_path / "check")
 
