@@ -161,7 +161,9 @@ def fleet_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fleet payloads, one ship per payload, with empty and null lists and all states of `active`."""
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    ships = table(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    # A row is small and its payload is not: the file of many ships is one split, its rows are dealt to all tasks.
+    customers = table(spark, sf_dir, "customer").repartition("c_custkey")
+    ships = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     engines = F.expr("transform(slice(array(1, 2, 3), 1, cast(c_custkey % 4 as int)), "
                      "i -> named_struct('engine_no', i, 'power', c_acctbal))")
     aux = F.expr("if(c_custkey % 5 = 0, null, transform(slice(array(1, 2), 1, cast(c_custkey % 3 as int)), "

@@ -572,3 +572,16 @@ def test_sketches_merge_as_one(spark):
     assert abs(merged.quantiles[1] - 10000) <= 2 * statistics.RANK_ERROR * 20000
     nothing = statistics.estimates(statistics.run_sketches(rows_.withColumn("signal_value", F.lit(None).cast("double")), [])).first()
     assert nothing.quantiles is None and nothing.n_values == 0
+
+
+def test_fleet_payloads_are_made_by_many_tasks(spark, tmp_path):
+    """The ships of one small file are one split; their payloads are not one task's work."""
+    from fleetframe import views
+
+    spark.sql("SELECT id AS c_custkey, concat('S#', id) AS c_name, 0 AS c_nationkey, 'BUILDING' AS c_mktsegment, 1.5D AS c_acctbal "
+              "FROM range(0, 500, 1, 1)").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.sql("SELECT 0 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey").write.parquet(str(tmp_path / "nation.parquet"))
+    spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name").write.parquet(str(tmp_path / "region.parquet"))
+    with streams._settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        tasks = views.fleet_payloads(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) > 1 and sum(row["count"] for row in tasks) == 500
