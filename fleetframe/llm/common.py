@@ -21,6 +21,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+#: Spark's setting of the bytes of an Arrow batch, 64 MB by itself: several such batches, in the JVM and in its Python
+#: workers, with what the allocators keep of them, are a large part of an executor.
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of this session hold about a block of text; a size that the caller has set stays."""
+    size = f"{BLOCK_CHARS}b"
+    if spark.conf.get(BATCH_SETTING, size) == size:
+        spark.conf.set(BATCH_SETTING, size)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """mapInArrow with this package on the workers."""
     ship(df.sparkSession)
@@ -171,4 +183,5 @@ def per_text(df: DataFrame, keep: list[str], text: str, schema: str,
             arrays += [pa.array(values[f.name], type=target.field(f.name).type) for f in made]
             yield pa.RecordBatch.from_arrays(arrays, schema=target)
 
+    small_batches(spark)
     return map_arrow(source, run, out)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetframe.llm.common import in_fold, map_arrow, per_text, read, ship, staged, text_blocks
+from fleetframe.llm.common import in_fold, map_arrow, per_text, read, ship, small_batches, staged, text_blocks
 
 TRAINING_ROWS = 40_000
 MAX_CANDIDATES = 4_000
@@ -175,6 +175,7 @@ def _rows(df: DataFrame, schema: str, made) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(fields)],
                                              names=[name for name, _ in fields])
 
+    small_batches(df.sparkSession)
     return map_arrow(df, run, schema)
 
 
@@ -294,11 +295,13 @@ def toxicity(docs: DataFrame, lexicon: Lexicon, keep: list[str], text: str = "te
 def drop_toxic(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
     """`docs` without the rows whose text scores 0.5 or more; null and empty texts stay, columns unchanged."""
     ship(docs.sparkSession)
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("boolean")
-    def rejected(texts: pd.Series) -> pd.Series:
-        automaton = Automaton(lexicon)
-        return texts.map(lambda t: bool(t) and score_of(*evidence(t, automaton)[:2], lexicon.fit) >= 0.5)
+    def rejected(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = Automaton(lexicon)  # one for all batches of a task, with the words that it has met
+        for texts in batches:
+            yield texts.map(lambda t: bool(t) and score_of(*evidence(t, automaton)[:2], lexicon.fit) >= 0.5)
 
     return docs.where(~rejected(F.col(text).cast("string")))
 

@@ -409,3 +409,40 @@ def test_decontamination_by_brute_force(spark):
     assert {r.doc_id for r in clean.collect()} == {i for i, t in enumerate(texts) if not _hits(t, items)[1]}
     assert decontaminate.contamination(docs, bench.limit(0), ["doc_id"]).where("n_hit > 0").count() == 0
     assert decontaminate.contamination(docs.limit(0), bench, ["doc_id"]).count() == 0
+
+
+def test_workers_get_small_batches(spark):
+    """Arrow batches hold about a block of text, not 10,000 rows of it, unless the caller has set their size."""
+    import pandas as pd
+
+    from fleetframe.llm import common
+
+    spark.conf.unset(common.BATCH_SETTING)
+    docs = spark.range(0, 2_400, 1, 1).selectExpr("id AS doc_id", "repeat('plain words ', 800) AS text")
+
+    def largest():
+        def sizes(batches):
+            for batch in batches:
+                yield pd.DataFrame({"n": [int(batch["text"].str.len().sum())]})
+
+        return docs.mapInPandas(sizes, "n long").agg({"n": "max"}).first()[0]
+
+    try:
+        toxicity.drop_toxic(docs, toxicity.Lexicon({"vile": 9.0}))
+        assert largest() <= 1.1 * common.BLOCK_CHARS
+        spark.conf.unset(common.BATCH_SETTING)
+        byte_bpe.encode_checked(docs, RANKS, tokenizers.PATTERN, ["doc_id"])
+        assert largest() <= 1.1 * common.BLOCK_CHARS
+        spark.conf.set(common.BATCH_SETTING, "12m")
+        byte_bpe.encode_checked(docs, RANKS, tokenizers.PATTERN, ["doc_id"])
+        assert spark.conf.get(common.BATCH_SETTING) == "12m"
+    finally:
+        spark.conf.unset(common.BATCH_SETTING)
+
+
+def test_drop_toxic_over_batches(spark):
+    """A task of several batches drops the same rows as one batch."""
+    texts = [f"{'vile' if i % 3 == 0 else 'mild'} text {i} " * 2_000 if i % 50 else None for i in range(300)]
+    docs = rows(spark, texts).coalesce(1)
+    kept = toxicity.drop_toxic(docs, toxicity.Lexicon({"vile": 9.0})).collect()
+    assert [r.doc_id for r in kept] == [i for i in range(300) if i % 3 or i % 50 == 0]
