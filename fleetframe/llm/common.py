@@ -72,6 +72,20 @@ def unstage(*frames: DataFrame) -> None:
                 _delete(df.sparkSession, [path])
 
 
+#: Staged tables up to this size on disk are small; what is derived from one is written by so many tasks.
+SMALL_BYTES, SMALL_PARTS = 1024 * 1024, 8
+
+
+def few(*frames: DataFrame) -> bool:
+    """Whether the staged tables are small, by the size of their files."""
+    return sum(Folder(df.sparkSession, df._staged_path).size() for df in frames) <= SMALL_BYTES
+
+
+def gathered(df: DataFrame, small: bool) -> DataFrame:
+    """`df` in a few partitions if it is `small`: adaptive execution does so by itself unless it is told not to."""
+    return df.coalesce(SMALL_PARTS) if small else df
+
+
 def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
     """The frame that `make` returns, written and read back; what was staged on the way there is deleted.
 

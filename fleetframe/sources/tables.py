@@ -45,6 +45,10 @@ class Folder:
     def delete(self, path: str | None = None) -> None:
         self._fs.delete(self._path(path or self.path), True)
 
+    def size(self) -> int:
+        """Bytes of all files below."""
+        return self._fs.getContentSummary(self._path(self.path)).getLength()
+
     def move(self, source: str, target: str) -> None:
         self._fs.mkdirs(self._path(target).getParent())
         if not self._fs.rename(self._path(source), self._path(target)):

@@ -1,11 +1,12 @@
 """Near duplicates of texts and vectors, and components, against brute force."""
 
 import random
+import sys
 
 import numpy as np
 import pytest
 
-from fleetframe.llm import embedding_dedup, minhash
+from fleetframe.llm import common, embedding_dedup, minhash
 from fleetframe.llm.components import components
 
 
@@ -33,6 +34,58 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """As on a session that never joins small shuffle partitions."""
+    settings = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.fixture
+def steps(monkeypatch):
+    """Partitions that the written steps of `components` have."""
+    module, seen = sys.modules[components.__module__], []
+
+    def written(df, name):
+        seen.append(df.rdd.getNumPartitions())
+        return common.staged(df, name)
+
+    monkeypatch.setattr(module, "staged", written)
+    return seen
+
+
+def test_small_components_in_few_tasks(spark, many_partitions, steps):
+    edges = [(n, n + 1) for n in range(60)] + [(100, n) for n in range(101, 400)]
+    frame = spark.createDataFrame(edges, "a long, b long").coalesce(2)
+    found = {r.node: r.component for r in components(frame).collect()}
+    assert found == roots({n for e in edges for n in e}, edges)
+    assert len(steps) > 3 and max(steps) <= common.SMALL_PARTS
+
+
+def test_stars_need_no_step(spark, steps):
+    edges = [(100, n) for n in range(101, 160)] + [(7, 8), (20, 9)]
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == roots({n for e in edges for n in e}, edges)
+    assert len(steps) == 1
+
+
+@pytest.mark.parametrize("size", [0, 1024 * 1024])
+def test_components_of_large_tables(spark, monkeypatch, steps, size):
+    """Plans for small and for large tables agree, with repeated and reversed edges."""
+    monkeypatch.setattr(common, "SMALL_BYTES", size)
+    made = random.Random(2)
+    edges = [(made.randint(0, 300), made.randint(0, 300)) for _ in range(220)]
+    edges += [(b, a) for a, b in edges[:50]] + edges[:50]
+    found = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    edges = [e for e in edges if e[0] != e[1]]
+    assert found == roots({n for e in edges for n in e}, edges)
+
+
 def shingle_sets(texts):
     sets = {}
     for i, t in texts:
@@ -97,6 +150,14 @@ def test_repeated_and_null_ids(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_near_copies_under_one_id(spark):
+    """Of an id with a short and a long version of a text, each version links with what is like it."""
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words[:45])), (1, " ".join(words)), (2, " ".join(words[:36])), (3, " ".join([*words, *"abcdefghijklmnop"])), (4, "quite another text of its own")]
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 1, 4: 4}
+
+
 def test_text_ids_and_least_ids(spark):
     texts = corpus()
     named = [(f"d{i:04d}", t) for i, t in texts]
