@@ -136,17 +136,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
     second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    sizes = pairs.join(sets.select(F.col("id").alias("a"), F.size("shingles").alias("na")), "a").join(
-        sets.select(F.col("id").alias("b"), F.size("shingles").alias("nb")), "b")
-    possible = sizes.where(_alike(F.least("na", "nb"), F.col("na"), F.col("nb"), percent)).select("a", "b")
     common = F.size(F.array_intersect("sa", "sb"))
-    return possible.join(first, "a").join(second, "b").where(_alike(common, F.size("sa"), F.size("sb"), percent)).select("a", "b")
+    return pairs.join(first, "a").join(second, "b").where(_alike(common, F.size("sa"), F.size("sb"), percent)).select("a", "b")
 
 
-def _hubs(members: DataFrame, degrees: DataFrame) -> DataFrame:
-    """(key, hub): the member of each bucket that shares buckets with most others, the smallest id of equals."""
-    return (members.join(degrees, "id").groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("minus"), "id")).alias("best"))
-            .select("key", F.col("best.id").alias("hub")))
+def _hub_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's hub with the members whose size allows a link.
+
+    The hub is the member that shares buckets with most others, the smallest id of equals. Rows that share an id have
+    several sets, of `least` to `most` shingles.
+    """
+    best = F.min(F.struct((-F.col("degree")).alias("minus"), F.col("id").alias("hub"), F.col("least").alias("hub_least"), F.col("most").alias("hub_most")))
+    hubs = members.groupBy("key").agg(best.alias("best")).select("key", "best.hub", "best.hub_least", "best.hub_most")
+    possible = 100 * F.least("most", "hub_most") >= percent * F.greatest("least", "hub_least")
+    return (members.join(hubs, "key").where((F.col("id") != F.col("hub")) & possible)
+            .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
 
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -174,22 +178,23 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFram
 def links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, percent: int = PERCENT) -> DataFrame:
     """(a, b): links between class representatives that span the components of the similarity graph.
 
-    `classes` has (id, d1, d2, bands), one row per distinct set.
+    `classes` has (id, n_shingles, d1, d2, bands), one row per distinct set.
     """
-    keyed = classes.select("id", F.explode("bands").alias("key"))
+    keyed = classes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = staged(keyed.join(buckets, "key"), "buckets")
-    degrees = staged(members.groupBy("id").agg(F.sum(F.col("size") - 1).alias("degree")), "degrees")
-    members = members.select("key", "id")
-    wanted = classes.select("id", "d1", "d2").join(degrees.select("id"), "id", "left_semi")
+    # A set is in 32 buckets at most.
+    by_id = Window.partitionBy("id")
+    members = staged(keyed.join(buckets, "key").select(
+        "key", "id", F.min("n").over(by_id).alias("least"), F.max("n").over(by_id).alias("most"),
+        F.sum(F.col("size") - 1).over(by_id).alias("degree")), "buckets")
+    wanted = classes.select("id", "d1", "d2").join(members.select("id").distinct(), "id", "left_semi")
     sets = staged(_sets(docs, doc_id, text, wanted), "shingles")
     spark = docs.sparkSession
     collect_plans(spark)
 
     found, active, tested, before = None, members, None, None
     for _ in range(ROUNDS):
-        pairs = (active.join(_hubs(active, degrees), "key").where("id != hub")
-                 .select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct())
+        pairs = _hub_pairs(active, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
@@ -210,7 +215,7 @@ def links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, percent:
         # The next hub stands for the components other than that of the bucket's largest part.
         sizes = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top")).select("key", F.col("top.component").alias("main"))
-        active = labelled.join(largest, "key").where("component != main").select("key", "id")
+        active = labelled.join(largest, "key").where("component != main").select(*members.columns)
     rest = labelled.select("id", "component").distinct()
     pairs = _prefix_pairs(rest, sets, percent).join(tested, ["a", "b"], "left_anti")
     return found.union(staged(_verified(pairs, sets, percent), "links"))
@@ -224,14 +229,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     signed = staged(signatures(docs, doc_id, text), "signatures")
     usable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = usable.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"))
-    lead = usable.withColumnRenamed("doc_id", "id").join(classes, ["d1", "d2", "id"]).dropDuplicates(["d1", "d2"])
-    lead = staged(lead.select("id", "d1", "d2", "bands"), "classes")
+    first = usable.groupBy("d1", "d2").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n_shingles", "bands")).alias("first"))
+    lead = staged(first.select("first.*", "d1", "d2"), "classes")
+    classes = lead.select("id", "d1", "d2")
     member = usable.select("doc_id", "d1", "d2").distinct().join(classes, ["d1", "d2"])
     same = member.where("doc_id != id").select(F.col("id").alias("a"), F.col("doc_id").alias("b"))
     edges = settled(docs.sparkSession, "spanning-links", lambda: links(docs, lead, doc_id, text, percent))
     # Copies hang on their representative; the graph of representatives is small beside them.
-    repeated = usable.groupBy("doc_id").agg(F.count_distinct("d1", "d2").alias("n")).where("n > 1")
+    digest = F.struct("d1", "d2")
+    repeated = usable.groupBy("doc_id").agg(F.min(digest).alias("one"), F.max(digest).alias("other")).where("one != other")
     if repeated.isEmpty():
         found = settled(docs.sparkSession, "components", lambda: components(edges))
         labels = (member.join(found, F.col("id") == F.col("node"), "left")
